@@ -25,6 +25,7 @@ from oreline.schemas import (
 )
 
 KEY = "admission_id"
+DATE_COLUMNS = ("date_of_admission", "discharge_date")
 
 
 # Bronze
@@ -62,11 +63,12 @@ def silver_admissions(bronze: DataFrame, band_after_round: bool = False) -> Data
     ``band_after_round``.
     """
     text = {name for name, kind in bronze.dtypes if kind == "string"}
-    dates = {c: parse_date(F.col(c)) for c in ("date_of_admission", "discharge_date") if c in text}
+    dates = {c: parse_date(F.col(c)) for c in DATE_COLUMNS if c in text}
     billed = F.col("billing_amount")
     rounded = F.round(billed, 2)
     stay = F.col("length_of_stay_days")
-    typed = bronze.withColumns(dates).withColumns(
+    dated = bronze.withColumns(dates) if dates else bronze
+    typed = dated.withColumns(
         {
             "length_of_stay_days": F.datediff("discharge_date", "date_of_admission"),
             "admission_type": upper_trim(F.col("admission_type")),

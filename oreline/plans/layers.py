@@ -44,12 +44,8 @@ def _stored(spark: SparkSession, cfg: LayerConfig, table: str) -> DataFrame:
     return read_path(spark, cfg.path(table), cfg.fmt)
 
 
-def _write(cfg: LayerConfig, table: str, df: DataFrame) -> dict[str, int]:
-    return {table: write_path(df, cfg.path(table), cfg.fmt)}
-
-
-def _gold(cfg: LayerConfig, frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    return write_all({f"gold/{name}": df for name, df in frames.items()}, cfg.base, cfg.fmt)
+def _write(cfg: LayerConfig, layer: str, frames: Mapping[str, DataFrame]) -> dict[str, int]:
+    return write_all({f"{layer}/{name}": df for name, df in frames.items()}, cfg.base, cfg.fmt)
 
 
 # Admissions
@@ -62,25 +58,31 @@ def admissions_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     staged = scratch_path(spark, "keyed-admissions")
     write_path(give_id(rows, admissions.KEY), staged)
     keyed = read_path(spark, staged)
-    return {
-        **_write(cfg, "bronze/patients", admissions.bronze_patients(keyed)),
-        **_write(cfg, "bronze/admissions", admissions.bronze_admissions(keyed)),
-    }
+    return _write(
+        cfg,
+        "bronze",
+        {
+            "patients": admissions.bronze_patients(keyed),
+            "admissions": admissions.bronze_admissions(keyed),
+        },
+    )
 
 
 def admissions_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
-    patients = admissions.silver_patients(_stored(spark, cfg, "bronze/patients"))
-    stays = admissions.silver_admissions(_stored(spark, cfg, "bronze/admissions"))
-    return {
-        **_write(cfg, "silver/patients", patients),
-        **_write(cfg, "silver/admissions", stays),
-    }
+    return _write(
+        cfg,
+        "silver",
+        {
+            "patients": admissions.silver_patients(_stored(spark, cfg, "bronze/patients")),
+            "admissions": admissions.silver_admissions(_stored(spark, cfg, "bronze/admissions")),
+        },
+    )
 
 
 def admissions_gold(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     stays = _stored(spark, cfg, "silver/admissions")
     patients = _stored(spark, cfg, "silver/patients")
-    return _gold(cfg, admissions.gold_tables(stays, patients))
+    return _write(cfg, "gold", admissions.gold_tables(stays, patients))
 
 
 def admissions_checks(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
@@ -111,7 +113,7 @@ def run_admissions(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
 
 def trips_reload(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Bronze written anew from all source files."""
-    return _write(cfg, "bronze/trips", read_csv(spark, cfg.source, TRIP_TEXT_SCHEMA))
+    return _write(cfg, "bronze", {"trips": read_csv(spark, cfg.source, TRIP_TEXT_SCHEMA)})
 
 
 def trips_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
@@ -123,11 +125,12 @@ def trips_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
 
 def trips_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Silver rebuilt from all of bronze."""
-    return _write(cfg, "silver/trips", trips.silver_trips(_stored(spark, cfg, "bronze/trips")))
+    bronze = _stored(spark, cfg, "bronze/trips")
+    return _write(cfg, "silver", {"trips": trips.silver_trips(bronze)})
 
 
 def trips_gold(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
-    return _gold(cfg, trips.gold_tables(_stored(spark, cfg, "silver/trips")))
+    return _write(cfg, "gold", trips.gold_tables(_stored(spark, cfg, "silver/trips")))
 
 
 def trips_checks(spark: SparkSession, cfg: LayerConfig) -> DataFrame:

@@ -60,14 +60,8 @@ _CATEGORIES = (
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and times without a zone, so that any client compares them alike."""
     kinds = {T.DecimalType: "double", T.TimestampType: "timestamp_ntz"}
-    return df.select(
-        *[
-            F.col(f.name).cast(kinds[type(f.dataType)]).alias(f.name)
-            if type(f.dataType) in kinds
-            else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+    casts = {f.name: kinds[type(f.dataType)] for f in df.schema if type(f.dataType) in kinds}
+    return df.withColumns({c: F.col(c).cast(kind) for c, kind in casts.items()}) if casts else df
 
 
 def _over_trips(build: Callable[[DataFrame], DataFrame], *columns: str) -> Query:

@@ -93,19 +93,22 @@ def bronze_summary(bronze: DataFrame) -> DataFrame:
 
 
 def trim_locations(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.trim(c) for c in LOCATION_COLUMNS if c in df.columns})
+    places = [c for c in LOCATION_COLUMNS if c in df.columns]
+    return df.withColumns({c: F.trim(c) for c in places}) if places else df
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
     """Payment and rating by constants, fare by the mean fare to the cent."""
-    filled = fill_constants(df, {c: v for c, v in FILLS.items() if c in df.columns})
+    constants = {c: v for c, v in FILLS.items() if c in df.columns}
+    filled = fill_constants(df, constants) if constants else df
     return fill_mean(filled, "fare_amount", MONEY_PLACES, digits=2)
 
 
 def parse_times(df: DataFrame) -> DataFrame:
     """Text times parsed; unreadable ones become NULL. Typed columns pass through."""
     text = {name for name, kind in df.dtypes if kind == "string"}
-    return df.withColumns({c: parse_timestamp(F.col(c)) for c in TIME_COLUMNS if c in text})
+    times = {c: parse_timestamp(F.col(c)) for c in TIME_COLUMNS if c in text}
+    return df.withColumns(times) if times else df
 
 
 def silver_trips(bronze: DataFrame, naira_per_dollar: float = NAIRA_PER_DOLLAR) -> DataFrame:

@@ -137,7 +137,7 @@ def _derive(
     if "n_name" in needs:
         nation = table(spark, sf_dir, "nation")
         df = df.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return df.select(*[F.expr(meaning).alias(name) for name, meaning in chosen.items()])
+    return df.selectExpr(*[f"{meaning} AS {name}" for name, meaning in chosen.items()])
 
 
 def trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -158,9 +158,9 @@ def exported_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = F.when(F.expr("cast(trip_id AS bigint) % 73 = 0"), F.array(F.lit(True), F.lit(False)))
     df = df.withColumn("_filled", F.explode(F.coalesce(extra, F.array(F.lit(True)))))
     titles = [f" {name.replace('_', ' ').title()} " for name in TRIP_COLUMNS]
-    return df.select(
+    return df.selectExpr(
         *[
-            F.when(F.col("_filled"), F.col(name)).alias(title)
+            f"CASE WHEN _filled THEN {name} END AS `{title}`"
             for name, title in zip(TRIP_COLUMNS, titles)
         ]
     )
@@ -176,7 +176,7 @@ def hospital_rows(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataF
     headings = {**HOSPITAL_TO_PATIENTS, **HOSPITAL_TO_ADMISSIONS}
     wide = admissions(spark, sf_dir)
     key = ["admission_id"] if keyed else []
-    return wide.select(*key, *[F.col(new).alias(old) for old, new in headings.items()])
+    return wide.selectExpr(*key, *[f"{new} AS `{old}`" for old, new in headings.items()])
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
