@@ -9,11 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreline.functions.parse import parse_number
 from oreline.schemas import TRIP_EVENT_SCHEMA
 
 PARSED = "parsed"
 QUARANTINED = "quarantined"
-_CORRUPT = "_corrupt_record"
+JSON_BLANKS = " \t\r\n"
+
+_FIELDS = [part.split()[0] for part in TRIP_EVENT_SCHEMA.split(", ")]
+# Everything as text first: a field of the wrong kind must not pass for a missing one.
+_WIRE = f"array<struct<{', '.join(f'{name}: string' for name in _FIELDS)}>>"
 
 
 def text_source(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -39,23 +44,30 @@ def broker_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 def parse_events(bodies: DataFrame) -> DataFrame:
     """Bodies to typed fields plus ``event_ts``, ``raw_body`` and ``state``.
 
-    Empty bodies are skipped. A body that is not a JSON object of the event's fields is kept raw
-    and marked ``quarantined``; a time that cannot be read is only NULL.
+    Empty bodies are skipped. A body that is not exactly one JSON object, or whose fare is not a
+    number, is kept raw and marked ``quarantined``; a time that cannot be read is only NULL.
     """
-    given = bodies.where(F.length(F.trim("value")) > 0)
-    schema = f"{TRIP_EVENT_SCHEMA}, {_CORRUPT} string"
-    event = F.from_json("value", schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    parsed = given.select("value", event.alias("event")).select("value", "event.*")
-    # JSON null or a bare number parses to nothing at all.
-    fields = [c for c in parsed.columns if c not in ("value", _CORRUPT)]
-    broken = F.col(_CORRUPT).isNotNull() | F.coalesce(
-        *[F.col(c).cast("string") for c in fields]
-    ).isNull()
-    return parsed.select(
-        *[F.when(~broken, F.col(c)).alias(c) for c in fields],
-        F.when(~broken, F.col("timestamp").try_cast("timestamp")).alias("event_ts"),
-        F.when(broken, F.col("value")).alias("raw_body"),
-        F.when(broken, QUARANTINED).otherwise(PARSED).alias("state"),
+    body = F.btrim("value", F.lit(JSON_BLANKS))
+    given = bodies.where(F.length(body) > 0)
+    # As the one element of an array, so that anything after the object is an error too.
+    objects = F.from_json(
+        F.concat(F.lit("["), F.col("value"), F.lit("]")), _WIRE, {"allowSingleQuotes": "false"}
+    )
+    parsed = given.select("value", objects.alias("objects")).withColumn(
+        "event", F.get("objects", F.lit(0))
+    )
+    fare = F.col("event.fare_amount")
+    one_object = (F.size("objects") == 1) & body.startswith("{") & body.endswith("}")
+    sound = one_object & F.col("event").isNotNull() & (fare.isNull() | parse_number(fare).isNotNull())
+    typed = {
+        **{c: F.col(f"event.{c}") for c in _FIELDS},
+        "fare_amount": parse_number(fare),
+        "event_ts": F.col("event.timestamp").try_cast("timestamp"),
+    }
+    return parsed.withColumn("sound", F.coalesce(sound, F.lit(False))).select(
+        *[F.when(F.col("sound"), value).alias(name) for name, value in typed.items()],
+        F.when(~F.col("sound"), F.col("value")).alias("raw_body"),
+        F.when(F.col("sound"), PARSED).otherwise(QUARANTINED).alias("state"),
     )
 
 
