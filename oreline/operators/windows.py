@@ -34,23 +34,23 @@ def running_total(
     times, or one row per bucket: for times kept to the second, 86,400 per day and one row per
     day. Rows then look up their time; AQE splits the partition of a hot one.
     """
-    spent, day, before, within = "_units", "_bucket", "_before", "_within"
+    spent, part, before, within = "_units", "_bucket", "_before", "_within"
+    # As a number with the missing time last, so that joins need no null-safe key.
+    number = F.coalesce(F.unix_seconds(F.date_trunc(bucket, "_at")), F.lit(2**63 - 1))
     per_time = (
         df.groupBy(F.col(at).alias("_at"))
         .agg(F.sum(units(F.col(amount), places)).alias(spent))
-        .withColumn(day, F.date_trunc(bucket, "_at"))
+        .withColumn(part, number)
     )
-    earlier = W.orderBy(F.asc_nulls_last(day)).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        per_time.groupBy(day)
+        per_time.groupBy(part)
         .agg(F.sum(spent).alias(spent))
-        .select(F.col(day).alias("_day"), F.sum(spent).over(earlier).alias(before))
+        .select(part, F.sum(spent).over(earlier).alias(before))
     )
-    so_far = W.partitionBy(day).orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    so_far = W.partitionBy(part).orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
     inside = per_time.withColumn(within, F.sum(spent).over(so_far))
     # NULL until the first known amount, as a plain windowed sum gives.
     whole = F.coalesce(F.col(before) + F.col(within), before, within)
-    totals = inside.join(offsets, F.col(day).eqNullSafe(F.col("_day"))).select(
-        "_at", from_units(whole, places).alias(total)
-    )
+    totals = inside.join(offsets, part).select("_at", from_units(whole, places).alias(total))
     return df.join(totals, F.col(at).eqNullSafe(F.col("_at"))).drop("_at")

@@ -7,8 +7,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Partition counts are left to AQE: it coalesces small shuffles and splits skewed join
-# partitions, so one setting serves a laptop and a cluster.
+SHUFFLE_BYTES_PER_TASK = 256 * 1024**2
+MOST_SHUFFLE_TASKS = 50_000
+
+# AQE coalesces small shuffles, splits skewed join partitions and turns to a broadcast only when
+# the measured side is small.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,14 +22,27 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "oreline", master: str | None = None, **conf: str) -> SparkSession:
+def shuffle_tasks(shuffled_bytes: int) -> int:
+    """Shuffle partitions to start from, so that one fits an executor; AQE merges small ones."""
+    return max(200, min(MOST_SHUFFLE_TASKS, -(-shuffled_bytes // SHUFFLE_BYTES_PER_TASK)))
+
+
+def build_session(
+    app_name: str = "oreline",
+    master: str | None = None,
+    shuffled_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the library's settings; ``conf`` uses ``__`` for dots and wins over them.
 
-    ``master`` is only for local runs: on a cluster the submitter names it.
+    ``master`` is only for local runs: on a cluster the submitter names it. ``shuffled_bytes`` is
+    the size of the largest shuffle to expect, from which its partitions are counted.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if shuffled_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_tasks(shuffled_bytes)))
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     for key, value in conf.items():

@@ -10,7 +10,7 @@ from oreline.operators.quality import ContractBroken
 from oreline.plans import layers
 from oreline.plans import trips as tr
 from oreline.schemas import HOSPITAL_SCHEMA, TRIP_TEXT_SCHEMA
-from oreline.session import scratch_path
+from oreline.session import scratch_path, shuffle_tasks
 from oreline.sources import readers, samples, sinks
 
 
@@ -146,3 +146,9 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one.startswith(shared) and one != two
+
+
+def test_shuffle_tasks_follow_the_data():
+    assert shuffle_tasks(0) == 200
+    assert shuffle_tasks(1024**4) == 4096
+    assert shuffle_tasks(100 * 1024**4) == 50_000

@@ -182,3 +182,12 @@ def test_samples_join_only_what_is_read(spark, sf_dir):
     assert "Join" not in plan(narrow)
     assert plan(samples.trips(spark, sf_dir, "driver_name")).count("Join") == 1
     assert samples.bronze_trips(spark, sf_dir).columns == TRIP_COLUMNS
+
+
+def test_row_level_queries_need_not_sort(bronze):
+    trips = tr.parse_times(bronze)
+    for build in (q.unrated, q.fare_bands, q.running_revenue):
+        ordered, stored = build(trips), build(trips, ordered=False)
+        assert "rangepartitioning" in plan(ordered)
+        assert "rangepartitioning" not in plan(stored)
+        assert sorted(rows(ordered), key=str) == sorted(rows(stored), key=str)
