@@ -15,12 +15,21 @@ def fill_constants(df: DataFrame, values: Mapping[str, str | float]) -> DataFram
     return df.fillna(dict(values))
 
 
-def fill_mean(df: DataFrame, column: str, places: int, digits: int | None = None) -> DataFrame:
+def fill_mean(
+    df: DataFrame,
+    column: str,
+    places: int,
+    digits: int | None = None,
+    known_in: DataFrame | None = None,
+) -> DataFrame:
     """Missing values replaced by the mean of the known ones, rounded to ``digits`` if given.
 
     The mean is a scalar subquery: one narrow scan, one number put into the plan, no join and no
-    collect. With no known value it is NULL and the column stays as it is.
+    collect. With no known value it is NULL and the column stays as it is. ``known_in`` names a
+    frame with the same known values that is cheaper to scan, such as the rows before a filter
+    that only drops rows without the value.
     """
     value = F.col(column)
     mean = mean_exact(value, places) if digits is None else avg_exact(value, places, digits)
-    return df.withColumn(column, F.coalesce(known(value), df.agg(mean.alias("mean")).scalar()))
+    scanned = df if known_in is None else known_in
+    return df.withColumn(column, F.coalesce(known(value), scanned.agg(mean.alias("mean")).scalar()))

@@ -72,8 +72,19 @@ def _over_bronze_trips(build: Callable[[DataFrame], DataFrame], *columns: str) -
     return lambda spark, d: build(samples.bronze_trips(spark, d, *columns))
 
 
+def _silver_trips(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Silver over the sample trips; the mean fare is taken without the lookups."""
+    fares = samples.bronze_trips(spark, d, "fare_amount")
+    return tr.silver_trips(samples.bronze_trips(spark, d, *columns), fares=fares)
+
+
 def _over_silver_trips(build: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
-    return lambda spark, d: build(tr.silver_trips(samples.bronze_trips(spark, d, *columns)))
+    return lambda spark, d: build(_silver_trips(spark, d, *columns))
+
+
+def _clean_trips(spark: SparkSession, d: str) -> DataFrame:
+    fares = samples.exported_trips(spark, d, "fare_amount")
+    return tr.clean_trips(samples.exported_trips(spark, d), fares)
 
 
 def _over_exported(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -108,7 +119,7 @@ def _brief(table: str) -> Query:
 
 def _gold_row_counts(spark: SparkSession, d: str) -> DataFrame:
     gold = {
-        f"gold_{name}": build(tr.silver_trips(samples.bronze_trips(spark, d, *_TRIP_INPUTS[name])))
+        f"gold_{name}": build(_silver_trips(spark, d, *_TRIP_INPUTS[name]))
         for name, build in tr.GOLD.items()
     }
     return quality.row_counts(gold)
@@ -198,13 +209,13 @@ _QUERIES: dict[str, Query] = {
     "trips_bronze_summary": _over_bronze_trips(
         tr.bronze_summary, "driver_id", "pickup_city", "vehicle_type", "trip_status", "fare_amount"
     ),
-    "silver_trips": _over_silver_trips(lambda df: df),
+    "silver_trips": _silver_trips,
     "trips_silver_summary": _over_silver_trips(
         tr.silver_summary, "driver_id", "driver_name", "pickup_city", "trip_status", "fare_amount"
     ),
     "location_padding": _location_padding,
     "fill_check": _fill_check,
-    "clean_trips": _over_exported(tr.clean_trips),
+    "clean_trips": _clean_trips,
     "cleaning_counts": _over_exported(tr.cleaning_counts),
     "normalised_columns": _over_exported(normalise_columns),
     **{

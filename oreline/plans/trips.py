@@ -43,6 +43,7 @@ from oreline.schemas import (
     TIME_COLUMNS,
 )
 
+NUMBER_COLUMNS = ("fare_amount", "rating")
 FILLS = {"payment_type": MISSING_PAYMENT, "rating": MISSING_RATING}
 
 
@@ -97,11 +98,14 @@ def trim_locations(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.trim(c) for c in places}) if places else df
 
 
-def fill_missing(df: DataFrame) -> DataFrame:
-    """Payment and rating by constants, fare by the mean fare to the cent."""
+def fill_missing(df: DataFrame, fares: DataFrame | None = None) -> DataFrame:
+    """Payment and rating by constants, fare by the mean fare to the cent.
+
+    ``fares`` may name a cheaper frame with the same fares, where ``df`` is costly to derive.
+    """
     constants = {c: v for c, v in FILLS.items() if c in df.columns}
     filled = fill_constants(df, constants) if constants else df
-    return fill_mean(filled, "fare_amount", MONEY_PLACES, digits=2)
+    return fill_mean(filled, "fare_amount", MONEY_PLACES, digits=2, known_in=fares)
 
 
 def parse_times(df: DataFrame) -> DataFrame:
@@ -111,9 +115,13 @@ def parse_times(df: DataFrame) -> DataFrame:
     return df.withColumns(times) if times else df
 
 
-def silver_trips(bronze: DataFrame, naira_per_dollar: float = NAIRA_PER_DOLLAR) -> DataFrame:
+def silver_trips(
+    bronze: DataFrame,
+    naira_per_dollar: float = NAIRA_PER_DOLLAR,
+    fares: DataFrame | None = None,
+) -> DataFrame:
     """All bronze rows, cleaned, with fare band, dollar fare and a completeness flag."""
-    clean = parse_times(fill_missing(trim_locations(bronze)))
+    clean = parse_times(fill_missing(trim_locations(bronze), fares))
     derived = {
         "fare_category": fare_band(F.col("fare_amount")),
         "fare_in_usd": F.round(F.col("fare_amount") / F.lit(naira_per_dollar), 2),
@@ -164,13 +172,22 @@ def silver_summary(silver: DataFrame) -> DataFrame:
     )
 
 
-def clean_trips(exported: DataFrame) -> DataFrame:
-    """An export made fit for use: names, empty rows, numbers, fills and a completeness flag."""
-    rows = drop_empty_rows(normalise_columns(exported))
-    text = {name for name, kind in rows.dtypes if kind == "string"}
-    numbers = {c: parse_number(F.col(c)) for c in ("fare_amount", "rating") if c in text}
-    filled = fill_constants(rows.withColumns(numbers), FILLS)
-    meant = fill_mean(filled, "fare_amount", MONEY_PLACES)
+def read_numbers(df: DataFrame) -> DataFrame:
+    """Fare and rating as numbers where they came as text; anything else becomes NULL."""
+    text = {name for name, kind in df.dtypes if kind == "string"}
+    return df.withColumns({c: parse_number(F.col(c)) for c in NUMBER_COLUMNS if c in text})
+
+
+def clean_trips(exported: DataFrame, fares: DataFrame | None = None) -> DataFrame:
+    """An export made fit for use: names, empty rows, numbers, fills and a completeness flag.
+
+    ``fares`` may name a cheaper frame with the same fares, under the same headings.
+    """
+    rows = normalise_columns(exported)
+    filled = fill_constants(read_numbers(drop_empty_rows(rows)), FILLS)
+    # Empty rows hold no fare: the mean over all rows is the same, and reads one column.
+    all_fares = read_numbers(rows if fares is None else normalise_columns(fares))
+    meant = fill_mean(filled, "fare_amount", MONEY_PLACES, known_in=all_fares)
     missing = any_missing(DRIVER_COLUMNS, blank_is_missing=False)
     return meant.withColumn("data_quality", flag(missing, "incomplete"))
 

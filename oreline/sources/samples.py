@@ -82,6 +82,9 @@ _TEXT_NUMBERS = {
     "rating": f"cast({_RATING} AS string)",
 }
 
+# An empty row follows some of the rows.
+_FILLED = "explode(CASE WHEN o_orderkey % 73 = 0 THEN array(true, false) ELSE array(true) END)"
+
 _ADMISSIONS = {
     "admission_id": "o_orderkey",
     "patient_name": (
@@ -151,18 +154,13 @@ def bronze_trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _derive(spark, sf_dir, meanings, columns or tuple(TRIP_COLUMNS))
 
 
-def exported_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def exported_trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Trips as an export: untidy headers, numbers as text, and a wholly empty row here and there."""
-    meanings = {**_TRIPS, **_TEXT_TIMES, **_TEXT_NUMBERS}
-    df = _derive(spark, sf_dir, meanings, tuple(TRIP_COLUMNS))
-    extra = F.when(F.expr("cast(trip_id AS bigint) % 73 = 0"), F.array(F.lit(True), F.lit(False)))
-    df = df.withColumn("_filled", F.explode(F.coalesce(extra, F.array(F.lit(True)))))
-    titles = [f" {name.replace('_', ' ').title()} " for name in TRIP_COLUMNS]
-    return df.selectExpr(
-        *[
-            f"CASE WHEN _filled THEN {name} END AS `{title}`"
-            for name, title in zip(TRIP_COLUMNS, titles)
-        ]
+    wanted = columns or tuple(TRIP_COLUMNS)
+    meanings = {**_TRIPS, **_TEXT_TIMES, **_TEXT_NUMBERS, "_filled": _FILLED}
+    titles = {name: f" {name.replace('_', ' ').title()} " for name in wanted}
+    return _derive(spark, sf_dir, meanings, (*wanted, "_filled")).selectExpr(
+        *[f"CASE WHEN _filled THEN {name} END AS `{title}`" for name, title in titles.items()]
     )
 
 

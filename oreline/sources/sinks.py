@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -53,10 +54,19 @@ def write_all(
     """Write each frame to ``base/<name>``; rows written per name.
 
     A few writes run side by side, so that the last tasks of one do not leave the cluster idle.
+    They keep the caller's job group, description and scheduler pool.
     """
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+
+    def write(name: str) -> int:
+        return write_path(frames[name], f"{base}/{name}", fmt)
+
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        counts = pool.map(lambda name: write_path(frames[name], f"{base}/{name}", fmt), frames)
-        return dict(zip(frames, counts))
+        # Wrapped once per name: the caller's settings are copied when wrapping.
+        started = [pool.submit(inheritable_thread_target(spark)(write), name) for name in frames]
+        return {name: job.result() for name, job in zip(frames, started)}
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

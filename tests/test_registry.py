@@ -52,3 +52,15 @@ def test_run_queries(spark, sf_dir):
     got = registry.run_queries(spark, sf_dir, ["sql_q01_status_revenue", "stay_stats"])
     assert list(got) == ["sql_q01_status_revenue", "stay_stats"]
     assert got["sql_q01_status_revenue"].count() == 2
+
+
+@pytest.mark.parametrize(
+    "name, lookups", [("silver_trips", 2), ("clean_trips", 2), ("gold_payment_breakdown", 0)]
+)
+def test_the_mean_reads_the_fare_alone(spark, sf_dir, name, lookups):
+    said = plan(entry.queries()[name](spark, sf_dir))
+    scans = [part.split("]")[0] for part in said.split("FileScan parquet [")[1:]]
+    columns = [[c.split("#")[0] for c in scan.split(",")] for scan in scans]
+    assert ["o_orderkey", "o_totalprice"] in columns
+    # The lookups of the rows themselves, and none for the mean.
+    assert said.count("Join [") == lookups
