@@ -122,7 +122,10 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def row_count_contract(
     tables: Mapping[str, DataFrame], expected: Mapping[str, int | DataFrame]
 ) -> DataFrame:
-    """``(table_name, expected, actual, ok)``. An expectation is a number or a table of equal length."""
+    """``(table_name, expected, actual, ok)``.
+
+    An expectation is a number, or a frame that must be as long.
+    """
     checks = []
     for name, df in tables.items():
         want = expected[name]

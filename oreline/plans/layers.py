@@ -10,13 +10,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oreline.operators.quality import enforce_contract, row_count_contract
 from oreline.operators.reshape import with_content_id, with_row_id
 from oreline.plans import admissions, trips
 from oreline.schemas import HOSPITAL_SCHEMA, TRIP_TEXT_SCHEMA
 from oreline.session import scratch_path
-from oreline.sources.readers import read_csv, read_path
+from oreline.sources.readers import CORRUPT_COLUMN, read_csv, read_path
 from oreline.sources.sinks import write_all, write_path
 from oreline.streaming.landing import append_new_files, landing_source
 
@@ -27,13 +28,17 @@ class LayerConfig:
 
     ``expected`` adds row counts to the built-in rules, per table: a number, or a frame that must
     be as long. ``stable_ids`` gives admissions an id made from the row, equal in every run, at
-    the price of a shuffle; by default it is a position.
+    the price of a shuffle; by default it is a position. ``keep_corrupt`` keeps source lines that
+    do not fit the schema as they came: trips in a bronze column, admissions in ``bronze/corrupt``.
+    ``max_files`` bounds the files that one micro-batch takes from a landing folder.
     """
 
     source: str
     base: str
     fmt: str = "parquet"
     stable_ids: bool = False
+    keep_corrupt: bool = False
+    max_files: int | None = None
     expected: Mapping[str, int | DataFrame] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
@@ -53,19 +58,19 @@ def _write(cfg: LayerConfig, layer: str, frames: Mapping[str, DataFrame]) -> dic
 
 def admissions_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Source rows get their key once, in a stored table; both bronze tables are cut from it."""
-    rows = read_csv(spark, cfg.source, HOSPITAL_SCHEMA)
+    rows = read_csv(spark, cfg.source, HOSPITAL_SCHEMA, cfg.keep_corrupt)
     give_id = with_content_id if cfg.stable_ids else with_row_id
     staged = scratch_path(spark, "keyed-admissions")
     write_path(give_id(rows, admissions.KEY), staged)
     keyed = read_path(spark, staged)
-    return _write(
-        cfg,
-        "bronze",
-        {
-            "patients": admissions.bronze_patients(keyed),
-            "admissions": admissions.bronze_admissions(keyed),
-        },
-    )
+    frames = {
+        "patients": admissions.bronze_patients(keyed),
+        "admissions": admissions.bronze_admissions(keyed),
+    }
+    if cfg.keep_corrupt:
+        broken = keyed.where(F.col(CORRUPT_COLUMN).isNotNull())
+        frames["corrupt"] = broken.select(admissions.KEY, CORRUPT_COLUMN)
+    return _write(cfg, "bronze", frames)
 
 
 def admissions_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
@@ -113,19 +118,22 @@ def run_admissions(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
 
 def trips_reload(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Bronze written anew from all source files."""
-    return _write(cfg, "bronze", {"trips": read_csv(spark, cfg.source, TRIP_TEXT_SCHEMA)})
+    rows = read_csv(spark, cfg.source, TRIP_TEXT_SCHEMA, cfg.keep_corrupt)
+    return _write(cfg, "bronze", {"trips": rows})
 
 
 def trips_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Source files not seen before are appended to bronze; stored rows stay as they are."""
-    rows = landing_source(spark, cfg.source, TRIP_TEXT_SCHEMA)
+    rows = landing_source(
+        spark, cfg.source, TRIP_TEXT_SCHEMA, cfg.max_files, cfg.keep_corrupt
+    )
     append_new_files(rows, cfg.path("bronze/trips"), cfg.path("checkpoints/trips"), cfg.fmt)
     return {"bronze/trips": _stored(spark, cfg, "bronze/trips").count()}
 
 
 def trips_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Silver rebuilt from all of bronze."""
-    bronze = _stored(spark, cfg, "bronze/trips")
+    bronze = _stored(spark, cfg, "bronze/trips").drop(CORRUPT_COLUMN)
     return _write(cfg, "silver", {"trips": trips.silver_trips(bronze)})
 
 

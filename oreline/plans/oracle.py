@@ -1,7 +1,8 @@
 """The same queries as plain SQL over the sample tables, written independently of the plans.
 
 Money and measures are integer units throughout, so that sums and roundings are exact and equal
-in every engine.
+in every engine. Remainders of a key (``k % 37``) say where the sample views put missing, blank,
+padded or bad values into the whole tables; they never choose a subset.
 """
 
 from __future__ import annotations
@@ -480,7 +481,8 @@ def oracle_sql() -> dict[str, str]:
         }, "padded", "silver")),
         "fill_check": _with(_SILVER_TRIPS, f"""
             SELECT {_count("payment_type IS NULL")} AS null_payment,
-              {_count("fare_amount IS NULL")} AS null_fare, {_count("rating IS NULL")} AS null_rating
+              {_count("fare_amount IS NULL")} AS null_fare,
+              {_count("rating IS NULL")} AS null_rating
             FROM silver"""),
         "clean_trips": _with(_CLEAN, "SELECT * FROM clean"),
         "cleaning_counts": _with(_EXPORTED, f"""

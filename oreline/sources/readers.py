@@ -21,6 +21,10 @@ def csv_options(keep_corrupt: bool = False) -> dict[str, str]:
     return options
 
 
+def csv_schema(schema: str, keep_corrupt: bool = False) -> str:
+    return f"{schema}, {CORRUPT_COLUMN} string" if keep_corrupt else schema
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: str, keep_corrupt: bool = False
 ) -> DataFrame:
@@ -29,9 +33,8 @@ def read_csv(
     With ``keep_corrupt`` a line that does not fit is kept whole in ``_corrupt_record``. Files
     are split between tasks, so quoted fields must not hold line breaks.
     """
-    if keep_corrupt:
-        schema = f"{schema}, {CORRUPT_COLUMN} string"
-    return spark.read.schema(schema).options(**csv_options(keep_corrupt)).csv(path)
+    reader = spark.read.schema(csv_schema(schema, keep_corrupt))
+    return reader.options(**csv_options(keep_corrupt)).csv(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

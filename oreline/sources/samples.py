@@ -155,7 +155,7 @@ def bronze_trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def exported_trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Trips as an export: untidy headers, numbers as text, and a wholly empty row here and there."""
+    """Trips as an export: untidy headers, numbers as text, a wholly empty row here and there."""
     wanted = columns or tuple(TRIP_COLUMNS)
     meanings = {**_TRIPS, **_TEXT_TIMES, **_TEXT_NUMBERS, "_filled": _FILLED}
     titles = {name: f" {name.replace('_', ' ').title()} " for name in wanted}

@@ -30,7 +30,7 @@ def text_source(spark: SparkSession, folder: str, max_files: int | None = None)
 
 
 def broker_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Message bodies of a Kafka topic from the earliest offset, where the connector is installed."""
+    """Message bodies of a Kafka topic from the earliest offset; needs the connector's jar."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -58,7 +58,8 @@ def parse_events(bodies: DataFrame) -> DataFrame:
     )
     fare = F.col("event.fare_amount")
     one_object = (F.size("objects") == 1) & body.startswith("{") & body.endswith("}")
-    sound = one_object & F.col("event").isNotNull() & (fare.isNull() | parse_number(fare).isNotNull())
+    fare_reads = fare.isNull() | parse_number(fare).isNotNull()
+    sound = one_object & F.col("event").isNotNull() & fare_reads
     typed = {
         **{c: F.col(f"event.{c}") for c in _FIELDS},
         "fare_amount": parse_number(fare),

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oreline.sources.readers import csv_options
+from oreline.sources.readers import csv_options, csv_schema
 
 
 def landing_source(
-    spark: SparkSession, folder: str, schema: str, max_files: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: str,
+    max_files: int | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Rows of the delimited files in a folder, as a stream of files."""
-    reader = spark.readStream.schema(schema).options(**csv_options())
+    reader = spark.readStream.schema(csv_schema(schema, keep_corrupt)).options(
+        **csv_options(keep_corrupt)
+    )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(folder)

@@ -51,7 +51,8 @@ def test_sum_is_exact_in_any_order(spark):
 
 def test_avg_rounds_half_away_from_zero(spark):
     cases = {"a": [0.01, 0.02], "b": [-0.01, -0.02], "c": [1.0, 2.0, 2.0], "d": [None, None]}
-    df = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "k string, x double")
+    data = [(k, v) for k, vs in cases.items() for v in vs]
+    df = spark.createDataFrame(data, "k string, x double")
     got = dict(rows(df.groupBy("k").agg(avg_exact(F.col("x"), 2, 2))))
     assert got == {"a": 0.02, "b": -0.02, "c": 1.67, "d": None}
 
@@ -70,7 +71,8 @@ def test_avg_against_decimal_arithmetic(spark):
 def test_means_of_nothing_are_null(spark):
     df = spark.createDataFrame([], "x double, n int")
     x = F.col("x")
-    got = rows(df.agg(sum_exact(x, 2), avg_exact(x, 2, 2), mean_exact(x, 2), avg_whole(F.col("n"), 1)))
+    whole = avg_whole(F.col("n"), 1)
+    got = rows(df.agg(sum_exact(x, 2), avg_exact(x, 2, 2), mean_exact(x, 2), whole))
     assert got == [(None, None, None, None)]
 
 

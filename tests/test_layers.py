@@ -9,7 +9,7 @@ from helpers import column, plan, rows
 from oreline.operators.quality import ContractBroken
 from oreline.plans import layers
 from oreline.plans import trips as tr
-from oreline.schemas import HOSPITAL_SCHEMA, TRIP_TEXT_SCHEMA
+from oreline.schemas import HOSPITAL_SCHEMA, TRIP_COLUMNS
 from oreline.session import scratch_path, shuffle_tasks
 from oreline.sources import readers, samples, sinks
 
@@ -114,9 +114,11 @@ def test_json_records_keep_nulls(spark, sf_dir, folder):
 
 def test_catalog_tables_and_views(spark, sf_dir):
     bronze = samples.bronze_trips(spark, sf_dir)
-    assert sinks.write_table(bronze, "bronze_trips") == bronze.count()
-    assert sinks.write_table(bronze, "bronze_trips") == readers.read_table(spark, "bronze_trips").count()
-    silver = sinks.register_view(tr.silver_trips(readers.read_table(spark, "bronze_trips")), "silver")
+    for _ in range(2):
+        assert sinks.write_table(bronze, "bronze_trips") == bronze.count()
+    stored = readers.read_table(spark, "bronze_trips")
+    assert stored.count() == bronze.count()
+    silver = sinks.register_view(tr.silver_trips(stored), "silver")
     assert spark.sql("SELECT count(*) FROM silver").first()[0] == silver.count()
     spark.sql("DROP TABLE bronze_trips")
 
@@ -152,3 +154,35 @@ def test_shuffle_tasks_follow_the_data():
     assert shuffle_tasks(0) == 200
     assert shuffle_tasks(1024**4) == 4096
     assert shuffle_tasks(100 * 1024**4) == 50_000
+
+
+TRIP_HEADER = ",".join(TRIP_COLUMNS)
+TRIP_LINE = (
+    "T{},D1,Ann,R1,Abuja,Garki,Abuja,Yaba,2024-02-26 07:00:00,,,7.5,{},1.2,cash,completed,4.5,suv"
+)
+
+
+def test_corrupt_lines_stay_in_bronze(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    lines = [TRIP_HEADER, TRIP_LINE.format(1, "1200.5"), TRIP_LINE.format(2, "n/a")]
+    (landing / "a.csv").write_text("\n".join(lines) + "\n")
+    cfg = layers.LayerConfig(str(landing), f"{tmp_path}/lake", keep_corrupt=True, max_files=1)
+    assert layers.run_trips(spark, cfg)["silver/trips"] == 2
+    bronze = readers.read_path(spark, cfg.path("bronze/trips"))
+    assert set(column(bronze, "_corrupt_record")) == {None, TRIP_LINE.format(2, "n/a")}
+    silver = readers.read_path(spark, cfg.path("silver/trips"))
+    assert "_corrupt_record" not in silver.columns
+    assert column(silver, "fare_amount") == [1200.5, 1200.5]
+
+
+def test_corrupt_admissions_are_kept_apart(spark, tmp_path):
+    header = ",".join(part.split("`")[1] for part in HOSPITAL_SCHEMA.split(", "))
+    good = "Ann,30,Female,A+,Flu,2024-01-01,Dr A,H1,I1,100.5,101,Urgent,2024-01-03,Aspirin,Normal"
+    bad = good.replace("100.5", "lots").replace("Ann", "Bob")
+    (tmp_path / "x.csv").write_text("\n".join([header, good, bad]) + "\n")
+    cfg = layers.LayerConfig(f"{tmp_path}/x.csv", f"{tmp_path}/lake", keep_corrupt=True)
+    counts = layers.run_admissions(spark, cfg)
+    assert (counts["bronze/patients"], counts["bronze/corrupt"]) == (2, 1)
+    corrupt = readers.read_path(spark, cfg.path("bronze/corrupt"))
+    assert column(corrupt, "_corrupt_record") == [bad]

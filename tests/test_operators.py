@@ -28,11 +28,9 @@ from oreline.operators.reshape import (
 def test_three_conditional_counts(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int")
     two = F.col("v") == 2
-    got = rows(df.groupBy("k").agg(count_where(two), tally_where(two), flag_total(two)).orderBy("k"))
-    assert got == [("a", 1, 1, 1), ("b", 0, None, 0)]
-    assert rows(df.limit(0).agg(count_where(two), tally_where(two), flag_total(two))) == [
-        (0, None, None)
-    ]
+    three = [count_where(two), tally_where(two), flag_total(two)]
+    assert rows(df.groupBy("k").agg(*three).orderBy("k")) == [("a", 1, 1, 1), ("b", 0, None, 0)]
+    assert rows(df.limit(0).agg(*three)) == [(0, None, None)]
 
 
 def test_pivot_counts(spark):
@@ -49,9 +47,8 @@ def test_frequencies(spark):
 def test_total_row_equals_plain_distinct_counts(spark):
     data = [("a", "p", 1), ("a", "q", 2), ("", "p", None), (None, "p", 4), ("b", None, 5)]
     df = spark.createDataFrame(data, "x string, y string, n int")
-    folded = total_row(
-        df, {"xs": "x", "ys": "y"}, {"all": F.count("*"), "n": F.sum("n"), "big": tally_where(F.col("n") > 9)}
-    )
+    sums = {"all": F.count("*"), "n": F.sum("n"), "big": tally_where(F.col("n") > 9)}
+    folded = total_row(df, {"xs": "x", "ys": "y"}, sums)
     plain = df.agg(
         F.count_distinct("x"), F.count_distinct("y"), F.count("*"), F.sum("n"),
         tally_where(F.col("n") > 9),

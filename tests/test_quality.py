@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import pytest
 from helpers import column, plan, rows
-from pyspark.sql import functions as F
 
 from oreline.operators import quality as q
 

@@ -48,7 +48,8 @@ def test_parse_good_and_bad(spark):
 
 
 def test_missing_field_and_bad_time_are_null(spark):
-    lines = ['{"event_id": "E1", "extra": [1]}', event(1, timestamp="soon"), event(2, fare_amount=None)]
+    bare = '{"event_id": "E1", "extra": [1]}'
+    lines = [bare, event(1, timestamp="soon"), event(2, fare_amount=None)]
     parsed = ev.parse_events(bodies_of(spark, lines))
     assert set(column(parsed, "state")) == {ev.PARSED}
     assert column(parsed, "event_ts")[:2] == [None, None]

@@ -171,9 +171,8 @@ def test_busy_and_high_rated_are_strict(bronze):
 
 def test_high_rated_mean_is_exact(spark):
     # 0.1 * 3 summed as doubles is above 0.3
-    df = spark.createDataFrame(
-        [(1, "a", 0.1), (1, "a", 0.1), (1, "a", 0.1)], "driver_id int, driver_name string, rating double"
-    )
+    columns = "driver_id int, driver_name string, rating double"
+    df = spark.createDataFrame([(1, "a", 0.1)] * 3, columns)
     assert q.high_rated(df, "0.1").count() == 0
 
 
