@@ -11,12 +11,17 @@ from oreline.schemas import DATE_FORMAT, TIMESTAMP_FORMAT
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+def _given(text: Column, parsed: Column) -> Column:
+    """Empty text is common and needs no parser: a failed parse costs ten times a good one."""
+    return F.when(F.length(text) > 0, parsed)
+
+
 def parse_timestamp(text: Column, fmt: str = TIMESTAMP_FORMAT) -> Column:
-    return F.try_to_timestamp(text, F.lit(fmt))
+    return _given(text, F.try_to_timestamp(text, F.lit(fmt)))
 
 
 def parse_date(text: Column, fmt: str = DATE_FORMAT) -> Column:
-    return F.try_to_date(text, fmt)
+    return _given(text, F.try_to_date(text, fmt))
 
 
 def parse_number(text: Column) -> Column:

@@ -34,20 +34,6 @@ def frequencies(df: DataFrame, column: str) -> DataFrame:
     return counted.orderBy(F.desc("count"), F.asc_nulls_last(column))
 
 
-def total_row(df: DataFrame, distinct: Mapping[str, str], rows: Mapping[str, Column]) -> DataFrame:
-    """One row with distinct counts (``{output: column}``) beside additive ``rows`` aggregates.
-
-    Several distinct counts in one aggregate make Spark repeat every input row once per count.
-    Here rows are first folded per combination of the counted columns, map-side, and only those
-    few combinations are repeated. Each aggregate in ``rows`` must therefore be a sum or a count.
-    """
-    folded = df.groupBy(*distinct.values()).agg(*[c.alias(n) for n, c in rows.items()])
-    return folded.agg(
-        *[F.count_distinct(F.col(column)).alias(name) for name, column in distinct.items()],
-        *[F.sum(name).alias(name) for name in rows],
-    )
-
-
 def top_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """First ``n`` rows of an order. End the order with a key, so that ties fall the same way."""
     return df.orderBy(*order).limit(n)

@@ -31,6 +31,8 @@ class LayerConfig:
     the price of a shuffle; by default it is a position. ``keep_corrupt`` keeps source lines that
     do not fit the schema as they came: trips in a bronze column, admissions in ``bronze/corrupt``.
     ``max_files`` bounds the files that one micro-batch takes from a landing folder.
+    ``band_after_round`` and ``brief_gold`` give admissions as the scheduled job does: bills banded
+    once rounded, and the shorter gold tables.
     """
 
     source: str
@@ -39,6 +41,8 @@ class LayerConfig:
     stable_ids: bool = False
     keep_corrupt: bool = False
     max_files: int | None = None
+    band_after_round: bool = False
+    brief_gold: bool = False
     expected: Mapping[str, int | DataFrame] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
@@ -79,7 +83,9 @@ def admissions_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
         "silver",
         {
             "patients": admissions.silver_patients(_stored(spark, cfg, "bronze/patients")),
-            "admissions": admissions.silver_admissions(_stored(spark, cfg, "bronze/admissions")),
+            "admissions": admissions.silver_admissions(
+                _stored(spark, cfg, "bronze/admissions"), cfg.band_after_round
+            ),
         },
     )
 
@@ -87,7 +93,10 @@ def admissions_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
 def admissions_gold(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     stays = _stored(spark, cfg, "silver/admissions")
     patients = _stored(spark, cfg, "silver/patients")
-    return _write(cfg, "gold", admissions.gold_tables(stays, patients))
+    gold = admissions.gold_tables(stays, patients)
+    if cfg.brief_gold:
+        gold = {name: admissions.brief(name, wide) for name, wide in gold.items()}
+    return _write(cfg, "gold", gold)
 
 
 def admissions_checks(spark: SparkSession, cfg: LayerConfig) -> DataFrame:

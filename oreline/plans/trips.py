@@ -10,13 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions.bands import band
-from oreline.functions.exact import (
-    avg_exact,
-    rate_pct,
-    rounded_ratio,
-    sum_exact,
-    units,
-)
+from oreline.functions.exact import avg_exact, rate_pct, sum_exact
 from oreline.functions.parse import parse_number, parse_timestamp
 from oreline.functions.text import is_blank
 from oreline.operators.aggregates import (
@@ -25,7 +19,6 @@ from oreline.operators.aggregates import (
     flag_total,
     pivot_counts,
     tally_where,
-    total_row,
 )
 from oreline.operators.fills import fill_constants, fill_mean
 from oreline.operators.quality import any_missing, flag
@@ -55,6 +48,18 @@ def _cancelled() -> Column:
     return F.col("trip_status") == "cancelled"
 
 
+def _sum_money(value: Column) -> Column:
+    return sum_exact(value, MONEY_PLACES)
+
+
+def _avg_money(value: Column) -> Column:
+    return avg_exact(value, MONEY_PLACES, 2)
+
+
+def _avg_measure(value: Column) -> Column:
+    return avg_exact(value, MEASURE_PLACES, 2)
+
+
 def fare_band(fare: Column) -> Column:
     return band(fare, FARE_BANDS, FARE_TOP_BAND)
 
@@ -64,29 +69,15 @@ def fare_band(fare: Column) -> Column:
 
 def bronze_summary(bronze: DataFrame) -> DataFrame:
     """One row of totals over the raw trips."""
-    return total_row(
-        bronze,
-        {
-            "unique_drivers": "driver_id",
-            "cities_covered": "pickup_city",
-            "vehicle_types": "vehicle_type",
-        },
-        {
-            "total_trips": F.count("*"),
-            "completed_trips": flag_total(_completed()),
-            "cancelled_trips": flag_total(_cancelled()),
-            "missing_driver_rows": flag_total(is_blank(F.col("driver_id"))),
-            "missing_fare_rows": flag_total(F.col("fare_amount").isNull()),
-        },
-    ).select(
-        F.coalesce("total_trips", F.lit(0)).alias("total_trips"),
-        "unique_drivers",
-        "cities_covered",
-        "vehicle_types",
-        "completed_trips",
-        "cancelled_trips",
-        "missing_driver_rows",
-        "missing_fare_rows",
+    return bronze.agg(
+        F.count("*").alias("total_trips"),
+        F.count_distinct("driver_id").alias("unique_drivers"),
+        F.count_distinct("pickup_city").alias("cities_covered"),
+        F.count_distinct("vehicle_type").alias("vehicle_types"),
+        flag_total(_completed()).alias("completed_trips"),
+        flag_total(_cancelled()).alias("cancelled_trips"),
+        flag_total(is_blank(F.col("driver_id"))).alias("missing_driver_rows"),
+        flag_total(F.col("fare_amount").isNull()).alias("missing_fare_rows"),
     )
 
 
@@ -134,41 +125,18 @@ def silver_trips(
 def silver_summary(silver: DataFrame) -> DataFrame:
     """One row of totals over the cleaned trips."""
     band_is = F.col("fare_category").eqNullSafe
-    fare = units(F.col("fare_amount"), MONEY_PLACES)
-    usd = units(F.col("fare_in_usd"), MONEY_PLACES)
-    totals = total_row(
-        silver,
-        {"unique_drivers": "driver_id", "cities": "pickup_city"},
-        {
-            "total_rows": F.count("*"),
-            "completed_trips": tally_where(_completed()),
-            "cancelled_trips": tally_where(_cancelled()),
-            "incomplete_records": tally_where(F.col("data_quality") == "incomplete"),
-            "budget_trips": tally_where(band_is("budget")),
-            "standard_trips": tally_where(band_is("standard")),
-            "premium_trips": tally_where(band_is("premium")),
-            "fare_units": F.sum(fare),
-            "fares": F.count(fare),
-            "usd_units": F.sum(usd),
-            "usds": F.count(usd),
-        },
-    )
-
-    def mean(total: str, count: str) -> Column:
-        return rounded_ratio(F.col(total), F.col(count), MONEY_PLACES, 2)
-
-    return totals.select(
-        F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
-        "unique_drivers",
-        "cities",
-        "completed_trips",
-        "cancelled_trips",
-        "incomplete_records",
-        "budget_trips",
-        "standard_trips",
-        "premium_trips",
-        mean("fare_units", "fares").alias("avg_fare_ngn"),
-        mean("usd_units", "usds").alias("avg_fare_usd"),
+    return silver.agg(
+        F.count("*").alias("total_rows"),
+        F.count_distinct("driver_id").alias("unique_drivers"),
+        F.count_distinct("pickup_city").alias("cities"),
+        tally_where(_completed()).alias("completed_trips"),
+        tally_where(_cancelled()).alias("cancelled_trips"),
+        tally_where(F.col("data_quality") == "incomplete").alias("incomplete_records"),
+        tally_where(band_is("budget")).alias("budget_trips"),
+        tally_where(band_is("standard")).alias("standard_trips"),
+        tally_where(band_is("premium")).alias("premium_trips"),
+        _avg_money(F.col("fare_amount")).alias("avg_fare_ngn"),
+        _avg_money(F.col("fare_in_usd")).alias("avg_fare_usd"),
     )
 
 
@@ -208,18 +176,6 @@ def cleaning_counts(exported: DataFrame) -> DataFrame:
 # Gold
 
 
-def _sum_money(value: Column) -> Column:
-    return sum_exact(value, MONEY_PLACES)
-
-
-def _avg_money(value: Column) -> Column:
-    return avg_exact(value, MONEY_PLACES, 2)
-
-
-def _avg_measure(value: Column) -> Column:
-    return avg_exact(value, MEASURE_PLACES, 2)
-
-
 def _rated() -> Column:
     """Given ratings: 0.0 marks a missing one."""
     return F.when(F.col("rating") > 0, F.col("rating"))

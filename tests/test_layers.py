@@ -57,6 +57,18 @@ def test_admissions_end_to_end(spark, hospital, folder, stable_ids):
     assert trends.where("age_group IS NULL").count() == 0
 
 
+def test_the_scheduled_jobs_form(spark, hospital, folder):
+    source, written = hospital
+    cfg = layers.LayerConfig(source, f"{folder}/lake", band_after_round=True, brief_gold=True)
+    assert layers.run_admissions(spark, cfg)["silver/admissions"] == written
+    summary = readers.read_path(spark, cfg.path("gold/admission_summary"))
+    assert summary.columns == [
+        "medical_condition", "admission_type", "total_admissions", "avg_length_of_stay",
+        "avg_billing_amount", "abnormal_rate_pct",
+    ]
+    assert summary.selectExpr("sum(total_admissions)").first()[0] == written
+
+
 def test_both_tables_share_each_rows_key(spark, hospital, folder):
     source, _ = hospital
     cfg = layers.LayerConfig(source, f"{folder}/lake")

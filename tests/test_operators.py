@@ -12,7 +12,6 @@ from oreline.operators.aggregates import (
     pivot_counts,
     tally_where,
     top_rows,
-    total_row,
 )
 from oreline.operators.fills import fill_constants, fill_mean
 from oreline.operators.joins import attach
@@ -44,18 +43,6 @@ def test_frequencies(spark):
     assert rows(frequencies(df, "v")) == [("x", 2), ("y", 1), (None, 1)]
 
 
-def test_total_row_equals_plain_distinct_counts(spark):
-    data = [("a", "p", 1), ("a", "q", 2), ("", "p", None), (None, "p", 4), ("b", None, 5)]
-    df = spark.createDataFrame(data, "x string, y string, n int")
-    sums = {"all": F.count("*"), "n": F.sum("n"), "big": tally_where(F.col("n") > 9)}
-    folded = total_row(df, {"xs": "x", "ys": "y"}, sums)
-    plain = df.agg(
-        F.count_distinct("x"), F.count_distinct("y"), F.count("*"), F.sum("n"),
-        tally_where(F.col("n") > 9),
-    )
-    assert rows(folded) == rows(plain) == [(3, 2, 5, 12, None)]
-
-
 def test_top_rows_breaks_ties_by_key(spark):
     df = spark.createDataFrame([("c", 1), ("a", 1), ("b", 2), ("d", 1)], "k string, n int")
     got = top_rows(df, 2, F.desc("n"), F.asc("k"))
