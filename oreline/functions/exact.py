@@ -20,8 +20,8 @@ def known(value: Column) -> Column:
 
 
 def units(value: Column, places: int) -> Column:
-    """Nearest whole number of ``10**-places`` units, as bigint."""
-    return F.floor(known(value) * F.lit(float(10**places)) + F.lit(0.5))
+    """Nearest whole number of ``10**-places`` units, as bigint; raises if it does not fit."""
+    return F.rint(known(value) * F.lit(float(10**places))).cast("bigint")
 
 
 def from_units(total: Column, places: int) -> Column:

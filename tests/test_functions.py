@@ -88,6 +88,19 @@ def test_sum_overflow_raises(spark):
         df.agg(sum_exact(F.col("x"), 2)).collect()
 
 
+def test_value_too_large_for_units_raises(spark):
+    df = spark.createDataFrame([(1.0e17,)], "x double")
+    with pytest.raises(Exception, match="OVERFLOW"):
+        df.agg(sum_exact(F.col("x"), 2)).collect()
+
+
+def test_units_of_negative_and_noisy_values(spark):
+    values = [-2008.49, 0.1 + 0.2, 1129.46 - 200, 4.35, -0.005]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = column(df.select(units(F.col("x"), 2).alias("u")), "u")
+    assert got[:4] == [-200849, 30, 92946, 435]
+
+
 def test_rate_type_and_rounding(spark):
     df = spark.range(16).agg(rate_pct(F.count_if(F.col("id") < 1), F.count("*")).alias("r"))
     assert df.schema["r"].dataType.simpleString() == "decimal(26,1)"
