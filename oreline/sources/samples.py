@@ -82,9 +82,6 @@ _TEXT_NUMBERS = {
     "rating": f"cast({_RATING} AS string)",
 }
 
-# An empty row follows some of the rows.
-_FILLED = "explode(CASE WHEN o_orderkey % 73 = 0 THEN array(true, false) ELSE array(true) END)"
-
 _ADMISSIONS = {
     "admission_id": "o_orderkey",
     "patient_name": (
@@ -157,9 +154,12 @@ def bronze_trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def exported_trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Trips as an export: untidy headers, numbers as text, a wholly empty row here and there."""
     wanted = columns or tuple(TRIP_COLUMNS)
-    meanings = {**_TRIPS, **_TEXT_TIMES, **_TEXT_NUMBERS, "_filled": _FILLED}
+    meanings = {**_TRIPS, **_TEXT_TIMES, **_TEXT_NUMBERS}
+    derived = _derive(spark, sf_dir, meanings, tuple(dict.fromkeys(("trip_id", *wanted))))
+    # An empty row follows some of the rows.
+    filled = "CASE WHEN bigint(trip_id) % 73 = 0 THEN array(true, false) ELSE array(true) END"
     titles = {name: f" {name.replace('_', ' ').title()} " for name in wanted}
-    return _derive(spark, sf_dir, meanings, (*wanted, "_filled")).selectExpr(
+    return derived.withColumn("_filled", F.explode(F.expr(filled))).selectExpr(
         *[f"CASE WHEN _filled THEN {name} END AS `{title}`" for name, title in titles.items()]
     )
 
