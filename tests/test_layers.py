@@ -198,3 +198,15 @@ def test_corrupt_admissions_are_kept_apart(spark, tmp_path):
     assert (counts["bronze/patients"], counts["bronze/corrupt"]) == (2, 1)
     corrupt = readers.read_path(spark, cfg.path("bronze/corrupt"))
     assert column(corrupt, "_corrupt_record") == [bad]
+
+
+def test_parallel_writes_keep_the_callers_job_group(spark, folder):
+    sc = spark.sparkContext
+    sc.setJobGroup("layer-writes", "two tables")
+    try:
+        frames = {"a": spark.range(3), "b": spark.range(4)}
+        assert sinks.write_all(frames, folder) == {"a": 3, "b": 4}
+        assert len(sc.statusTracker().getJobIdsForGroup("layer-writes")) >= 2
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sinks.write_all({}, folder) == {}
