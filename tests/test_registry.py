@@ -7,7 +7,7 @@ import pytest
 from helpers import plan
 
 import __spark_entry__ as entry
-from oreline.plans import registry
+from oreline.plans import oracle, registry
 
 RUNS_JOBS = {"validate_row_counts", "landing_trips", "stream_trip_events", "stream_quarantine"}
 
@@ -18,15 +18,17 @@ def duck(sf_dir):
 
 
 def test_each_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query_equals_sql(spark, duck, sf_dir, name):
     assert oracle_check.compare(spark, duck, name, sf_dir) == ""
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in RUNS_JOBS])
+@pytest.mark.parametrize("name", [n for n in registry.queries() if n not in RUNS_JOBS])
 def test_plan_scales(spark, sf_dir, name):
     said = plan(entry.queries()[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "CollectLimit"):
