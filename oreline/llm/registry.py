@@ -7,16 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from oreline.llm.common import documents
+from oreline.llm.decontamination import contamination
 from oreline.llm.exact_dedup import exact_dedup
 from oreline.llm.packing import pack_documents
 from oreline.llm.records import round_trip
 from oreline.llm.simhash import near_dedup
+from oreline.llm.toxicity import score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {
     "op1_exact_dedup": lambda spark, d: exact_dedup(documents(spark, d)),
     "op5_token_records": lambda spark, d: round_trip(spark, documents(spark, d)),
+    "op6_decontamination": lambda spark, d: contamination(
+        documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")
+    ),
+    "op8_toxicity": lambda spark, d: score_documents(
+        documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")
+    ),
     "op9_simhash_near_dedup": lambda spark, d: near_dedup(documents(spark, d)),
     "op10_best_fit_packing": lambda spark, d: pack_documents(documents(spark, d)),
 }
