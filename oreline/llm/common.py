@@ -31,7 +31,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def released(df: DataFrame) -> None:
+    """Delete a :func:`stored` table that no later step reads."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_name(df: DataFrame, wish: str) -> str:

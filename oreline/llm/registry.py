@@ -12,12 +12,14 @@ from oreline.llm.exact_dedup import exact_dedup
 from oreline.llm.packing import pack_documents
 from oreline.llm.records import round_trip
 from oreline.llm.simhash import near_dedup
+from oreline.llm.substring_dedup import substring_dedup
 from oreline.llm.toxicity import score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {
     "op1_exact_dedup": lambda spark, d: exact_dedup(documents(spark, d)),
+    "op4_substring_dedup": lambda spark, d: substring_dedup(documents(spark, d)).drop("kept_text"),
     "op5_token_records": lambda spark, d: round_trip(spark, documents(spark, d)),
     "op6_decontamination": lambda spark, d: contamination(
         documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")

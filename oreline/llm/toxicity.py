@@ -36,13 +36,14 @@ from oreline.llm.common import stored
 
 THRESHOLD = 0.3
 TRAIN_ROWS = 16_384
-# Features live in a hashed space; at most MOST_FEATURES with a score of at least LEAST_Z are kept.
+# Features live in a hashed space; at most MOST_FEATURES whose likelihood ratio (G) between toxic and
+# other rows is at least LEAST_G are kept: about one in a million gets there by chance.
 FEATURE_SPACE = 1 << 22
 MOST_FEATURES = 20_000
-LEAST_Z = 4.0
+LEAST_G = 22.0
 PREFIXES = (4, 5)
 PENALTY = 4.0
-RIDGE = 1e-3
+RIDGE = 2e-4
 STEPS = 300
 
 # Terms that name groups of people; those of one line may stand for each other.
@@ -141,15 +142,16 @@ class _Rows:
 
 
 def _choose(rows: _Rows, toxic: np.ndarray) -> np.ndarray:
-    """Features whose share among toxic rows differs from that among the others, best first."""
-    n1, n0 = max(1, toxic.sum()), max(1, (1 - toxic).sum())
+    """Features whose rows are toxic far more or less often than all rows are, best first."""
+    prior = (toxic.sum() + 0.5) / (len(toxic) + 1)
     with1, with0 = rows.back(toxic, FEATURE_SPACE), rows.back(1 - toxic, FEATURE_SPACE)
-    share = (with1 + with0) / (n1 + n0)
-    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
-    z = np.abs(with1 / n1 - with0 / n0) / spread
-    z[with1 + with0 < 3] = 0
-    best = np.argsort(-z, kind="stable")[:MOST_FEATURES]
-    return best[z[best] >= LEAST_Z]
+    both = np.maximum(with1 + with0, 1)
+    g = 2 * (
+        with1 * np.log(np.maximum(with1, 1e-9) / (both * prior))
+        + with0 * np.log(np.maximum(with0, 1e-9) / (both * (1 - prior)))
+    )
+    best = np.argsort(-g, kind="stable")[:MOST_FEATURES]
+    return best[g[best] >= LEAST_G]
 
 
 def fit(labels: list, own: list[np.ndarray], other: list) -> dict[int, float]:
