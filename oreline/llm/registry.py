@@ -5,25 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from oreline.llm.chat import mask_text, perspectives
 from oreline.llm.common import documents
 from oreline.llm.decontamination import contamination
 from oreline.llm.exact_dedup import exact_dedup
+from oreline.llm.licenses import license_scan
 from oreline.llm.packing import pack_documents
 from oreline.llm.records import round_trip
 from oreline.llm.simhash import near_dedup
 from oreline.llm.substring_dedup import substring_dedup
+from oreline.llm.token_counts import token_counts
 from oreline.llm.toxicity import score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+
+def _perspectives(spark: SparkSession, d: str) -> DataFrame:
+    turns = spark.read.parquet(f"{d}/conversations.parquet")
+    return perspectives(turns).withColumn("mask", mask_text(F.col("mask")))
+
+
+def _licenses(spark: SparkSession, d: str) -> DataFrame:
+    found = license_scan(documents(spark, d))
+    return found.select(
+        "doc_id",
+        F.size("identifiers").alias("n_sentences"),
+        F.array_join("identifiers", ",").alias("identifiers"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
 _QUERIES: dict[str, Query] = {
     "op1_exact_dedup": lambda spark, d: exact_dedup(documents(spark, d)),
+    "op2_chat_perspectives": _perspectives,
+    "op3_token_counts": lambda spark, d: token_counts(documents(spark, d)),
     "op4_substring_dedup": lambda spark, d: substring_dedup(documents(spark, d)).drop("kept_text"),
     "op5_token_records": lambda spark, d: round_trip(spark, documents(spark, d)),
     "op6_decontamination": lambda spark, d: contamination(
         documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")
     ),
+    "op7_license_scan": _licenses,
     "op8_toxicity": lambda spark, d: score_documents(
         documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")
     ),
@@ -44,6 +68,26 @@ SELECT doc_id,
        doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept,
        text_sha256
 FROM t""",
+    "op2_chat_perspectives": """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         coalesce(CAST(floor(turn / 256) AS BIGINT), -1) AS segment
+  FROM conversations
+),
+speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t),
+r AS (
+  SELECT t.*, speaker,
+         CASE WHEN role = speaker THEN '<|assistant|>' || chr(10)
+              ELSE '<|user name=' || role || '|>' || chr(10) END AS header,
+         text || '<|end|>' || chr(10) AS body,
+         CASE WHEN role = speaker THEN '1:' ELSE '0:' END AS own
+  FROM t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+)
+SELECT conv_id, speaker, segment, CAST(count(*) AS INTEGER) AS n_turns,
+       string_agg(header || body, '' ORDER BY turn NULLS FIRST, role, text) AS text,
+       string_agg('0:' || length(header) || ',' || own || length(body), ','
+                  ORDER BY turn NULLS FIRST, role, text) AS mask
+FROM r GROUP BY conv_id, speaker, segment""",
 }
 
 
