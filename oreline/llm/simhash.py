@@ -109,6 +109,11 @@ def masked_balls(max_distance: int) -> list[tuple[int, int]]:
     return variants
 
 
+def _distance(prints: np.ndarray, others) -> np.ndarray:
+    # bitwise_count takes the absolute value of signed numbers.
+    return np.bitwise_count((prints ^ others).view(np.uint64))
+
+
 def _forest(prints: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among distinct fingerprints, compared one against the rest."""
     found = []
@@ -117,7 +122,7 @@ def _forest(prints: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             one = queue.pop()
-            near = np.bitwise_count(left ^ one) <= max_distance
+            near = _distance(left, one) <= max_distance
             linked = left[near]
             found += [(one, other) for other in linked]
             queue += list(linked)
@@ -142,7 +147,7 @@ def _bucket_links(batches: Iterator[pa.RecordBatch], max_distance: int, most: in
     def links(prints, starts, sizes):
         i = starts[sizes == 2]
         a, b = prints[i], prints[i + 1]
-        near = np.bitwise_count(a ^ b) <= max_distance
+        near = _distance(a, b) <= max_distance
         more = [
             pair
             for s, n in zip(starts[sizes > 2], sizes[sizes > 2], strict=True)
