@@ -45,3 +45,8 @@ def distinct_values(df: DataFrame, value: Column, name: str) -> DataFrame:
 
 def aliased(measures: Mapping[str, Column]) -> Sequence[Column]:
     return [column.alias(name) for name, column in measures.items()]
+
+
+def in_order(df: DataFrame, ordered: bool, *columns: Column | str) -> DataFrame:
+    """``df`` sorted for reading; as it is if it is to be stored. End with the key: no ties."""
+    return df.orderBy(*columns) if ordered else df

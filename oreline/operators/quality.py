@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreline.functions.exact import rate_pct
+from oreline.functions.parse import is_unread
 from oreline.functions.text import is_blank, is_padded
 from oreline.operators.aggregates import count_where
 from oreline.operators.reshape import quoted
@@ -84,10 +86,18 @@ def frequencies_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def profile_frequencies(
     df: DataFrame, columns: Sequence[str], by_value: Sequence[str] = ()
 ) -> DataFrame:
-    """Frequencies of each column, most frequent first; the ``by_value`` ones in value order."""
+    """Frequencies of each column, most frequent first; the ``by_value`` ones in value order.
+
+    Numbers are ordered as numbers.
+    """
     counted = frequencies_of(df, columns)
+    is_number = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema}
+    numeric = [c for c in columns if is_number[c]]
     first = F.when(F.col("column").isin(*by_value), None).otherwise(F.col("rows"))
-    return counted.orderBy("column", F.desc(first), F.asc_nulls_last("value"))
+    number = F.when(F.col("column").isin(*numeric), F.col("value").try_cast("double"))
+    return counted.orderBy(
+        "column", F.desc(first), F.asc_nulls_last(number), F.asc_nulls_last("value")
+    )
 
 
 def profile_shape(df: DataFrame, table: str) -> DataFrame:
@@ -110,6 +120,24 @@ def padded_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _as_rows(counted, names, "padded")
 
 
+def unread_counts(df: DataFrame, parsers: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """``(column, given, unread)``: text values given, and those their parser makes nothing of."""
+    names = {f"c{i}": name for i, name in enumerate(parsers)}
+    counted = df.agg(
+        *[count_where(~is_blank(F.col(n))).alias(f"{key}_given") for key, n in names.items()],
+        *[
+            count_where(is_unread(F.col(n), parsers[n](F.col(n)))).alias(f"{key}_unread")
+            for key, n in names.items()
+        ],
+    )
+    rows = [
+        F.struct(F.lit(n).alias("column"), F.col(f"{key}_given").alias("given"),
+                 F.col(f"{key}_unread").alias("unread"))
+        for key, n in names.items()
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, rows)`` of several frames in one job."""
     counted = [

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from oreline.functions.exact import from_units, units
+from oreline.functions.exact import exact_total, plain_total
 
 
 def top_k_per_group(
@@ -23,34 +23,53 @@ def top_k_per_group(
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-def running_total(
-    df: DataFrame, at: str, amount: str, total: str, places: int, bucket: str = "day"
-) -> DataFrame:
+def running_total(df: DataFrame, at: str, amount: str, total: str, places: int) -> DataFrame:
     """``sum(amount) over (order by at)``: rows with equal ``at`` share a value, NULL ``at`` last.
 
     One window over all rows would be one task. Instead amounts are summed per time (map-side
-    first, so a hot time is one row after it), accumulated within each ``bucket`` of time, and
-    lifted by the total of the buckets before. No window sees more than one bucket's distinct
-    times, or one row per bucket: for times kept to the second, 86,400 per day and one row per
-    day. Rows then look up their time; AQE splits the partition of a hot one.
+    first, so a hot time is one row after it), then per second and per day. Each level is
+    accumulated within the one above it: no window sees more than one row per day, 86,400 seconds
+    of a day, or the million microseconds of a second, however the rows are spread over time. Rows
+    then look up their time; AQE splits the partition of a hot one.
     """
-    spent, part, before, within = "_units", "_bucket", "_before", "_within"
-    # As a number with the missing time last, so that joins need no null-safe key.
-    number = F.coalesce(F.unix_seconds(F.date_trunc(bucket, "_at")), F.lit(2**63 - 1))
+    value = F.col(amount)
+    # Exact where it can be; groups that cannot are counted and get the plain sum.
+    exact, plain = exact_total(value, places), plain_total(value)
+    inexact = (exact.isNull() & plain.isNotNull()).cast("bigint")
+    # As numbers with the missing time last, so that joins need no null-safe key.
+    second = F.coalesce(F.unix_seconds("_at"), F.lit(2**62))
     per_time = (
         df.groupBy(F.col(at).alias("_at"))
-        .agg(F.sum(units(F.col(amount), places)).alias(spent))
-        .withColumn(part, number)
+        .agg(exact.alias("_e"), plain.alias("_p"), inexact.alias("_n"))
+        .withColumn("_second", second)
+        .withColumn("_day", F.floor(F.col("_second") / 86_400))
+    )
+    sums = ["_e", "_p", "_n"]
+
+    def added(prefix: str) -> list[Column]:
+        return [F.try_sum(c).alias(f"{prefix}{c}") for c in sums]
+
+    def so_far(prefix: str, window: WindowSpec) -> list[Column]:
+        return [F.try_sum(c).over(window).alias(f"{prefix}{c}") for c in sums]
+
+    def both(first: str, second: str, alias: str) -> list[Column]:
+        """NULL until the first known amount, as a plain windowed sum gives."""
+        pairs = [(F.col(f"{first}{c}"), F.col(f"{second}{c}"), c) for c in sums]
+        return [F.coalesce(a + b, a, b).alias(f"{alias}{c}") for a, b, c in pairs]
+
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    seconds = per_time.groupBy("_day", "_second").agg(*added("")).select("_day", "_second", *sums)
+    days = seconds.groupBy("_day").agg(*added("")).select("_day", *sums)
+    days = days.select("_day", *so_far("d", before.orderBy("_day")))
+    in_day = seconds.select(
+        "_day", "_second", *so_far("s", before.partitionBy("_day").orderBy("_second"))
     )
-    earlier = W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        per_time.groupBy(part)
-        .agg(F.sum(spent).alias(spent))
-        .select(part, F.sum(spent).over(earlier).alias(before))
+    earlier = in_day.join(days, "_day").select("_second", *both("d", "s", "b"))
+    within = W.partitionBy("_second").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    times = per_time.select("_at", "_second", *so_far("w", within)).join(earlier, "_second")
+    whole = times.select("_at", *both("b", "w", "t"))
+    sound = F.coalesce(F.col("t_n"), F.lit(0)) == 0
+    totals = whole.select(
+        "_at", F.when(sound, F.col("t_e").cast("double")).otherwise(F.col("t_p")).alias(total)
     )
-    so_far = W.partitionBy(part).orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
-    inside = per_time.withColumn(within, F.sum(spent).over(so_far))
-    # NULL until the first known amount, as a plain windowed sum gives.
-    whole = F.coalesce(F.col(before) + F.col(within), before, within)
-    totals = inside.join(offsets, part).select("_at", from_units(whole, places).alias(total))
     return df.join(totals, F.col(at).eqNullSafe(F.col("_at"))).drop("_at")

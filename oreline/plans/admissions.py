@@ -9,7 +9,13 @@ from oreline.functions.bands import band
 from oreline.functions.exact import avg_exact, avg_whole, mean_exact, rate_pct, sum_exact
 from oreline.functions.parse import parse_date
 from oreline.functions.text import pseudonym, upper_trim
-from oreline.operators.aggregates import aliased, count_where, pivot_counts, top_rows
+from oreline.operators.aggregates import (
+    aliased,
+    count_where,
+    in_order,
+    pivot_counts,
+    top_rows,
+)
 from oreline.operators.joins import attach
 from oreline.operators.quality import flag
 from oreline.operators.reshape import rename_select
@@ -121,7 +127,7 @@ def _result_is(value: str) -> Column:
     return F.col("test_results") == value
 
 
-def admission_summary(admissions: DataFrame) -> DataFrame:
+def admission_summary(admissions: DataFrame, ordered: bool = True) -> DataFrame:
     """Per condition and kind of admission."""
     stay = F.col("length_of_stay_days")
     abnormal = count_where(_result_is("ABNORMAL"))
@@ -137,7 +143,7 @@ def admission_summary(admissions: DataFrame) -> DataFrame:
     return (
         admissions.groupBy("medical_condition", "admission_type")
         .agg(*aliased(measures))
-        .orderBy(F.desc("total_admissions"))
+        .transform(in_order, ordered, F.desc("total_admissions"), "medical_condition", "admission_type")
     )
 
 
@@ -173,7 +179,7 @@ def doctor_performance(admissions: DataFrame, rows: int = REPORT_ROWS) -> DataFr
     return top_rows(summed, rows, F.desc("total_patients"), F.asc("doctor"))
 
 
-def disease_trends(joined: DataFrame) -> DataFrame:
+def disease_trends(joined: DataFrame, ordered: bool = True) -> DataFrame:
     """Per condition and age group, from stays with their patients."""
     emergency = count_where(F.col("admission_type") == "EMERGENCY")
     measures = {
@@ -187,11 +193,11 @@ def disease_trends(joined: DataFrame) -> DataFrame:
     return (
         joined.groupBy("medical_condition", "age_group")
         .agg(*aliased(measures))
-        .orderBy("medical_condition", F.desc("total_cases"))
+        .transform(in_order, ordered, "medical_condition", F.desc("total_cases"), "age_group")
     )
 
 
-def insurance_analysis(admissions: DataFrame) -> DataFrame:
+def insurance_analysis(admissions: DataFrame, ordered: bool = True) -> DataFrame:
     """Per insurer."""
     high = count_where(F.col("billing_category") == "high")
     measures = {
@@ -206,7 +212,7 @@ def insurance_analysis(admissions: DataFrame) -> DataFrame:
     return (
         admissions.groupBy("insurance_provider")
         .agg(*aliased(measures))
-        .orderBy(F.desc("total_billed"))
+        .transform(in_order, ordered, F.desc("total_billed"), "insurance_provider")
     )
 
 
@@ -266,8 +272,18 @@ GOLD = {
 
 
 def gold_tables(admissions: DataFrame, patients: DataFrame) -> dict[str, DataFrame]:
+    """The gold tables as they are stored: not sorted, but for the reports of the top rows."""
     joined = with_patients(admissions, patients.select(KEY, "age_group"))
     return {
-        name: build(joined if name == "disease_trends" else admissions)
-        for name, build in GOLD.items()
+        "admission_summary": admission_summary(admissions, ordered=False),
+        "hospital_revenue": hospital_revenue(admissions),
+        "doctor_performance": doctor_performance(admissions),
+        "disease_trends": disease_trends(joined, ordered=False),
+        "insurance_analysis": insurance_analysis(admissions, ordered=False),
     }
+
+
+def disease_keys(admissions: DataFrame, patients: DataFrame) -> DataFrame:
+    """The distinct keys of ``disease_trends``."""
+    joined = with_patients(admissions.select(KEY, "medical_condition"), patients.select(KEY, "age_group"))
+    return joined.select("medical_condition", "age_group").distinct()

@@ -6,7 +6,7 @@ again at any layer and a lost executor costs one layer at most.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from oreline.operators.quality import enforce_contract, row_count_contract
 from oreline.operators.reshape import with_content_id, with_row_id
 from oreline.plans import admissions, trips
-from oreline.schemas import HOSPITAL_SCHEMA, TRIP_TEXT_SCHEMA
-from oreline.session import scratch_path
-from oreline.sources.readers import CORRUPT_COLUMN, read_csv, read_path
-from oreline.sources.sinks import write_all, write_path
-from oreline.streaming.landing import append_new_files, landing_source
+from oreline.schemas import HOSPITAL_SCHEMA, REPORT_ROWS, TRIP_TEXT_SCHEMA
+from oreline.sources.readers import CORRUPT_COLUMN, read_csv, read_path, read_table
+from oreline.sources.sinks import register_view, write_all, write_json_records, write_table
+from oreline.streaming.landing import BATCH, MAX_FILE_AGE, append_new_files, reload_files
 
 
 @dataclass(frozen=True)
@@ -28,9 +27,12 @@ class LayerConfig:
 
     ``expected`` adds row counts to the built-in rules, per table: a number, or a frame that must
     be as long. ``stable_ids`` gives admissions an id made from the row, equal in every run, at
-    the price of a shuffle; by default it is a position. ``keep_corrupt`` keeps source lines that
-    do not fit the schema as they came: trips in a bronze column, admissions in ``bronze/corrupt``.
-    ``max_files`` bounds the files that one micro-batch takes from a landing folder.
+    the price of a shuffle; by default it is a position. Either way the id is text. Source lines
+    that do not fit the schema are kept as they came unless ``keep_corrupt`` is off: trips in a
+    bronze column, admissions in ``bronze/corrupt``. ``max_files`` bounds the files that one
+    micro-batch takes from a landing folder, ``max_file_age`` the age of files that it takes, and
+    ``archive`` is where files go once taken in. ``catalog`` names a database whose tables
+    ``<catalog>.<layer>_<name>`` are kept instead of paths under ``base``.
     ``band_after_round`` and ``brief_gold`` give admissions as the scheduled job does: bills banded
     once rounded, and the shorter gold tables.
     """
@@ -39,8 +41,11 @@ class LayerConfig:
     base: str
     fmt: str = "parquet"
     stable_ids: bool = False
-    keep_corrupt: bool = False
+    keep_corrupt: bool = True
     max_files: int | None = None
+    max_file_age: str = MAX_FILE_AGE
+    archive: str | None = None
+    catalog: str | None = None
     band_after_round: bool = False
     brief_gold: bool = False
     expected: Mapping[str, int | DataFrame] = field(default_factory=dict)
@@ -49,24 +54,62 @@ class LayerConfig:
         return f"{self.base}/{table}"
 
 
+    def table(self, name: str) -> str:
+        return f"{self.catalog}.{name.replace('/', '_')}"
+
+
+# The landing table is fed file by file, so it is always kept by path.
+_BY_PATH = ("bronze/trips",)
+
+
 def _stored(spark: SparkSession, cfg: LayerConfig, table: str) -> DataFrame:
+    if cfg.catalog and table not in _BY_PATH:
+        return read_table(spark, cfg.table(table))
     return read_path(spark, cfg.path(table), cfg.fmt)
 
 
 def _write(cfg: LayerConfig, layer: str, frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    return write_all({f"{layer}/{name}": df for name, df in frames.items()}, cfg.base, cfg.fmt)
+    named = {f"{layer}/{name}": df for name, df in frames.items()}
+    if cfg.catalog:
+        return {name: write_table(df, cfg.table(name), cfg.fmt) for name, df in named.items()}
+    return write_all(named, cfg.base, cfg.fmt)
+
+
+def register_views(
+    spark: SparkSession, cfg: LayerConfig, tables: Sequence[str]
+) -> dict[str, DataFrame]:
+    """A session view ``<layer>_<name>`` of each stored table."""
+    return {
+        t: register_view(_stored(spark, cfg, t), t.replace("/", "_")) for t in tables
+    }
+
+
+def _checked(
+    spark: SparkSession, cfg: LayerConfig, rules: Mapping[str, int | DataFrame]
+) -> DataFrame:
+    rules = {**rules, **cfg.expected}
+    return row_count_contract({t: _stored(spark, cfg, t) for t in rules}, rules)
+
+
+def _keys(stays: DataFrame, *columns: str, most: int | None = None) -> DataFrame:
+    """Distinct keys of a gold table, as many as it must have rows."""
+    keys = stays.select(*columns).distinct()
+    return keys.limit(most) if most else keys
 
 
 # Admissions
 
 
 def admissions_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
-    """Source rows get their key once, in a stored table; both bronze tables are cut from it."""
+    """Source rows get their key once, in the bronze table ``keyed``; the others are cut from it.
+
+    It holds what the two tables hold together, in the same place, and goes with them.
+    """
     rows = read_csv(spark, cfg.source, HOSPITAL_SCHEMA, cfg.keep_corrupt)
     give_id = with_content_id if cfg.stable_ids else with_row_id
-    staged = scratch_path(spark, "keyed-admissions")
-    write_path(give_id(rows, admissions.KEY), staged)
-    keyed = read_path(spark, staged)
+    key = F.col(admissions.KEY).cast("string")
+    written = _write(cfg, "bronze", {"keyed": give_id(rows, admissions.KEY).withColumn(admissions.KEY, key)})
+    keyed = _stored(spark, cfg, "bronze/keyed")
     frames = {
         "patients": admissions.bronze_patients(keyed),
         "admissions": admissions.bronze_admissions(keyed),
@@ -74,7 +117,7 @@ def admissions_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     if cfg.keep_corrupt:
         broken = keyed.where(F.col(CORRUPT_COLUMN).isNotNull())
         frames["corrupt"] = broken.select(admissions.KEY, CORRUPT_COLUMN)
-    return _write(cfg, "bronze", frames)
+    return {**written, **_write(cfg, "bronze", frames)}
 
 
 def admissions_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
@@ -99,16 +142,29 @@ def admissions_gold(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     return _write(cfg, "gold", gold)
 
 
+def source_rows(spark: SparkSession, cfg: LayerConfig, schema: str) -> DataFrame:
+    """The source as a frame to count: its lines, parsed as little as possible."""
+    return read_csv(spark, cfg.source, schema, keep_corrupt=False)
+
+
 def admissions_checks(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
-    """Stays and patients are as many in bronze, and silver keeps every bronze row."""
+    """All nine tables: bronze against the source, silver against bronze, gold against its keys."""
+    source = source_rows(spark, cfg, HOSPITAL_SCHEMA)
+    stays = _stored(spark, cfg, "silver/admissions")
     rules: dict[str, int | DataFrame] = {
-        "bronze/patients": _stored(spark, cfg, "bronze/admissions"),
-        "bronze/admissions": _stored(spark, cfg, "bronze/patients"),
+        "bronze/patients": source,
+        "bronze/admissions": source,
         "silver/patients": _stored(spark, cfg, "bronze/patients"),
         "silver/admissions": _stored(spark, cfg, "bronze/admissions"),
-        **cfg.expected,
+        "gold/admission_summary": _keys(stays, "medical_condition", "admission_type"),
+        "gold/hospital_revenue": _keys(stays, "hospital", most=REPORT_ROWS),
+        "gold/doctor_performance": _keys(stays, "doctor", most=REPORT_ROWS),
+        "gold/disease_trends": admissions.disease_keys(
+            stays, _stored(spark, cfg, "silver/patients")
+        ),
+        "gold/insurance_analysis": _keys(stays, "insurance_provider"),
     }
-    return row_count_contract({t: _stored(spark, cfg, t) for t in rules}, rules)
+    return _checked(spark, cfg, rules)
 
 
 def run_admissions(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
@@ -125,24 +181,31 @@ def run_admissions(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
 # Trips
 
 
+def _landing(cfg: LayerConfig) -> dict:
+    return {
+        "keep_corrupt": cfg.keep_corrupt,
+        "fmt": cfg.fmt,
+        "max_files": cfg.max_files,
+        "max_file_age": cfg.max_file_age,
+        "archive": cfg.archive,
+    }
+
+
 def trips_reload(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
-    """Bronze written anew from all source files."""
-    rows = read_csv(spark, cfg.source, TRIP_TEXT_SCHEMA, cfg.keep_corrupt)
-    return _write(cfg, "bronze", {"trips": rows})
+    """Bronze written anew from all source files; later files are appended as before."""
+    reload_files(spark, cfg.source, TRIP_TEXT_SCHEMA, cfg.path("bronze/trips"), **_landing(cfg))
+    return {"bronze/trips": _stored(spark, cfg, "bronze/trips").count()}
 
 
 def trips_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Source files not seen before are appended to bronze; stored rows stay as they are."""
-    rows = landing_source(
-        spark, cfg.source, TRIP_TEXT_SCHEMA, cfg.max_files, cfg.keep_corrupt
-    )
-    append_new_files(rows, cfg.path("bronze/trips"), cfg.path("checkpoints/trips"), cfg.fmt)
+    append_new_files(spark, cfg.source, TRIP_TEXT_SCHEMA, cfg.path("bronze/trips"), **_landing(cfg))
     return {"bronze/trips": _stored(spark, cfg, "bronze/trips").count()}
 
 
 def trips_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Silver rebuilt from all of bronze."""
-    bronze = _stored(spark, cfg, "bronze/trips").drop(CORRUPT_COLUMN)
+    bronze = _stored(spark, cfg, "bronze/trips").drop(CORRUPT_COLUMN, BATCH)
     return _write(cfg, "silver", {"trips": trips.silver_trips(bronze)})
 
 
@@ -151,9 +214,21 @@ def trips_gold(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
 
 
 def trips_checks(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
-    """Silver keeps every bronze row."""
-    rules = {"silver/trips": _stored(spark, cfg, "bronze/trips"), **cfg.expected}
-    return row_count_contract({t: _stored(spark, cfg, t) for t in rules}, rules)
+    """Bronze holds the landed rows, silver every bronze row, gold a row per key.
+
+    Files that were archived are no longer in the landing folder; then bronze is not counted
+    against it.
+    """
+    silver = _stored(spark, cfg, "silver/trips")
+    rules: dict[str, int | DataFrame] = {
+        "silver/trips": _stored(spark, cfg, "bronze/trips"),
+        **{f"gold/{name}": keys for name, keys in trips.gold_keys(silver).items()},
+    }
+    if not cfg.archive:
+        landed = spark.read.options(header="true").csv(cfg.source)
+        appended = _stored(spark, cfg, "bronze/trips").where(~F.col(BATCH).startswith("landed-"))
+        rules["bronze/trips"] = landed.select(F.lit(1)).unionAll(appended.select(F.lit(1)))
+    return _checked(spark, cfg, rules)
 
 
 def run_trips(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
@@ -165,3 +240,17 @@ def run_trips(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     }
     enforce_contract(trips_checks(spark, cfg))
     return rows
+
+
+# Cleaning job
+
+
+def clean_file(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """A delimited export cleaned and written as JSON records; the counts of before and after.
+
+    Every column is read as text, so what cannot be read as a number is seen by the cleaning.
+    """
+    exported = spark.read.options(header="true", escape='"', ignoreLeadingWhiteSpace="false",
+                                  ignoreTrailingWhiteSpace="false").csv(source)
+    write_json_records(trips.clean_trips(exported), target)
+    return trips.cleaning_counts(exported)

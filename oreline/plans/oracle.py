@@ -373,17 +373,75 @@ _BRIEF = {
     ),
 }
 
+# What a table must have as many rows as, and what it holds.
 _CHECKED = {
-    "bronze/patients": "bronze",
-    "bronze/admissions": "bronze",
-    "silver/patients": "bronze",
-    "silver/admissions": "bronze",
-    "gold/admission_summary": "(SELECT DISTINCT medical_condition, admission_type FROM stays)",
-    "gold/hospital_revenue": "(SELECT DISTINCT hospital FROM stays LIMIT 20)",
-    "gold/doctor_performance": "(SELECT DISTINCT doctor FROM stays LIMIT 20)",
-    "gold/insurance_analysis": "(SELECT DISTINCT insurance_provider FROM stays)",
+    "bronze/patients": ("orders", "bronze"),
+    "bronze/admissions": ("orders", "bronze"),
+    "silver/patients": ("orders", "patients"),
+    "silver/admissions": ("orders", "stays"),
+    "gold/admission_summary": (
+        "(SELECT DISTINCT medical_condition, admission_type FROM stays)",
+        f"({_GOLD_STAYS['gold_admission_summary']})",
+    ),
+    "gold/hospital_revenue": (
+        "(SELECT DISTINCT hospital FROM stays LIMIT 20)", f"({_GOLD_STAYS['gold_hospital_revenue']})"
+    ),
+    "gold/doctor_performance": (
+        "(SELECT DISTINCT doctor FROM stays LIMIT 20)", f"({_GOLD_STAYS['gold_doctor_performance']})"
+    ),
+    "gold/disease_trends": (
+        "(SELECT DISTINCT medical_condition, age_group FROM joined)",
+        f"({_GOLD_STAYS['gold_disease_trends']})",
+    ),
+    "gold/insurance_analysis": (
+        "(SELECT DISTINCT insurance_provider FROM stays)",
+        f"({_GOLD_STAYS['gold_insurance_analysis']})",
+    ),
+}
+_TRIPS_CHECKED = {
+    "bronze/trips": ("orders", "trips"),
+    "silver/trips": ("orders", "silver"),
+    "gold/driver_performance": (
+        "(SELECT DISTINCT driver_id, driver_name, vehicle_type FROM silver "
+        "WHERE data_quality = 'ok')",
+        f"({_GOLD_TRIPS['gold_driver_performance']})",
+    ),
+    "gold/city_summary": (
+        "(SELECT DISTINCT pickup_city FROM silver)", f"({_GOLD_TRIPS['gold_city_summary']})"
+    ),
+    "gold/daily_trends": (
+        "(SELECT DISTINCT CAST(request_time AS DATE) FROM silver)",
+        f"({_GOLD_TRIPS['gold_daily_trends']})",
+    ),
+    "gold/payment_breakdown": (
+        f"(SELECT DISTINCT payment_type FROM silver WHERE {_DONE})",
+        f"({_GOLD_TRIPS['gold_payment_breakdown']})",
+    ),
+    "gold/vehicle_performance": (
+        "(SELECT DISTINCT vehicle_type FROM silver)", f"({_GOLD_TRIPS['gold_vehicle_performance']})"
+    ),
 }
 
+
+def _contract(checked: dict[str, tuple[str, str]]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, expected, actual, expected = actual AS ok FROM "
+        f"(SELECT COUNT(*) AS expected FROM {must} AS m), "
+        f"(SELECT COUNT(*) AS actual FROM {holds} AS h)"
+        for table, (must, holds) in checked.items()
+    )
+
+
+# Fares in units of 1e-5, ratings too.
+_FINE = f"""{_TRIPS},
+fine AS (
+  SELECT *, cents * 1000 + trip_id % 1000 + CASE WHEN trip_id % 3 = 0 THEN 400 ELSE 0 END AS f,
+    tenths * 10000 + trip_id % 7 AS r,
+    CAST(cents AS DOUBLE) / 100 + CAST(trip_id % 1000 AS DOUBLE) / 100000
+      + CASE WHEN trip_id % 3 = 0 THEN 0.004::DOUBLE ELSE 0.0::DOUBLE END AS fine_fare
+  FROM trips
+)"""
+
 _TRIP_TYPES = (
     "trip_id bigint, driver_id string, driver_name string, rider_id string, pickup_city string, "
     "pickup_location string, dropoff_city string, dropoff_location string, request_time string, "
@@ -531,9 +589,44 @@ def oracle_sql() -> dict[str, str]:
               CAST(SUM(length_of_stay_days) AS DOUBLE)
                 / CAST(COUNT(length_of_stay_days) AS DOUBLE) AS mean_stay_days
             FROM stays"""),
-        "validate_row_counts": _with(_STAYS, "\nUNION ALL ".join(
-            f"SELECT '{table}' AS table_name, COUNT(*) AS expected, COUNT(*) AS actual, "
-            f"true AS ok FROM {source}" for table, source in _CHECKED.items())),
+        "validate_row_counts": _with(_STAYS, _contract(_CHECKED)),
+        "validate_trip_layers": _with(_SILVER_TRIPS, _contract(_TRIPS_CHECKED)),
+        "catalog_insurance_analysis": _with(_STAYS, _GOLD_STAYS["gold_insurance_analysis"]),
+        "admission_dates": _with(_SOURCE, """
+            SELECT k AS admission_id, CASE WHEN k % 89 = 0 OR k % 83 = 0 THEN NULL
+              ELSE CAST(o_orderdate AS DATE) END AS date_of_admission
+            FROM source"""),
+        "time_reading": _with(_TRIPS, "\nUNION ALL ".join(
+            f"SELECT '{name}_time' AS \"column\", "
+            f"COUNT(*) FILTER (trim({name}_text) <> '') AS given, "
+            f"COUNT(*) FILTER (trim({name}_text) <> '' AND "
+            f"try_strptime({name}_text, {_FORMAT}) IS NULL) AS unread FROM trips"
+            for name in ("request", "pickup", "dropoff"))),
+        "clean_file_records": _with(_CLEAN, """
+            SELECT * REPLACE (nullif(driver_id, '') AS driver_id,
+              nullif(driver_name, '') AS driver_name, nullif(dropoff_time, '') AS dropoff_time,
+              CASE WHEN coalesce(driver_id, '') = '' OR coalesce(driver_name, '') = ''
+                THEN 'incomplete' ELSE 'ok' END AS data_quality)
+            FROM clean"""),
+        "fine_status_revenue": _with(_FINE, f"""
+            SELECT trip_status, COUNT(*) AS total_trips, {_sum("f", 5)} AS total_revenue,
+              {_avg("f", 5, 2)} AS average_fare
+            FROM fine GROUP BY trip_status"""),
+        "fine_running_revenue": _with(_FINE, """
+            SELECT trip_id, request_time, fine_fare AS fare_amount,
+              CAST(SUM(f) OVER (ORDER BY request_time) AS DOUBLE) / 100000 AS cumulative_revenue
+            FROM fine"""),
+        "fine_high_rated": _with(_FINE, """
+            SELECT driver_name, CAST(SUM(r) AS DOUBLE) / CAST(COUNT(*) * 100000 AS DOUBLE)
+              AS average_rating, COUNT(*) AS total_trips
+            FROM fine WHERE r IS NOT NULL GROUP BY driver_id, driver_name
+            HAVING SUM(r) > 430003 * COUNT(*)"""),
+        "landing_late": _with(_TRIPS, """
+            SELECT CAST(trip_id AS VARCHAR) AS trip_id, pickup_city, vehicle_type,
+              CASE WHEN trip_id % 4 = 1 AND trip_id % 61 = 0 THEN NULL ELSE fare_amount END
+                AS fare_amount,
+              CASE WHEN trip_id % 4 = 1 AND trip_id % 61 = 0 THEN 'n/a' END AS unread
+            FROM trips"""),
         "landing_trips": _with(_TRIPS, """
             SELECT CAST(trip_id AS VARCHAR) AS trip_id, nullif(driver_id, '') AS driver_id,
               nullif(driver_name, '') AS driver_name, rider_id, pickup_city, pickup_location,

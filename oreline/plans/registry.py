@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreline.functions.parse import parse_date
 from oreline.operators import quality
 from oreline.operators.reshape import normalise_columns
 from oreline.plans import admissions as adm
@@ -18,13 +19,14 @@ from oreline.schemas import (
     HOSPITAL_TO_ADMISSIONS,
     HOSPITAL_TO_PATIENTS,
     LOCATION_COLUMNS,
-    REPORT_ROWS,
+    TIME_COLUMNS,
+    TRIP_COLUMNS,
     TRIP_TEXT_SCHEMA,
 )
 from oreline.session import scratch_path
 from oreline.sources import samples
-from oreline.sources.readers import read_path
-from oreline.sources.sinks import write_csv
+from oreline.sources.readers import CORRUPT_COLUMN, read_path
+from oreline.sources.sinks import write_all, write_csv, write_path
 from oreline.streaming import events, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,11 +120,13 @@ def _brief(table: str) -> Query:
 
 
 def _gold_row_counts(spark: SparkSession, d: str) -> DataFrame:
-    gold = {
-        f"gold_{name}": build(_silver_trips(spark, d, *_TRIP_INPUTS[name]))
-        for name, build in tr.GOLD.items()
-    }
-    return quality.row_counts(gold)
+    """Rows of the five gold tables, counted while they are written from one stored silver table."""
+    base = scratch_path(spark, "gold")
+    needed = dict.fromkeys(c for columns in _TRIP_INPUTS.values() for c in columns)
+    write_path(_silver_trips(spark, d, *needed), f"{base}/silver")
+    rows = write_all(tr.gold_tables(read_path(spark, f"{base}/silver")), f"{base}/gold")
+    counted = [(f"gold_{name}", n) for name, n in rows.items()]
+    return spark.createDataFrame(counted, "table_name string, rows bigint")
 
 
 def _fill_check(spark: SparkSession, d: str) -> DataFrame:
@@ -153,9 +157,36 @@ def _landing_trips(spark: SparkSession, d: str) -> DataFrame:
     """Trips written as delimited batch files, taken in from the landing folder, read back."""
     base = scratch_path(spark, "landing")
     write_csv(samples.bronze_trips(spark, d), f"{base}/landing")
-    rows = landing.landing_source(spark, f"{base}/landing", TRIP_TEXT_SCHEMA)
-    landing.append_new_files(rows, f"{base}/bronze", f"{base}/checkpoint")
-    return read_path(spark, f"{base}/bronze")
+    landing.append_new_files(spark, f"{base}/landing", TRIP_TEXT_SCHEMA, f"{base}/bronze")
+    return read_path(spark, f"{base}/bronze").drop(CORRUPT_COLUMN, landing.BATCH)
+
+
+def _age(spark: SparkSession, folder: str, days: int) -> None:
+    """Set back the modification time of the files in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        before = status.getModificationTime() - days * 86_400_000
+        files.setTimes(status.getPath(), before, -1)
+
+
+def _landing_late(spark: SparkSession, d: str) -> DataFrame:
+    """Two landed batches: the later one older, with its columns in another order and bad fares."""
+    base = scratch_path(spark, "landing-late")
+    rows = samples.bronze_trips(spark, d, "trip_id", *[c for c in TRIP_COLUMNS if c != "trip_id"])
+    late = F.col("trip_id") % 4 == 1
+    table, source = f"{base}/bronze", f"{base}/landing"
+    write_csv(rows.where(~late), f"{source}/first")
+    landing.append_new_files(spark, f"{source}/*", TRIP_TEXT_SCHEMA, table)
+    bad = F.when(F.col("trip_id") % 61 == 0, "n/a").otherwise(F.col("fare_amount").cast("string"))
+    turned = rows.where(late).withColumn("fare_amount", bad).select(*reversed(rows.columns))
+    write_csv(turned, f"{source}/second")
+    _age(spark, f"{source}/second", 40)
+    landing.append_new_files(spark, f"{source}/*", TRIP_TEXT_SCHEMA, table)
+    return read_path(spark, table).select(
+        "trip_id", "pickup_city", "vehicle_type", "fare_amount",
+        F.when(F.col(CORRUPT_COLUMN).contains("n/a"), "n/a").alias("unread"),
+    )
 
 
 def _validate_row_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -166,15 +197,48 @@ def _validate_row_counts(spark: SparkSession, d: str) -> DataFrame:
     layers.admissions_bronze(spark, cfg)
     layers.admissions_silver(spark, cfg)
     layers.admissions_gold(spark, cfg)
-    stays = read_path(spark, cfg.path("silver/admissions"))
-    per_key = {
-        "gold/admission_summary": stays.select("medical_condition", "admission_type").distinct(),
-        "gold/hospital_revenue": stays.select("hospital").distinct().limit(REPORT_ROWS),
-        "gold/doctor_performance": stays.select("doctor").distinct().limit(REPORT_ROWS),
-        "gold/insurance_analysis": stays.select("insurance_provider").distinct(),
-    }
-    checked = layers.LayerConfig(source=cfg.source, base=base, expected=per_key)
-    return layers.admissions_checks(spark, checked)
+    return layers.admissions_checks(spark, cfg)
+
+
+def _validate_trip_layers(spark: SparkSession, d: str) -> DataFrame:
+    """The trips layers end to end: a first run, a full reload, new files, a second run; checks."""
+    base = scratch_path(spark, "trips")
+    rows = samples.bronze_trips(spark, d)
+    cfg = layers.LayerConfig(source=f"{base}/landing/*", base=base)
+    early = F.col("trip_id") % 2 == 0
+    write_csv(rows.where(early), f"{base}/landing/first")
+    layers.run_trips(spark, cfg)
+    layers.trips_reload(spark, cfg)
+    write_csv(rows.where(~early), f"{base}/landing/second")
+    layers.run_trips(spark, cfg)
+    return layers.trips_checks(spark, cfg)
+
+
+def _catalog_gold(spark: SparkSession, d: str) -> DataFrame:
+    """The admissions layers kept in a catalog database, a gold table read through its view."""
+    base = scratch_path(spark, "catalog")
+    database = "layers_" + base.rpartition("-")[2]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/tables'")
+    write_csv(samples.hospital_rows(spark, d, keyed=False), f"{base}/source")
+    cfg = layers.LayerConfig(source=f"{base}/source", base=base, catalog=database)
+    layers.run_admissions(spark, cfg)
+    return layers.register_views(spark, cfg, ["gold/insurance_analysis"])["gold/insurance_analysis"]
+
+
+def _clean_file(spark: SparkSession, d: str) -> DataFrame:
+    """An export as a delimited file, cleaned by the job, read back from its JSON records."""
+    base = scratch_path(spark, "clean")
+    write_csv(samples.exported_trips(spark, d), f"{base}/export")
+    layers.clean_file(spark, f"{base}/export", f"{base}/clean")
+    numbers = {"fare_amount", "rating"}
+    kinds = [f"{c} {'double' if c in numbers else 'string'}" for c in (*TRIP_COLUMNS, "data_quality")]
+    rows = spark.read.schema(", ".join(kinds)).json(f"{base}/clean")
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("distance_km", "surge_multiplier")})
+
+
+def _admission_dates(spark: SparkSession, d: str) -> DataFrame:
+    rows = samples.admission_texts(spark, d)
+    return rows.withColumn("date_of_admission", parse_date(F.col("date_of_admission")))
 
 
 def _stream(spark: SparkSession, d: str) -> str:
@@ -205,6 +269,16 @@ _QUERIES: dict[str, Query] = {
     "sql_q10_payment_bands": _over_trips(
         q.payment_bands, "payment_type", "trip_status", "fare_amount"
     ),
+    # The same over fares and ratings with more decimals
+    "fine_status_revenue": lambda spark, d: q.status_revenue(
+        samples.fine_trips(spark, d, "trip_status", "fare_amount")
+    ),
+    "fine_running_revenue": lambda spark, d: q.running_revenue(
+        samples.fine_trips(spark, d, "trip_id", "request_time", "fare_amount")
+    ),
+    "fine_high_rated": lambda spark, d: q.high_rated(
+        samples.fine_trips(spark, d, "driver_id", "driver_name", "rating"), above="4.30003"
+    ),
     # Trips: bronze, silver, gold
     "trips_bronze_summary": _over_bronze_trips(
         tr.bronze_summary, "driver_id", "pickup_city", "vehicle_type", "trip_status", "fare_amount"
@@ -216,6 +290,8 @@ _QUERIES: dict[str, Query] = {
     "location_padding": _location_padding,
     "fill_check": _fill_check,
     "clean_trips": _clean_trips,
+    "clean_file_records": _clean_file,
+    "time_reading": _over_bronze_trips(tr.time_reading, *TIME_COLUMNS),
     "cleaning_counts": _over_exported(tr.cleaning_counts),
     "normalised_columns": _over_exported(normalise_columns),
     **{
@@ -229,6 +305,8 @@ _QUERIES: dict[str, Query] = {
     "silver_patients": _patients,
     "silver_admissions": _stays,
     "admissions_with_patients": _joined,
+    "admission_dates": _admission_dates,
+    "catalog_insurance_analysis": _catalog_gold,
     **{f"gold_{name}": _gold_stays(name) for name in adm.GOLD},
     **{f"gold_{name}_brief": _brief(name) for name in adm.BRIEF},
     # Profiles and checks
@@ -251,8 +329,10 @@ _QUERIES: dict[str, Query] = {
     "profile_shape_admissions": _hospital_shape,
     "stay_stats": _over_stays(adm.stay_stats),
     "validate_row_counts": _validate_row_counts,
+    "validate_trip_layers": _validate_trip_layers,
     # Streams
     "landing_trips": _landing_trips,
+    "landing_late": _landing_late,
     "stream_trip_events": lambda spark, d: events.read_events(spark, _stream(spark, d)),
     "stream_quarantine": lambda spark, d: events.read_quarantine(spark, _stream(spark, d)),
 }

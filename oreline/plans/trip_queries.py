@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreline.functions.exact import avg_exact, sum_exact, units
+from oreline.functions.exact import avg_exact, exact_total, mean_exact, sum_exact
 from oreline.functions.text import upper_trim
 from oreline.operators.aggregates import count_where, distinct_values
 from oreline.operators.windows import running_total, top_k_per_group
@@ -35,7 +35,7 @@ def status_revenue(trips: DataFrame) -> DataFrame:
             sum_exact(fare, MONEY_PLACES).alias("total_revenue"),
             avg_exact(fare, MONEY_PLACES, 2).alias("average_fare"),
         )
-        .orderBy(F.desc("total_trips"))
+        .orderBy(F.desc("total_trips"), F.asc_nulls_first("trip_status"))
     )
 
 
@@ -100,19 +100,25 @@ def running_revenue(trips: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def high_rated(trips: DataFrame, above: str = HIGH_RATING) -> DataFrame:
-    """Q9: drivers whose mean rating is above a mark, compared in whole units."""
-    rating = units(F.col("rating"), MEASURE_PLACES)
-    mark = int(Decimal(above).scaleb(MEASURE_PLACES))
+    """Q9: drivers whose mean rating is above a mark, compared as decimals; equal means by driver."""
+    rating, mark = F.col("rating"), Decimal(above)
+    total = exact_total(rating, MEASURE_PLACES)
+    count = F.count(rating)
     stats = (
-        trips.where(F.col("rating").isNotNull())
+        trips.where(rating.isNotNull())
         .groupBy("driver_id", "driver_name")
-        .agg(F.sum(rating).alias("_units"), F.count("*").alias("total_trips"))
+        .agg(
+            F.coalesce(
+                total > count.cast("decimal(20,0)") * F.lit(mark), F.avg(rating) > float(mark)
+            ).alias("_above"),
+            mean_exact(rating, MEASURE_PLACES).alias("average_rating"),
+            F.count("*").alias("total_trips"),
+        )
     )
-    mean = F.col("_units").cast("double") / (F.col("total_trips") * 10**MEASURE_PLACES)
     return (
-        stats.where(F.col("_units") > F.col("total_trips") * mark)
-        .select("driver_name", mean.alias("average_rating"), "total_trips")
-        .orderBy(F.desc("average_rating"))
+        stats.where("_above")
+        .orderBy(F.desc("average_rating"), F.asc_nulls_first("driver_id"), "driver_name")
+        .select("driver_name", "average_rating", "total_trips")
     )
 
 

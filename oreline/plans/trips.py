@@ -17,11 +17,12 @@ from oreline.operators.aggregates import (
     aliased,
     count_where,
     flag_total,
+    in_order,
     pivot_counts,
     tally_where,
 )
 from oreline.operators.fills import fill_constants, fill_mean
-from oreline.operators.quality import any_missing, flag
+from oreline.operators.quality import any_missing, flag, unread_counts
 from oreline.operators.reshape import drop_empty_rows, normalise_columns
 from oreline.schemas import (
     DRIVER_COLUMNS,
@@ -173,6 +174,12 @@ def cleaning_counts(exported: DataFrame) -> DataFrame:
     )
 
 
+def time_reading(bronze: DataFrame) -> DataFrame:
+    """Per time column: text values given, and those that cannot be read as a time."""
+    text = {name for name, kind in bronze.dtypes if kind == "string"}
+    return unread_counts(bronze, {c: parse_timestamp for c in TIME_COLUMNS if c in text})
+
+
 # Gold
 
 
@@ -185,7 +192,7 @@ def _completed_fare() -> Column:
     return F.when(_completed(), F.col("fare_amount"))
 
 
-def driver_performance(silver: DataFrame) -> DataFrame:
+def driver_performance(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Per driver and vehicle, complete records only; revenue over all statuses."""
     cancelled = tally_where(_cancelled())
     measures = {
@@ -202,11 +209,11 @@ def driver_performance(silver: DataFrame) -> DataFrame:
         silver.where(F.col("data_quality") == "ok")
         .groupBy("driver_id", "driver_name", "vehicle_type")
         .agg(*aliased(measures))
-        .orderBy(F.desc("total_revenue_ngn"))
+        .transform(in_order, ordered, F.desc("total_revenue_ngn"), "driver_id", "driver_name", "vehicle_type")
     )
 
 
-def city_summary(silver: DataFrame) -> DataFrame:
+def city_summary(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Per pickup city; revenue of completed trips only."""
     measures = {
         "total_trips": F.count("trip_id"),
@@ -219,11 +226,11 @@ def city_summary(silver: DataFrame) -> DataFrame:
     return (
         silver.groupBy(F.col("pickup_city").alias("city"))
         .agg(*aliased(measures))
-        .orderBy(F.desc("total_revenue_ngn"))
+        .transform(in_order, ordered, F.desc("total_revenue_ngn"), "city")
     )
 
 
-def daily_trends(silver: DataFrame) -> DataFrame:
+def daily_trends(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Per day of request; revenue of completed trips only."""
     measures = {
         "total_trips": F.count("trip_id"),
@@ -236,11 +243,11 @@ def daily_trends(silver: DataFrame) -> DataFrame:
     return (
         silver.groupBy(F.to_date("request_time").alias("trip_date"))
         .agg(*aliased(measures))
-        .orderBy("trip_date")
+        .transform(in_order, ordered, "trip_date")
     )
 
 
-def payment_breakdown(silver: DataFrame) -> DataFrame:
+def payment_breakdown(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Completed trips per payment type, split by fare band."""
     bands = {"budget": "budget_trips", "standard": "standard_trips", "premium": "premium_trips"}
     return (
@@ -252,11 +259,11 @@ def payment_breakdown(silver: DataFrame) -> DataFrame:
             _sum_money(F.col("fare_amount")).alias("total_revenue_ngn"),
             _avg_money(F.col("fare_amount")).alias("avg_fare_ngn"),
         )
-        .orderBy(F.desc("total_revenue_ngn"))
+        .transform(in_order, ordered, F.desc("total_revenue_ngn"), "payment_type")
     )
 
 
-def vehicle_performance(silver: DataFrame) -> DataFrame:
+def vehicle_performance(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Per vehicle type, all statuses."""
     measures = {
         "total_trips": F.count("trip_id"),
@@ -270,7 +277,7 @@ def vehicle_performance(silver: DataFrame) -> DataFrame:
     return (
         silver.groupBy("vehicle_type")
         .agg(*aliased(measures))
-        .orderBy(F.desc("total_revenue_ngn"))
+        .transform(in_order, ordered, F.desc("total_revenue_ngn"), "vehicle_type")
     )
 
 
@@ -284,4 +291,17 @@ GOLD = {
 
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
-    return {name: build(silver) for name, build in GOLD.items()}
+    """The gold tables as they are stored: not sorted."""
+    return {name: build(silver, ordered=False) for name, build in GOLD.items()}
+
+
+def gold_keys(silver: DataFrame) -> dict[str, DataFrame]:
+    """The distinct keys of each gold table: as many as it must have rows."""
+    sound = silver.where(F.col("data_quality") == "ok")
+    return {
+        "driver_performance": sound.select("driver_id", "driver_name", "vehicle_type").distinct(),
+        "city_summary": silver.select("pickup_city").distinct(),
+        "daily_trends": silver.select(F.to_date("request_time").alias("trip_date")).distinct(),
+        "payment_breakdown": silver.where(_completed()).select("payment_type").distinct(),
+        "vehicle_performance": silver.select("vehicle_type").distinct(),
+    }

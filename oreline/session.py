@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 SHUFFLE_BYTES_PER_TASK = 256 * 1024**2
-MOST_SHUFFLE_TASKS = 50_000
 
 # AQE coalesces small shuffles, splits skewed join partitions and turns to a broadcast only when
 # the measured side is small.
@@ -26,7 +24,7 @@ SETTINGS = {
 
 def shuffle_tasks(shuffled_bytes: int) -> int:
     """Shuffle partitions to start from, so that one fits an executor; AQE merges small ones."""
-    return max(200, min(MOST_SHUFFLE_TASKS, -(-shuffled_bytes // SHUFFLE_BYTES_PER_TASK)))
+    return max(200, -(-shuffled_bytes // SHUFFLE_BYTES_PER_TASK))
 
 
 def build_session(
@@ -55,13 +53,16 @@ def build_session(
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Every executor must be able to read it, so a machine-local folder is made up only when the
-    session itself is local and names none.
+    Every executor must be able to read it. Without that setting it is a folder of the warehouse,
+    which is shared too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="oreline-")
-        spark.sparkContext.setCheckpointDir(base)
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/oreline/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on the file system that its URI names, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

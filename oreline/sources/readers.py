@@ -1,40 +1,72 @@
-"""Typed reads."""
+"""Typed reads. Delimited columns are found by the name in the header, never by position."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from oreline.operators.reshape import quoted
 
 CORRUPT_COLUMN = "_corrupt_record"
 
+_OPTIONS = {
+    "header": "true",
+    "mode": "PERMISSIVE",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "escape": '"',
+    # A file whose header is not in the order of the schema fails instead of swapping columns.
+    "enforceSchema": "false",
+    "columnNameOfCorruptRecord": CORRUPT_COLUMN,
+}
 
-def csv_options(keep_corrupt: bool = False) -> dict[str, str]:
-    """Header row, blanks kept, empty field as NULL, broken lines tolerated."""
-    options = {
-        "header": "true",
-        "mode": "PERMISSIVE",
-        "ignoreLeadingWhiteSpace": "false",
-        "ignoreTrailingWhiteSpace": "false",
-        "escape": '"',
-    }
-    if keep_corrupt:
-        options["columnNameOfCorruptRecord"] = CORRUPT_COLUMN
-    return options
+
+class HeaderMismatch(ValueError):
+    """A delimited file does not have the columns it must."""
 
 
-def csv_schema(schema: str, keep_corrupt: bool = False) -> str:
-    return f"{schema}, {CORRUPT_COLUMN} string" if keep_corrupt else schema
+def header_of(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Column names of a delimited file, or of the first one of several."""
+    options = {k: v for k, v in _OPTIONS.items() if k != "columnNameOfCorruptRecord"}
+    return spark.read.options(**options).csv(path).columns
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str, keep_corrupt: bool = False
+    spark: SparkSession, path: str | Sequence[str], schema: str, keep_corrupt: bool = True
 ) -> DataFrame:
-    """Delimited text with a header, read once with a given DDL schema (no inference pass).
+    """Delimited text with a header, read with a given DDL schema (no inference pass).
 
-    With ``keep_corrupt`` a line that does not fit is kept whole in ``_corrupt_record``. Files
-    are split between tasks, so quoted fields must not hold line breaks.
+    Columns come back in the schema's order, whatever their order in the files. All files of one
+    read must share a header: one with other columns raises, one in another order fails the job.
+    A line that does not fit is kept whole in ``_corrupt_record`` unless ``keep_corrupt`` is off.
+    Files are split between tasks, so quoted fields must not hold line breaks.
     """
-    reader = spark.read.schema(csv_schema(schema, keep_corrupt))
-    return reader.options(**csv_options(keep_corrupt)).csv(path)
+    wanted = spark.createDataFrame([], schema).schema
+    found = header_of(spark, path)
+    if sorted(found) != sorted(wanted.names):
+        raise HeaderMismatch(f"columns {found} where {wanted.names} are expected")
+    in_file = type(wanted)([wanted[name] for name in found])
+    if keep_corrupt:
+        in_file = in_file.add(CORRUPT_COLUMN, "string")
+    rows = spark.read.schema(in_file).options(**_OPTIONS).csv(path)
+    last = [CORRUPT_COLUMN] if keep_corrupt else []
+    return rows.select(*[F.col(quoted(c)) for c in wanted.names], *last)
+
+
+def read_csv_files(
+    spark: SparkSession, paths: Sequence[str], schema: str, keep_corrupt: bool = True
+) -> DataFrame:
+    """As :func:`read_csv`, for files that need not share the order of their columns."""
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        by_header.setdefault(tuple(header_of(spark, path)), []).append(path)
+    frames = [read_csv(spark, some, schema, keep_corrupt) for some in by_header.values()]
+    whole = frames[0]
+    for more in frames[1:]:
+        whole = whole.unionByName(more)
+    return whole
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

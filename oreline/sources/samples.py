@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.schemas import HOSPITAL_TO_ADMISSIONS, HOSPITAL_TO_PATIENTS, TRIP_COLUMNS
+from oreline.streaming.landing import MAX_FILE_AGE
 
 _TABLES = {
     "orders": (
@@ -67,6 +68,14 @@ _TRIPS = {
     "rating": _RATING,
     "vehicle_type": "c_mktsegment",
 }
+# Finer than cents and tenths: sums must not round what they add.
+_FINE = {
+    "fare_amount": (
+        f"{_FARE} + cast(o_orderkey % 1000 AS double) / 100000 "
+        "+ CASE WHEN o_orderkey % 3 = 0 THEN 0.004 ELSE 0.0 END"
+    ),
+    "rating": f"{_RATING} + cast(o_orderkey % 7 AS double) / 100000",
+}
 # As it arrives: times are text, some of it bad or empty.
 _TEXT_TIMES = {
     "request_time": (
@@ -145,6 +154,11 @@ def trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _derive(spark, sf_dir, _TRIPS, columns)
 
 
+def fine_trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Trips whose fares and ratings have up to five decimals."""
+    return _derive(spark, sf_dir, {**_TRIPS, **_FINE}, columns)
+
+
 def bronze_trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Trips as they arrive, the three times as text."""
     meanings = {**_TRIPS, **_TEXT_TIMES}
@@ -169,6 +183,18 @@ def admissions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _derive(spark, sf_dir, _ADMISSIONS, columns)
 
 
+def admission_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admission dates as text, some of them bad or empty."""
+    meanings = {
+        "admission_id": _ADMISSIONS["admission_id"],
+        "date_of_admission": (
+            "CASE WHEN o_orderkey % 89 = 0 THEN '31/12/2024' WHEN o_orderkey % 83 = 0 THEN '' "
+            "ELSE cast(cast(o_orderdate AS date) AS string) END"
+        ),
+    }
+    return _derive(spark, sf_dir, meanings, ())
+
+
 def hospital_rows(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
     """The wide rows under their source headings, with or without the key."""
     headings = {**HOSPITAL_TO_PATIENTS, **HOSPITAL_TO_ADMISSIONS}
@@ -183,7 +209,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of files."""
-    return spark.readStream.schema(_TABLES["events"]).parquet(f"{sf_dir}/events*.parquet")
+    reader = spark.readStream.schema(_TABLES["events"]).option("maxFileAge", MAX_FILE_AGE)
+    return reader.parquet(f"{sf_dir}/events*.parquet")
 
 
 def event_bodies(events: DataFrame) -> DataFrame:

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.functions.parse import parse_number
+from oreline.functions.parse import parse_iso_timestamp, parse_number
 from oreline.schemas import TRIP_EVENT_SCHEMA
+from oreline.streaming.landing import MAX_FILE_AGE
 
 PARSED = "parsed"
 QUARANTINED = "quarantined"
@@ -21,31 +22,25 @@ _FIELDS = [part.split()[0] for part in TRIP_EVENT_SCHEMA.split(", ")]
 _WIRE = f"array<struct<{', '.join(f'{name}: string' for name in _FIELDS)}>>"
 
 
-def text_source(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """One message body per line of the files dropped in a folder, from the first on."""
-    reader = spark.readStream.format("text")
+def text_source(
+    spark: SparkSession,
+    folder: str,
+    max_files: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
+) -> DataFrame:
+    """One message body per line of the files dropped in a folder, however old a file is."""
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder)
 
 
-def broker_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Message bodies of a Kafka topic from the earliest offset; needs the connector's jar."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .load()
-        .select(F.col("value").cast("string").alias("value"))
-    )
-
-
 def parse_events(bodies: DataFrame) -> DataFrame:
     """Bodies to typed fields plus ``event_ts``, ``raw_body`` and ``state``.
 
-    Empty bodies are skipped. A body that is not exactly one JSON object, or whose fare is not a
-    number, is kept raw and marked ``quarantined``; a time that cannot be read is only NULL.
+    Every body is kept as it came in ``raw_body``, with the fields that are not known here. Empty
+    bodies are skipped. A body that is not exactly one JSON object, or whose fare is not a number,
+    is marked ``quarantined``; a time that is not in ISO form is only NULL.
     """
     body = F.btrim("value", F.lit(JSON_BLANKS))
     given = bodies.where(F.length(body) > 0)
@@ -63,11 +58,11 @@ def parse_events(bodies: DataFrame) -> DataFrame:
     typed = {
         **{c: F.col(f"event.{c}") for c in _FIELDS},
         "fare_amount": parse_number(fare),
-        "event_ts": F.col("event.timestamp").try_cast("timestamp"),
+        "event_ts": parse_iso_timestamp(F.col("event.timestamp")),
     }
     return parsed.withColumn("sound", F.coalesce(sound, F.lit(False))).select(
         *[F.when(F.col("sound"), value).alias(name) for name, value in typed.items()],
-        F.when(~F.col("sound"), F.col("value")).alias("raw_body"),
+        F.col("value").alias("raw_body"),
         F.when(F.col("sound"), PARSED).otherwise(QUARANTINED).alias("state"),
     )
 
@@ -90,13 +85,13 @@ def drain_events(bodies: DataFrame, table: str, checkpoint: str) -> dict:
     return query.lastProgress or {}
 
 
-def read_events(spark: SparkSession, table: str) -> DataFrame:
-    """The parsed events."""
+def read_events(spark: SparkSession, table: str, raw: bool = False) -> DataFrame:
+    """The parsed events; ``raw`` adds their bodies as they came."""
     return (
         spark.read.schema(f"{TRIP_EVENT_SCHEMA}, event_ts timestamp, raw_body string, state string")
         .parquet(table)
         .where(F.col("state") == PARSED)
-        .drop("raw_body", "state")
+        .drop(*([] if raw else ["raw_body"]), "state")
     )
 
 

@@ -1,36 +1,86 @@
-"""Landing folder: each new batch file is appended to bronze once."""
+"""Landing folder: each new batch file is appended to bronze once.
+
+The stream names the files that are new; each micro-batch of files is then read by header and
+written to a partition of its own, which a repeated batch overwrites. Bronze is a plain table: rows
+appended by other jobs, as partitions of their own, are seen like any others.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from oreline.session import delete_path
+from oreline.sources.readers import read_csv_files
+from oreline.sources.sinks import write_path
 
-from oreline.sources.readers import csv_options, csv_schema
+# In practice without a limit: Spark's own default skips files a week older than the newest seen.
+MAX_FILE_AGE = "36500d"
+BATCH = "batch"
+FILES_PER_BATCH = 256
 
 
-def landing_source(
+def new_files(
     spark: SparkSession,
     folder: str,
-    schema: str,
     max_files: int | None = None,
-    keep_corrupt: bool = False,
+    max_file_age: str = MAX_FILE_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Rows of the delimited files in a folder, as a stream of files."""
-    reader = spark.readStream.schema(csv_schema(schema, keep_corrupt)).options(
-        **csv_options(keep_corrupt)
+    """Paths of the files in a folder, as a stream; their content is not read.
+
+    ``archive`` names a folder (outside ``folder``) to which files go once taken in, so that the
+    list the driver keeps stays short.
+    """
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("maxFileAge", max_file_age)
+        .option("maxFilesPerTrigger", max_files or FILES_PER_BATCH)
     )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.load(folder).select(F.col("path"))
+
+
+def append_new_files(
+    spark: SparkSession,
+    folder: str,
+    schema: str,
+    table: str,
+    keep_corrupt: bool = True,
+    fmt: str = "parquet",
+    **source: str | int | None,
+) -> dict:
+    """Append the files not taken in before, then stop. Returns the last progress report.
 
+    What has been taken in is kept inside the table (a hidden folder), so that a reload replaces
+    both together.
+    """
+
+    def take(paths: DataFrame, number: int) -> None:
+        files = [r.path for r in paths.distinct().orderBy("path").collect()]  # max_files at most
+        if files:
+            rows = read_csv_files(spark, files, schema, keep_corrupt)
+            write_path(rows, f"{table}/{BATCH}=landed-{number}", fmt)
 
-def append_new_files(rows: DataFrame, table: str, checkpoint: str, fmt: str = "parquet") -> dict:
-    """Append the files not taken in before, then stop. Returns the last progress report."""
     query = (
-        rows.writeStream.format(fmt)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        new_files(spark, folder, **source)
+        .writeStream.option("checkpointLocation", f"{table}/_landed")
+        .foreachBatch(take)
         .trigger(availableNow=True)
-        .start(table)
+        .start()
     )
     query.awaitTermination()
     return query.lastProgress or {}
+
+
+def append_batch(df: DataFrame, table: str, name: str, fmt: str = "parquet") -> int:
+    """Append rows as the batch ``name``; the same name again replaces them."""
+    return write_path(df, f"{table}/{BATCH}={name}", fmt)
+
+
+def reload_files(spark: SparkSession, folder: str, schema: str, table: str, **options) -> dict:
+    """The table written anew from all files; files that come later are appended as before."""
+    delete_path(spark, table)
+    return append_new_files(spark, folder, schema, table, **options)

@@ -93,3 +93,9 @@ def test_contract_types(spark):
     assert checked.dtypes == [
         ("table_name", "string"), ("expected", "bigint"), ("actual", "bigint"), ("ok", "boolean"),
     ]
+
+
+def test_numbers_in_value_order(spark):
+    df = spark.createDataFrame([(10.0,), (2.0,), (1.5,), (None,)], "x double")
+    got = q.profile_frequencies(df, ["x"], ["x"])
+    assert [r.value for r in got.collect()] == ["1.5", "2.0", "10.0", None]

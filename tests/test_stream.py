@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 from pathlib import Path
 
+import pytest
 from helpers import column, rows
 
 from oreline.schemas import TRIP_TEXT_SCHEMA
 from oreline.streaming import events as ev
-from oreline.streaming.landing import append_new_files, landing_source
+from oreline.streaming.landing import append_batch, append_new_files, reload_files
 
 
 def event(n: int, **changes) -> str:
@@ -41,7 +43,7 @@ def test_parse_good_and_bad(spark):
     assert column(good, "trip_id") == ["T1", "T2"]
     assert column(good, "fare_amount") == [501.25, 502.25]
     assert column(good, "event_ts")[0] == dt.datetime(2024, 2, 26, 7, 0, 1, 123)
-    assert column(good, "raw_body") == [None, None]
+    assert column(good, "raw_body") == [event(1), f" {event(2)}\t"]
     quarantined = parsed.where(f"state = '{ev.QUARANTINED}'")
     assert column(quarantined, "raw_body") == bad
     assert set(column(quarantined, "trip_id")) == {None}
@@ -51,12 +53,26 @@ def test_missing_field_and_bad_time_are_null(spark):
     bare = '{"event_id": "E1", "extra": [1]}'
     lines = [bare, event(1, timestamp="soon"), event(2, fare_amount=None)]
     parsed = ev.parse_events(bodies_of(spark, lines))
+    # Fields that are not known stay in the body.
+    assert column(parsed, "raw_body") == lines
     assert set(column(parsed, "state")) == {ev.PARSED}
     assert column(parsed, "event_ts")[:2] == [None, None]
     assert column(parsed, "timestamp")[:2] == [None, "soon"]
     assert column(parsed, "fare_amount") == [None, 501.25, None]
 
 
+def test_only_iso_times_are_read(spark):
+    texts = [
+        "2024-02-26T07:00:01", "2024-02-26 07:00:01.5", "2024-02-26T07:00:01Z",
+        "2024-02-26T08:00:01+01:00", "12:30:00", "2024", "2024-02-26", "2024-02-30T00:00:00",
+        "2024-02-26T07:00", "today", "",
+    ]
+    parsed = ev.parse_events(bodies_of(spark, [event(1, timestamp=t) for t in texts]))
+    second = dt.datetime(2024, 2, 26, 7, 0, 1)
+    half = second.replace(microsecond=500_000)
+    assert column(parsed, "event_ts") == [second, half, second, second, *[None] * 7]
+
+
 def test_two_drops_with_a_restart_between(spark, tmp_path):
     source, table, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
 
@@ -76,6 +92,21 @@ def test_two_drops_with_a_restart_between(spark, tmp_path):
     assert sorted(column(ev.read_quarantine(spark, table), "raw_body")) == ["oops", "{"]
 
 
+def age(path: Path, days: int) -> None:
+    then = path.stat().st_mtime - days * 86_400
+    os.utime(path, (then, then))
+
+
+def test_old_event_files_are_taken_in(spark, tmp_path):
+    source, table, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
+    drop(source, "a.txt", [event(1)])
+    ev.drain_events(ev.text_source(spark, str(source)), table, marks)
+    drop(source, "b.txt", [event(2)])
+    age(source / "b.txt", 30)
+    ev.drain_events(ev.text_source(spark, str(source)), table, marks)
+    assert sorted(column(ev.read_events(spark, table, raw=True), "trip_id")) == ["T1", "T2"]
+
+
 def trip_line(n: int) -> str:
     return (
         f"T{n},D101,Ann,R1,Abuja, Garki ,Abuja,Wuse 2,2024-02-26 07:00:0{n},2024-02-26 07:05:00,,"
@@ -87,10 +118,10 @@ HEADER = TRIP_TEXT_SCHEMA.replace(" string", "").replace(" double", "").replace(
 
 
 def test_landing_files_are_appended_once(spark, tmp_path):
-    landing, table, marks = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "marks")
+    landing, table = tmp_path / "landing", str(tmp_path / "bronze")
 
-    def take_in():
-        append_new_files(landing_source(spark, str(landing), TRIP_TEXT_SCHEMA), table, marks)
+    def take_in(**options):
+        append_new_files(spark, str(landing), TRIP_TEXT_SCHEMA, table, **options)
         return spark.read.parquet(table)
 
     drop(landing, "one.csv", [HEADER, trip_line(1), trip_line(2)])
@@ -104,3 +135,62 @@ def test_landing_files_are_appended_once(spark, tmp_path):
         " Garki ", None, None, 1003.5,
     )
     assert rows(stored.selectExpr("count(distinct trip_id)", "count(*)")) == [(3, 3)]
+    # A file a month older than the newest one.
+    drop(landing, "late.csv", [HEADER, trip_line(4)])
+    age(landing / "late.csv", 30)
+    assert take_in().count() == 4
+    # Columns in another order, beside a file in the usual one.
+    names, fields = HEADER.split(","), trip_line(5).split(",")
+    drop(landing, "turned.csv", [",".join(names[::-1]), ",".join(fields[::-1])])
+    drop(landing, "usual.csv", [HEADER, trip_line(6)])
+    both = take_in().where("trip_id IN ('T5', 'T6')").drop("trip_id", "fare_amount", "batch")
+    assert both.where("pickup_city = 'Abuja' AND vehicle_type = 'suv'").count() == 2
+    # Rows of another job, and the same ones again.
+    for _ in range(2):
+        assert append_batch(stored.where("trip_id = 'T1'").drop("batch"), table, "again") == 1
+    assert spark.read.parquet(table).count() == 7
+
+
+def test_a_wrong_header_fails(spark, tmp_path):
+    landing, table = tmp_path / "landing", str(tmp_path / "bronze")
+    drop(landing, "one.csv", [HEADER.replace("rating", "stars"), trip_line(1)])
+    with pytest.raises(Exception, match="stars"):
+        append_new_files(spark, str(landing), TRIP_TEXT_SCHEMA, table)
+    (landing / "one.csv").write_text("\n".join([HEADER, trip_line(1)]) + "\n")
+    append_new_files(spark, str(landing), TRIP_TEXT_SCHEMA, table)
+    assert spark.read.parquet(table).count() == 1
+
+
+def test_reload_then_new_files(spark, tmp_path):
+    landing, table = tmp_path / "landing", str(tmp_path / "bronze")
+    place = (spark, str(landing), TRIP_TEXT_SCHEMA, table)
+    drop(landing, "one.csv", [HEADER, trip_line(1)])
+    append_new_files(*place)
+    reload_files(*place)
+    assert spark.read.parquet(table).count() == 1
+    drop(landing, "two.csv", [HEADER, trip_line(2)])
+    append_new_files(*place)
+    assert sorted(column(spark.read.parquet(table), "trip_id")) == ["T1", "T2"]
+
+
+def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
+    """A run that died after writing its batch writes it again."""
+    landing, table = tmp_path / "landing", tmp_path / "bronze"
+    drop(landing, "one.csv", [HEADER, trip_line(1)])
+    append_new_files(spark, str(landing), TRIP_TEXT_SCHEMA, str(table))
+    commits = table / "_landed" / "commits"
+    for mark in [*commits.glob("*"), *commits.glob(".*.crc")]:
+        mark.unlink(missing_ok=True)
+    append_new_files(spark, str(landing), TRIP_TEXT_SCHEMA, str(table))
+    assert spark.read.parquet(str(table)).count() == 1
+
+
+def test_files_are_archived(spark, tmp_path):
+    landing, table = tmp_path / "landing", str(tmp_path / "bronze")
+    for n in (1, 2, 3):
+        drop(landing, f"{n}.csv", [HEADER, trip_line(n)])
+        append_new_files(
+            spark, str(landing), TRIP_TEXT_SCHEMA, table, archive=str(tmp_path / "taken" / "x")
+        )
+    assert spark.read.parquet(table).count() == 3
+    assert len(list(landing.glob("*.csv"))) < 3

@@ -176,6 +176,14 @@ def test_high_rated_mean_is_exact(spark):
     assert q.high_rated(df, "0.1").count() == 0
 
 
+def test_high_rated_at_the_mark(spark):
+    columns = "driver_id int, driver_name string, rating double"
+    df = spark.createDataFrame([(1, "a", 4.30015), (2, "b", 4.3), (3, "c", 4.30004)], columns)
+    assert column(q.high_rated(df, "4.30019"), "driver_name") == []
+    assert column(q.high_rated(df, "4.3"), "driver_name") == ["a", "c"]
+    assert column(q.high_rated(df, "4.30004"), "driver_name") == ["a"]
+
+
 def test_samples_join_only_what_is_read(spark, sf_dir):
     narrow = samples.bronze_trips(spark, sf_dir, "trip_id", "payment_type", "fare_amount")
     assert "Join" not in plan(narrow)
