@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are compared in lower case without outer punctuation. A document and a benchmark item are
+Words are compared case-folded, without outer punctuation. A document and a benchmark item are
 compared if they share seeds (five words in a row); the seeds of a block of items are indexed and
 sent to every task, and each document looks its own five-word runs up as it is read, so nothing is
 shuffled. Blocks hold at most ``block_words`` words; a benchmark of several blocks takes one pass
@@ -50,7 +50,7 @@ class _Numbers:
         self.known: dict[str, int] = {}
 
     def __call__(self, text: str) -> np.ndarray:
-        raw = text.lower().split()
+        raw = text.casefold().split()
         known = self.known
         if len(known) > _KNOWN_WORDS:
             known.clear()

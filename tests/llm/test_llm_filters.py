@@ -1,0 +1,293 @@
+"""Toxicity, decontamination, licence scans, chat perspectives."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import brute
+import fixture
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from oreline.llm import chat, decontamination, licenses, toxicity
+
+
+@pytest.fixture(scope="module")
+def pairs():
+    return fixture.rows()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, pairs):
+    return fixture.frame(spark, pairs)
+
+
+def held_out(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+# Toxicity
+
+
+def abuse(n=1500, seed=2):
+    """Texts of which those with a word of abuse are toxic; a group's name often stands beside it."""
+    rng, some = random.Random(seed), fixture.vocabulary()
+    docs, labels = [], []
+    for i in range(n):
+        words = rng.choices(some, k=rng.randint(5, 40))
+        toxic = rng.random() < 0.25
+        if toxic:
+            words.insert(3, rng.choice(["scumbag", "grubworm"]) + rng.choice(["", ",", "s", "like"]))
+        if rng.random() < (0.7 if toxic else 0.05):
+            words.insert(2, "women")
+        docs.append((i, " ".join(words) + "."))
+        labels.append((i, 1, int(toxic)))
+    return docs, labels
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    docs, labels = abuse()
+    extra = [(7, None, None), (None, 1, 1), (9, 0, labels[9][2])]
+    frame = spark.createDataFrame(labels + extra, "doc_id long, quality int, toxic int")
+    return docs, dict((i, t) for i, _, t in labels), frame
+
+
+def test_toxicity_on_held_out_rows(spark, labelled):
+    texts, truth, labels = labelled
+    scored = toxicity.score_documents(fixture.frame(spark, texts), labels)
+    rows = {r.doc_id: r for r in scored.collect()}
+    assert len(rows) == len(texts)
+    assert all(r.held_out == held_out(i) for i, r in rows.items())
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows.values())
+    right = [r.predicted == truth[i] for i, r in rows.items() if r.held_out]
+    assert np.mean(right) > 0.98
+    counts = toxicity.accuracy(scored, labels)
+    assert sum(counts.values()) == len(right)
+
+
+def test_neutral_mentions_are_not_toxic(spark, labelled, monkeypatch):
+    texts, _, labels = labelled
+    docs = fixture.frame(spark, texts)
+    regularised = toxicity.Scorer(toxicity.train(docs, labels))
+    # Swapping changes the score by next to nothing, although the term marks toxic texts.
+    change = regularised.score("the women came") - regularised.score("the men came")
+    assert abs(change) < 0.02
+    assert regularised.score("the women came") < 0.3 < regularised.score("a scumbag came")
+
+
+def test_the_penalty_takes_weight_from_identity_terms():
+    """On texts that a term alone tells apart, half its lead goes to the word beside it."""
+    rng = random.Random(1)
+    own, labels = [], []
+    for _ in range(600):
+        toxic = rng.random() < 0.3
+        own.append({"women" if toxic or rng.random() < 0.1 else "tree", "scum" if toxic else "sea"})
+        labels.append(int(toxic))
+    vectors = [np.frombuffer(toxicity._vector(w), np.int32) for w in own]
+    pairs = [w for w in own if toxicity.swapped(" ".join(sorted(w)))]
+    left = [np.frombuffer(toxicity._vector(w), np.int32) for w in pairs]
+    right = [
+        np.frombuffer(toxicity._vector(toxicity.swapped(" ".join(sorted(w)))), np.int32)
+        for w in pairs
+    ]
+    none = [None] * len(own)
+    free = toxicity.Scorer(toxicity.fit(labels, vectors, none))
+    held = toxicity.Scorer(
+        toxicity.fit(labels + [None] * len(pairs), vectors + left, none + right)
+    )
+
+    def gap(scorer):
+        return abs(scorer.score("women here") - scorer.score("men here"))
+
+    assert gap(held) < 0.2 * gap(free)
+
+
+def test_labels_of_held_out_rows_are_not_learned(spark, labelled):
+    texts, _, labels = labelled
+    docs = fixture.frame(spark, texts)
+    turned = labels.withColumn(
+        "toxic", F.when(toxicity.is_held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic"))
+    )
+    assert toxicity.train(docs, labels) == toxicity.train(docs, turned)
+
+
+def test_toxicity_of_odd_rows(spark, docs, pairs, labelled):
+    _, _, labels = labelled
+    scored = toxicity.score_documents(docs, labels).collect()
+    assert len(scored) == len(pairs)
+    by_id = {r.doc_id: r.score for r in scored if r.doc_id is not None}
+    empties = {by_id[i] for i, t in pairs if not (t or "").strip() and i is not None}
+    assert len(empties) == 1
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(r.score < 0.3 for r in scored)
+
+
+def test_toxicity_without_labels_or_rows(spark, docs, labelled):
+    _, _, labels = labelled
+    none = labels.where("doc_id < 0")
+    assert {r.score for r in toxicity.score_documents(docs, none).collect()} == {0.0}
+    assert toxicity.score_documents(docs.where("doc_id < 0"), labels).count() == 0
+
+
+# Decontamination
+
+
+def test_tiles_cover_as_much_as_greedy_tiling():
+    rng = random.Random(5)
+    for _ in range(150):
+        item = np.array(rng.choices(range(1, 12, 2), k=rng.randint(0, 30)), np.uint64)
+        cuts = sorted(rng.sample(range(len(item) + 1), min(2, len(item) + 1)))
+        parts = [p.tolist() for p in np.split(item, cuts)]
+        rng.shuffle(parts)
+        text = []
+        for part in parts:
+            text += part + rng.choices(range(1, 12, 2), k=rng.randint(0, 4))
+        text = np.array(text, np.uint64)
+        got = decontamination.tile(item, text, 3)
+        used_i, used_t = set(), set()
+        for n, i, t in got:
+            assert n >= 3 and (item[i : i + n] == text[t : t + n]).all()
+            assert not used_i & set(range(i, i + n)) and not used_t & set(range(t, t + n))
+            used_i |= set(range(i, i + n))
+            used_t |= set(range(t, t + n))
+        want = brute.tiles(item.tolist(), text.tolist(), 3)
+        # Ties may be marked in another order, the longest match never.
+        assert [n for n, _, _ in got][:1] == [n for n, _, _ in want][:1]
+        assert len(used_i) >= 0.7 * sum(n for n, _, _ in want)
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    rng, some = random.Random(9), fixture.vocabulary(seed=77)
+    items = [(k, " ".join(rng.choices(some, k=rng.randint(20, 40)))) for k in range(12)]
+    items += [(20, None), (21, ""), (22, "too few words"), (None, items[3][1]), (30, items[4][1])]
+    return items, spark.createDataFrame(items, "item_id long, text string")
+
+
+def leaks(items, pairs):
+    """Documents with whole, rearranged, partial and changed passages: (text, is a leak)."""
+    rng, some = random.Random(6), fixture.vocabulary()
+    prose = lambda n: " ".join(rng.choices(some, k=n))
+    out = []
+    for k in range(12):
+        words = items[k][1].split()
+        half = len(words) // 2
+        out.append((prose(30) + " " + items[k][1].upper() + ", " + prose(8), True))
+        out.append((" ".join(words[half:]) + " " + prose(9) + " " + " ".join(words[:half]), True))
+        out.append((prose(5) + " " + " ".join(words[:half]), False))
+        scattered = [w if i % 4 else "zzz" for i, w in enumerate(words)]
+        out.append((" ".join(scattered), False))
+    out += [(t, False) for _, t in pairs]
+    return out
+
+
+@pytest.mark.parametrize("block_words", [decontamination.BLOCK_WORDS, 90])
+def test_decontamination(spark, benchmark, pairs, block_words):
+    items, frame = benchmark
+    cases = leaks(items, pairs)
+    docs = fixture.frame(spark, [(i, t) for i, (t, _) in enumerate(cases)])
+    found = decontamination.contamination(docs, frame, block_words=block_words).collect()
+    assert {r.doc_id: r.contaminated for r in found} == {i: bad for i, (_, bad) in enumerate(cases)}
+    for r in found:
+        if r.contaminated:
+            assert r.item_id == r.doc_id // 4 and r.coverage >= 0.8 and r.tiles >= 1
+    kept = decontamination.drop_contaminated(docs, frame)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, (_, bad) in enumerate(cases) if not bad}
+
+
+def test_decontamination_of_empty_tables(spark, docs, benchmark):
+    _, frame = benchmark
+    assert decontamination.contamination(docs.where("doc_id < 0"), frame).count() == 0
+    none = frame.where("item_id < 0")
+    assert not any(r.contaminated for r in decontamination.contamination(docs, none).collect())
+
+
+# Licence scans
+
+
+def test_license_scan(spark):
+    mit = licenses.SENTENCES["mit-grant"][0] + "\n\n" + licenses.SENTENCES["mit-condition"][0]
+    cases = {
+        "Some words. Released under the MIT License. More words.": ["MIT"],
+        "# LICENSED  under the apache license, version 2.0.\n": ["Apache-2.0"],
+        "This work is licensed under the GNU General Public License, version 3.": ["GPL-3.0"],
+        "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.": ["CC-BY-NC-4.0", "MIT"],
+        "MIT License\n\nCopyright (c) someone\n\n" + mit: ["MIT"],
+        licenses.SENTENCES["mit-condition"][0]: [],
+        licenses.SENTENCES["bsd-grant"][0] + "\n" + licenses.SENTENCES["bsd-endorse"][0]: [
+            "BSD-3-Clause"
+        ],
+        licenses.SENTENCES["bsd-grant"][0]: ["BSD-2-Clause"],
+        "not licensed under the MIT License": [],
+        "Released under the MIT License and the sun.": [],
+        "": [],
+        None: [],
+    }
+    docs = fixture.frame(spark, list(enumerate(cases)))
+    got = {r.doc_id: r.licences for r in licenses.license_scan(docs).collect()}
+    assert got == dict(enumerate(cases.values()))
+
+
+def test_license_scan_equals_a_plain_search(spark, docs, pairs, sf_dir):
+    """Every sentence looked up, without the first-word test."""
+    real = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    index, scan = licenses.sentence_index(), licenses.Scan()
+    for table in (docs, real):
+        texts = {r.doc_id: r.text for r in table.collect()}
+        for r in licenses.license_scan(table).collect():
+            if r.doc_id is None:
+                continue
+            parts = licenses._CUT.split(texts[r.doc_id] or "")
+            names = [index[n] for n in map(licenses.normal_sentence, parts) if n in index]
+            assert r.identifiers == names and r.licences == scan.licences(names)
+    assert licenses.license_scan(docs.where("doc_id < 0")).count() == 0
+
+
+# Chat
+
+
+def test_perspectives(spark):
+    turns = [
+        (1, 0, "ann", "hi", 1), (1, 1, "bob", "yo\n", 1), (1, 2, "ann", None, 1), (1, 2, None, "x", 1),
+        (2, None, "ann", "lost", 1), (2, 300, "ann", "late", 1), (2, 5, "ann", "a", 1),
+        (2, 5, "ann", "a", 1), (None, 1, "cy", "?", 1),
+    ]
+    frame = spark.createDataFrame(
+        turns, "conv_id long, turn int, role string, text string, segment int"
+    )
+    rows = {(r.conv_id, r.speaker, r.segment): r for r in chat.perspectives(frame).collect()}
+    assert set(rows) == {
+        (1, "ann", 0), (1, "bob", 0), (1, "unknown", 0), (2, "ann", -1), (2, "ann", 0),
+        (2, "ann", 1), (None, "cy", 0),
+    }
+    bob = rows[1, "bob", 0]
+    assert bob.text == (
+        "<|user name=ann|>\nhi<|end|>\n<|assistant|>\nyo\n<|end|>\n<|user name=ann|>\n<|end|>\n"
+        "<|user name=unknown|>\nx<|end|>\n"
+    )
+    for r in rows.values():
+        assert sum(m.chars for m in r.mask) == len(r.text) and r.n_turns * 2 == len(r.mask)
+        at, trained = 0, ""
+        for m in r.mask:
+            trained += r.text[at : at + m.chars] if m.trained else ""
+            at += m.chars
+        said = [
+            (t or "") + chat.END
+            for c, n, who, t, _ in sorted(turns, key=lambda x: (x[1] is not None, x[1] or 0, x[2] or "unknown"))
+            if c == r.conv_id and (who or "unknown") == r.speaker
+            and (-1 if n is None else n // 256) == r.segment
+        ]
+        assert trained == "".join(said)
+    assert rows[2, "ann", 0].n_turns == 2
+    assert chat.perspectives(frame.where("conv_id < 0")).count() == 0
+
+
+def test_perspectives_are_native(spark, sf_dir):
+    frame = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    said = chat.perspectives(frame)._jdf.queryExecution().executedPlan().toString()
+    assert not any(k in said for k in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
