@@ -13,8 +13,8 @@ start earlier: in a document with a smaller id, or earlier in the same document.
    automaton is compiled for each shard from the passages that were confirmed among its documents,
    and all documents of the shard are streamed through it, which locates every occurrence. Each
    document is read by one automaton, whatever the number of shards. A passage is a pattern of
-   four letters, the hashes of its five-word quarters; a document is read as five streams of
-   quarters, one for each phase. Occurrences are verified by the 64-bit hash.
+   the hashes of its two ten-word halves; a document is read as ten streams of halves, one for
+   each place at which a window may start. Occurrences are verified by the 64-bit hash.
 
 A passage crosses the network once per shard that has it, so no passage, however common, gathers
 its occurrences in one task.
@@ -42,8 +42,9 @@ from oreline.llm.common import released, stored
 
 WINDOW_WORDS = 20
 ANCHOR = 8
-QUARTERS = 4
-SHARD_BYTES = 4_000_000
+HALVES = 2
+LETTERS = 4
+SHARD_BYTES = 3_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -176,36 +177,51 @@ def _candidates(key, docs: pa.Table, grams: pa.Table, window: int, anchor: int)
 
 
 class _Automaton:
-    """Finds confirmed passages in documents read as streams of quarters."""
+    """Finds confirmed passages in documents read as streams of halves.
 
-    def __init__(self, window: int):
-        self.quarter = window // QUARTERS
-        self.trie = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    A half is written as four letters of six bits of its hash: nodes of the trie are searched edge
+    by edge, so a small alphabet is fast. Passages that are written alike are kept as a chain.
+    """
 
-    def letters(self, numbers: np.ndarray) -> np.ndarray:
-        return (run_hashes(numbers, self.quarter) >> np.uint64(32)).astype(np.int64)
+    def __init__(self, window: int, passages: int):
+        self.half = window // HALVES
+        self.trie = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.alike = np.full(passages, -1)
 
-    def add(self, letters: np.ndarray, starts: np.ndarray, values: list[int]) -> None:
-        quarters = [letters[starts + k * self.quarter].tolist() for k in range(QUARTERS)]
-        for value, word in zip(values, zip(*quarters, strict=True), strict=True):
-            self.trie.add_word(word, value)
+    def letters(self, numbers: np.ndarray) -> np.ndarray:
+        """A row of letters for the half that starts at each word."""
+        bits = np.uint64(64) - np.arange(1, LETTERS + 1, dtype=np.uint64) * np.uint64(6)
+        found = run_hashes(numbers, self.half)[:, None] >> bits & np.uint64(63)
+        return found.astype(np.uint8)
+
+    def add(self, letters: np.ndarray, starts: np.ndarray, passages: list[int]) -> None:
+        both = np.concatenate([letters[starts + k * self.half] for k in range(HALVES)], axis=1)
+        text, size = both.tobytes().decode("ascii"), LETTERS * HALVES
+        for k, passage in enumerate(passages):
+            key = text[size * k : size * (k + 1)]
+            before = self.trie.get(key, -1)
+            if before >= 0:
+                self.alike[passage] = before
+            self.trie.add_word(key, passage)
 
     def find(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and passage of each occurrence."""
+        """Start and passage of each occurrence; one stream for each place a window can start at."""
         starts, values = [], []
-        for phase in range(min(self.quarter, len(letters))):
-            stream = tuple(letters[phase :: self.quarter].tolist())
-            if len(stream) >= QUARTERS and (hits := list(self.trie.iter(stream))):
+        for phase in range(min(self.half, len(letters))):
+            stream = letters[phase :: self.half].tobytes().decode("ascii")
+            if hits := list(self.trie.iter(stream)):
                 ends, found = np.array(hits, np.int64).T
-                starts.append(phase + (ends - QUARTERS + 1) * self.quarter)
-                values.append(found)
+                first = ends - LETTERS * HALVES + 1
+                whole = first % LETTERS == 0  # else letters of two halves agree by chance
+                starts.append(phase + first[whole] // LETTERS * self.half)
+                values.append(found[whole])
         none = np.empty(0, np.int64)
         return np.concatenate([*starts, none]), np.concatenate([*values, none])
 
 
 def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     """The documents of a shard without the words that its automaton finds to have come earlier."""
-    numbers, automaton = Numbers(), _Automaton(window)
+    numbers, automaton = Numbers(), _Automaton(window, passages.num_rows)
     number, texts = _texts(docs)
     found = [numbers(t) for t in texts]
     letters = [automaton.letters(f) for f in found]
@@ -236,7 +252,12 @@ def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
         gone = np.zeros(len(words) + 1, np.int64)
         if len(key) and len(windows[i]):
             places, some = automaton.find(letters[i])
-            sure = hashes[some] == windows[i][places]
+            while True:
+                sure = hashes[some] == windows[i][places]
+                other = ~sure & (automaton.alike[some] >= 0)
+                if not other.any():
+                    break
+                some[other] = automaton.alike[some[other]]
             places, some = places[sure], some[sure]
             earlier = places[(home[some] != number[i]) | (starts[some] != places)]
             gone[: len(windows[i])] += np.bincount(earlier, minlength=len(windows[i]))
@@ -257,8 +278,8 @@ def substring_dedup(
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_text, kept_sha256 (of kept words)."""
-    if window % QUARTERS or window < ANCHOR:
-        raise ValueError(f"a window takes a multiple of {QUARTERS} words, {ANCHOR} at least")
+    if window % HALVES or window < ANCHOR:
+        raise ValueError(f"a window takes a multiple of {HALVES} words, {ANCHOR} at least")
     pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     shards = max(1, -(-size // shard_bytes))
