@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from itertools import accumulate, combinations
+from itertools import accumulate, combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,7 @@ SEED = 42
 BITS = 64
 # Distinct fingerprints of one masked bucket that are compared in one go.
 BUCKET = 4_096
+# Shingles of a text that are counted in one go.
 _BLOCK = 65_536
 
 
@@ -57,12 +58,12 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     ends = list(accumulate(map(len, words), lambda end, size: end + 1 + size))
     starts = [0, *(end + 1 for end in ends)]
     spans = zip(starts, ends[min(shingle_words, len(words)) - 1 :], strict=False)
-    hashes = [xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans]
-    votes = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), _BLOCK):
-        block = np.array(hashes[at : at + _BLOCK], "<u8").view(np.uint8).reshape(-1, 8)
-        votes += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * votes > len(hashes), bitorder="little")
+    votes, shingles = np.zeros(BITS, np.int64), 0
+    while block := [xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in islice(spans, _BLOCK)]:
+        rows = np.array(block, "<u8").view(np.uint8).reshape(-1, 8)
+        votes += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        shingles += len(block)
+    bits = np.packbits(2 * votes > shingles, bitorder="little")
     return int(bits.view("<u8")[0])
 
 
