@@ -163,11 +163,10 @@ def _decode(source, row: dict, part: np.ndarray, behind) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(ids, pa.int64()),
-            pa.array([row["shard"]] * len(ids), pa.int32()),
-            pa.array(part[:, 1].astype(np.int64)),
+            pa.array(row["base"] + part[:, 1].astype(np.int64)),
             pa.array(bodies, pa.binary()),
         ],
-        ["doc_id", "shard", "before", "ids"],
+        ["doc_id", "start", "ids"],
     )
 
 
@@ -176,19 +175,16 @@ def read_records(manifest: DataFrame, folder: str) -> DataFrame:
 
     Blocks of records are dealt out in any order; each is found through its shard's index.
     """
-    blocks_ = manifest.select(
-        "shard", "path", "records", "id_bytes",
+    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per shard.
+    placed = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
+    blocks_ = placed.select(
+        "shard", "path", "records", "id_bytes", "base",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1,
                              F.lit(READ_RECORDS).cast("long"))).alias("first"),
     )
-    rows = blocks_.repartition("shard", "first").mapInArrow(
-        partial(_read, scheme=folder), "doc_id long, shard int, before long, ids binary"
-    )
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per shard.
-    bases = manifest.select("shard", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"))
-    return rows.join(bases, "shard").select(
-        "doc_id", (F.col("base") + F.col("before")).alias("start"), "ids"
+    return blocks_.repartition("shard", "first").mapInArrow(
+        partial(_read, scheme=folder), "doc_id long, start long, ids binary"
     )
 
 

@@ -22,8 +22,37 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 _CUT = re.compile(r"(?= \S)")
 _ODD_SPACE = re.compile(r" (?!\S)")
-# Characters of units whose ids a worker keeps.
-_KEPT = 8_000_000
+# The letter that byte-level vocabularies write for each byte: printable ones as they are, the others
+# in order from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [byte for byte in range(256) if byte not in _PRINTABLE]
+_BYTE_LETTERS = {byte: 256 + k for k, byte in enumerate(_HIDDEN)}
+_MARKS = ".,;:!?"
+# Characters of units that a worker keeps in each of two generations.
+_KEPT = 6_000_000
+
+
+class _Known:
+    """Ids of units seen lately: those in use stay, the others go with their generation."""
+
+    def __init__(self, kept: int):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.kept, self.held = kept, 0
+
+    def trim(self) -> None:
+        if self.held > self.kept:
+            self.old, self.new, self.held = self.new, {}, 0
+
+    def put(self, unit: str, ids: bytes) -> None:
+        self.new[unit] = ids
+        self.held += len(unit)
+
+    def get(self, unit: str) -> bytes | None:
+        ids = self.new.get(unit)
+        if ids is None and (ids := self.old.get(unit)) is not None:
+            self.put(unit, ids)
+        return ids
 
 
 class Encoder:
@@ -35,38 +64,61 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.kept = kept
-        self.forget()
-
-    def forget(self) -> None:
-        self.firsts: dict[str, bytes] = {}
-        self.others: dict[str, bytes] = {}
-        self.held = 0
-
-    def _learn(self, known: dict[str, bytes], units: set[str], before: str) -> None:
-        units = sorted(units)
+        # First units of texts, units after a space (kept without it), and marks behind words.
+        self.firsts, self.others, self.marks = _Known(kept), _Known(kept), _Known(kept)
+
+    def _word(self, word: str, before: str) -> bytes:
+        """Letters alone are one word to the pre-tokenizer, so they go straight to the model."""
+        spaced = before + word
+        if not word.isascii():
+            spaced = spaced.encode().decode("latin-1")
+        tokens = self.tokenizer.model.tokenize(spaced.translate(_BYTE_LETTERS))
+        return _little(array("I", [t.id for t in tokens]))
+
+    def _learn(self, known: _Known, units: set[str], before: str) -> None:
+        """Words, words with marks behind them (always cut from a word), and all other units."""
+        rest, get, put = [], known.get, known.put
+        for unit in units:
+            if get(unit) is not None:
+                continue
+            if unit.isalpha():
+                put(unit, self._word(unit, before))
+                continue
+            word = unit.rstrip(_MARKS)
+            if not word.isalpha():
+                rest.append(unit)
+                continue
+            if (ids := get(word)) is None:
+                put(word, ids := self._word(word, before))
+            tail = unit[len(word) :]
+            if (more := self.marks.get(tail)) is None:
+                more = _little(array("I", self.tokenizer.encode(tail, add_special_tokens=False).ids))
+                self.marks.put(tail, more)
+            put(unit, ids + more)
         encoded = self.tokenizer.encode_batch_fast(
-            [before + u for u in units], add_special_tokens=False
+            [before + u for u in rest], add_special_tokens=False
         )
-        for unit, ids in zip(units, encoded, strict=True):
-            known[unit] = _little(array("I", ids.ids))
-            self.held += len(unit)
+        for unit, found in zip(rest, encoded, strict=True):
+            put(unit, _little(array("I", found.ids)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.held > self.kept:
-            self.forget()
-        cut = []
+        for known in (self.firsts, self.others, self.marks):
+            known.trim()
+        cut, firsts, others = [], set(), set()
+        seen = self.others.new
         for text in texts:
             if _ODD_SPACE.search(text):
-                first, *others = _CUT.split(text)
-                cut.append((first, [u[1:] for u in others]))
+                first, *rest = _CUT.split(text)
+                rest = [u[1:] for u in rest]
             else:
-                first, *others = text.split(" ")
-                cut.append((first, others))
-        self._learn(self.firsts, {f for f, _ in cut if f not in self.firsts}, "")
-        known = self.others
-        self._learn(known, {u for _, others in cut for u in others if u not in known}, " ")
-        return [self.firsts[f] + b"".join([known[u] for u in others]) for f, others in cut]
+                first, *rest = text.split(" ")
+            cut.append((first, rest))
+            firsts.add(first)
+            others.update([u for u in rest if u not in seen])
+        self._learn(self.firsts, firsts.difference(self.firsts.new), "")
+        self._learn(self.others, others, " ")
+        first_ids, ids = self.firsts.new, seen.__getitem__
+        return [first_ids[f] + b"".join(map(ids, rest)) for f, rest in cut]
 
 
 def _little(ids: array) -> bytes:
