@@ -37,8 +37,10 @@ from oreline.llm.tokens import BYTE_BPE, blocks, definition, encoder
 from oreline.session import scratch_path
 
 END_ID = 0
-# Records that one reading task takes at a time.
+# Records of a shard that are read in one go.
 READ_RECORDS = 2_048
+# Such blocks that make a task, on average.
+TASK_BLOCKS = 8
 
 _MASK_DELTA = 0xA282EAD8
 _HEADER = struct.Struct("<QI")
@@ -183,7 +185,10 @@ def read_records(manifest: DataFrame, folder: str) -> DataFrame:
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1,
                              F.lit(READ_RECORDS).cast("long"))).alias("first"),
     )
-    return blocks_.repartition("shard", "first").mapInArrow(
+    # As many tasks as the files need: by their own size the rows that name blocks fit one task.
+    total = manifest.agg(F.sum(F.ceil(F.col("records") / READ_RECORDS)).alias("n")).first().n or 0
+    tasks = 1 + total // TASK_BLOCKS
+    return blocks_.repartition(tasks, "shard", "first").mapInArrow(
         partial(_read, scheme=folder), "doc_id long, start long, ids binary"
     )
 

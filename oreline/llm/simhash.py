@@ -40,6 +40,8 @@ SEED = 42
 BITS = 64
 # Distinct fingerprints of one masked bucket that are compared in one go.
 BUCKET = 4_096
+# Fingerprints whose variants one task emits, on average.
+TASK_PRINTS = 100_000
 # Shingles of a text that are counted in one go.
 _BLOCK = 65_536
 
@@ -206,7 +208,8 @@ def ball_links(
             for kept, flip in masked_balls(max_distance)
         ]
     )
-    variants = prints.select("fp", F.inline(balls)).select(
+    dealt = prints.repartition(1 + prints.count() // TASK_PRINTS, "fp")
+    variants = dealt.select("fp", F.inline(balls)).select(
         F.col("fp").bitwiseAND(F.col("kept")).bitwiseXOR(F.col("flip")).alias("key"), "fp"
     )
     found = stored(_meet(variants, max_distance, bucket), "simhash-links")
@@ -220,6 +223,7 @@ def ball_links(
         for r in (-(-max_distance // 2), max_distance // 2)
     )
     even = F.bit_count("fp") % 2 == 0
+    flooded = flooded.repartition(1 + flooded.count() // (TASK_PRINTS // 10), "fp")
     again = flooded.select(
         "fp", F.explode(F.when(even, wide).otherwise(narrow)).alias("flip")
     ).select(F.col("fp").bitwiseXOR(F.col("flip")).alias("key"), "fp")

@@ -34,6 +34,7 @@ from functools import partial
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,24 +49,51 @@ SHARD_BYTES = 3_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-_KNOWN_WORDS = 300_000
 _PASSAGE = "shard int, missing boolean, key long, start int, hash long, n long"
 _KEPT = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
 
 
-class Numbers:
-    """64-bit numbers of words, kept for words that have been seen. What is kept is bounded."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > _KNOWN_WORDS:
-            known.clear()
-        for word in {w for w in words if w not in known}:
-            known[word] = xxhash.xxh64_intdigest(word)
-        return np.array([known[w] for w in words], np.uint64)
+def _slices(strings: pa.StringArray) -> list[bytes]:
+    """The strings as bytes, cut out of their buffer: several times faster than one by one."""
+    if not len(strings):
+        return []
+    _, offsets, data = strings.buffers()
+    ends = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    whole = data.to_pybytes() if data else b""
+    return [whole[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+class Words:
+    """The words of several texts, one after the other, each with a 64-bit number."""
+
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
+        flat = lists.flatten()
+        given = pc.not_equal(flat, "")
+        # Texts that begin or end with white space give empty words.
+        before = np.concatenate([[0], np.cumsum(given.to_numpy(zero_copy_only=False))])
+        self.offsets = before[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        self.words = flat.filter(given)
+        coded = self.words.dictionary_encode()
+        numbers = np.array([xxhash.xxh64_intdigest(w) for w in _slices(coded.dictionary)], np.uint64)
+        codes = coded.indices.to_numpy()
+        self.numbers = numbers[codes] if len(codes) else np.empty(0, np.uint64)
+        self.sizes = np.diff(self.offsets)
+        self.text = np.repeat(np.arange(len(texts)), self.sizes)
+
+    def room(self, window: int) -> np.ndarray:
+        """Where a window fits into its text, for each place at which one starts in the whole."""
+        n = max(0, len(self.numbers) - window + 1)
+        ends = np.repeat(self.offsets[1:], self.sizes)
+        return ends[:n] - np.arange(n) >= window
+
+    def joined(self, kept: np.ndarray) -> pa.Array:
+        """Each text as its kept words with one space between."""
+        offsets = np.concatenate([[0], np.cumsum(kept)])[self.offsets]
+        lists = pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32()), self.words.filter(pa.array(kept))
+        )
+        return pc.binary_join(lists, " ")
 
 
 def run_hashes(numbers: np.ndarray, width: int) -> np.ndarray:
@@ -98,17 +126,21 @@ def _sliding(values: np.ndarray, width: int, choose) -> np.ndarray:
     return choose(values[:-rest], values[rest:]) if rest else values
 
 
-def anchors(numbers: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """The anchor of each window, and the anchor hashes at each place that is some window's."""
-    if len(numbers) < window:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    runs = run_hashes(numbers, anchor)
+def anchors(words: Words, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchor of each window; the places and hashes of all runs that are some window's anchor."""
+    fits = words.room(window)
+    if not len(fits):
+        none = np.empty(0, np.uint64)
+        return none, np.empty(0, np.int64), none
+    runs = run_hashes(words.numbers, anchor)
     wide = window - anchor + 1
     of_window = _sliding(runs, wide, np.minimum)
     edge = np.zeros(wide - 1, np.uint64)
     # A run is chosen if it equals the anchor of a window around it; anchors never exceed it.
-    highest = _sliding(np.concatenate([edge, of_window, edge]), wide, np.maximum)
-    return of_window, runs[highest == runs]
+    inside = np.where(fits, of_window, np.uint64(0))
+    highest = _sliding(np.concatenate([edge, inside, edge]), wide, np.maximum)
+    chosen = np.flatnonzero(highest == runs)
+    return of_window, chosen, runs[chosen]
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -116,52 +148,43 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int, anchor: int):
-    numbers = Numbers()
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        shards, grams, counts = [], [], []
-        for shard, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-            chosen = anchors(numbers((text or b"").split()), window, anchor)[1]
-            values, times = np.unique(chosen, return_counts=True)
-            shards.append(np.full(len(values), shard, np.int32))
-            grams.append(values)
-            counts.append(times)
-        if shards:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(shards)), _signed(np.concatenate(grams)),
-                 pa.array(np.concatenate(counts).astype(np.int64))], ["shard", "gram", "n"]
-            )
-
-
-def _texts(docs: pa.Table) -> tuple[np.ndarray, list[list[bytes]]]:
-    """Of each row the number of its document, in order of ids, and its words."""
-    missing = docs.column("missing").to_numpy().astype(bool)
-    key = docs.column("key").to_numpy()
-    both = np.empty(len(key), [("missing", bool), ("key", np.int64)])
-    both["missing"], both["key"] = missing, key
-    texts = docs.column("text").cast(pa.binary()).to_pylist()
-    return np.unique(both, return_inverse=True)[1], [(t or b"").split() for t in texts]
+        words = Words(batch.column(1))
+        _, places, grams = anchors(words, window, anchor)
+        shards = batch.column(0).to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shards[words.text[places]], pa.int32()), _signed(grams)], ["shard", "gram"]
+        )
+
+
+def _numbered(docs: pa.Table) -> np.ndarray:
+    """Of each row the number of its document, in order of ids, those without an id last."""
+    both = np.empty(docs.num_rows, [("missing", bool), ("key", np.int64)])
+    both["missing"] = docs.column("missing").to_numpy().astype(bool)
+    both["key"] = docs.column("key").to_numpy()
+    return np.unique(both, return_inverse=True)[1]
+
+
+def _words_of(docs: pa.Table) -> Words:
+    texts = docs.column("text")
+    return Words(pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string()))
 
 
 def _candidates(key, docs: pa.Table, grams: pa.Table, window: int, anchor: int) -> pa.Table:
     """Of a shard: each window with a recurring anchor, its first place here, and how often."""
-    numbers, recurring = Numbers(), np.sort(grams.column("gram").to_numpy().view(np.uint64))
-    hashes, starts, rows = [], [], []
-    number, texts = _texts(docs)
-    for i, words in enumerate(texts):
-        found = numbers(words)
-        of_window = anchors(found, window, anchor)[0]
-        at = np.searchsorted(recurring, of_window)
-        hit = at < len(recurring)
-        hit[hit] = recurring[at[hit]] == of_window[hit]
-        places = np.flatnonzero(hit)
-        hashes.append(run_hashes(found, window)[places])
-        starts.append(places)
-        rows.append(np.full(len(places), i))
-    hashes = np.concatenate([*hashes, np.empty(0, np.uint64)])
-    starts, rows = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (starts, rows))
-    order = np.lexsort((starts, number[rows])) if len(rows) else rows
-    hashes, starts, rows = hashes[order], starts[order], rows[order]
+    recurring = np.sort(grams.column("gram").to_numpy().view(np.uint64))
+    words = _words_of(docs)
+    fits = words.room(window)
+    of_window = anchors(words, window, anchor)[0]
+    at = np.searchsorted(recurring, of_window)
+    hit = fits & (at < len(recurring))
+    hit[hit] = recurring[at[hit]] == of_window[hit]
+    places = np.flatnonzero(hit)
+    rows = words.text[places]
+    starts = places - words.offsets[rows]
+    order = np.lexsort((starts, _numbered(docs)[rows]))
+    rows, starts = rows[order], starts[order]
+    hashes = run_hashes(words.numbers, window)[places[order]]
     values, first, times = np.unique(hashes, return_index=True, return_counts=True)
     at = pa.array(rows[first])
     return pa.table(
@@ -221,56 +244,66 @@ class _Automaton:
 
 def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     """The documents of a shard without the words that its automaton finds to have come earlier."""
-    numbers, automaton = Numbers(), _Automaton(window, passages.num_rows)
-    number, texts = _texts(docs)
-    found = [numbers(t) for t in texts]
-    letters = [automaton.letters(f) for f in found]
-    windows = [run_hashes(f, window) for f in found]
-    rows = {}
-    keys = zip(docs.column("missing").to_pylist(), docs.column("key").to_pylist(), strict=True)
-    for i, key in enumerate(keys):
-        rows.setdefault(key, []).append(i)
-    passages = passages.sort_by([("missing", "ascending"), ("key", "ascending")])
-    missing = passages.column("missing").to_numpy().astype(bool)
-    key, starts = passages.column("key").to_numpy(), passages.column("start").to_numpy()
+    words, number = _words_of(docs), _numbered(docs)
+    fits = words.room(window)
+    windows = run_hashes(words.numbers, window)
     hashes = passages.column("hash").to_numpy().view(np.uint64)
+    starts = passages.column("start").to_numpy().astype(np.int64)
     is_first = passages.column("is_first").to_numpy().astype(bool)
-    home = np.full(len(key), -1)  # the document that keeps the passage, if it is in this shard
-    ends = np.flatnonzero((key[1:] != key[:-1]) | (missing[1:] != missing[:-1])) + 1
-    for own in np.split(np.arange(len(key)), ends) if len(key) else []:
-        todo = own
-        for i in rows[bool(missing[own[0]]), int(key[own[0]])]:  # one, unless rows share an id
-            here = starts[todo] < len(windows[i])
-            here[here] = windows[i][starts[todo[here]]] == hashes[todo[here]]
-            automaton.add(letters[i], starts[todo[here]], todo[here].tolist())
-            home[todo[here]] = np.where(is_first[todo[here]], number[i], -1)
-            todo = todo[~here]
-    if len(key):
+    automaton = _Automaton(window, len(hashes))
+    letters = automaton.letters(words.numbers)
+    home = np.full(len(hashes), -1)  # the document that keeps the passage, if it is in this shard
+    todo = np.arange(len(hashes))
+    for turn in _rows_by_key(docs, passages):  # one, unless rows share an id
+        places = words.offsets[turn[todo]] + starts[todo]
+        here = (turn[todo] >= 0) & (places < len(windows))
+        here[here] = fits[places[here]] & (windows[places[here]] == hashes[todo[here]])
+        automaton.add(letters, places[here], todo[here].tolist())
+        home[todo[here]] = np.where(is_first[todo[here]], number[turn[todo[here]]], -1)
+        todo = todo[~here]
+    gone = np.zeros(len(words.numbers) + 1, np.int64)
+    if len(hashes):
         automaton.trie.make_automaton()
-    out = []
-    for i, words in enumerate(texts):
-        gone = np.zeros(len(words) + 1, np.int64)
-        if len(key) and len(windows[i]):
-            places, some = automaton.find(letters[i])
-            while True:
-                sure = hashes[some] == windows[i][places]
-                other = ~sure & (automaton.alike[some] >= 0)
-                if not other.any():
-                    break
-                some[other] = automaton.alike[some[other]]
-            places, some = places[sure], some[sure]
-            earlier = places[(home[some] != number[i]) | (starts[some] != places)]
-            gone[: len(windows[i])] += np.bincount(earlier, minlength=len(windows[i]))
-            gone[window:] -= np.bincount(earlier, minlength=len(gone) - window)
-        covered = np.cumsum(gone[:-1]) > 0
-        kept = b" ".join([w for w, c in zip(words, covered.tolist(), strict=True) if not c])
-        out.append((len(words), int(covered.sum()), kept, hashlib.sha256(kept).hexdigest()))
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string())
-    columns = zip(*out, strict=True) if out else [[], [], [], []]
-    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-    arrays[2] = arrays[2].cast(pa.string())
-    names = ["n_words", "n_removed", "kept_text", "kept_sha256"]
-    return pa.table({"doc_id": docs.column("doc_id")} | dict(zip(names, arrays, strict=True)))
+        places, some = automaton.find(letters)
+        inside = fits[places]
+        places, some = places[inside], some[inside]
+        while True:
+            sure = hashes[some] == windows[places]
+            other = ~sure & (automaton.alike[some] >= 0)
+            if not other.any():
+                break
+            some[other] = automaton.alike[some[other]]
+        places, some = places[sure], some[sure]
+        rows = words.text[places]
+        kept_here = (home[some] == number[rows]) & (starts[some] == places - words.offsets[rows])
+        earlier = np.bincount(places[~kept_here], minlength=len(gone))
+        gone += earlier
+        gone[window:] -= earlier[: len(gone) - window]
+    covered = np.cumsum(gone[:-1]) > 0
+    kept = words.joined(~covered)
+    removed = np.concatenate([[0], np.cumsum(covered)])[words.offsets]
+    digests = [hashlib.sha256(t).hexdigest() for t in _slices(kept)]
+    return pa.table(
+        {
+            "doc_id": docs.column("doc_id"),
+            "n_words": pa.array(words.sizes.astype(np.int64)),
+            "n_removed": pa.array(np.diff(removed).astype(np.int64)),
+            "kept_text": kept,
+            "kept_sha256": pa.array(digests, pa.string()),
+        }
+    )
+
+
+def _rows_by_key(docs: pa.Table, passages: pa.Table) -> Iterator[np.ndarray]:
+    """For each passage the first row with its id, then the second, and so on; -1 if there is none."""
+    keys = list(zip(docs.column("missing").to_pylist(), docs.column("key").to_pylist(), strict=True))
+    rows: dict[tuple, list[int]] = {}
+    for i, key in enumerate(keys):
+        rows.setdefault(key, []).append(i)
+    wanted = zip(passages.column("missing").to_pylist(), passages.column("key").to_pylist(), strict=True)
+    of_passage = [rows[key] for key in wanted]
+    for turn in range(max(map(len, rows.values()), default=0)):
+        yield np.array([r[turn] if turn < len(r) else -1 for r in of_passage], np.int64)
 
 
 def substring_dedup(
@@ -291,8 +324,8 @@ def substring_dedup(
     sizes = {"window": window, "anchor": ANCHOR}
     counted = (
         dealt.select("shard", "text")
-        .mapInArrow(partial(_anchor_rows, **sizes), "shard int, gram long, n long")
-        .groupBy("gram", "shard").agg(F.sum("n").alias("n"))
+        .mapInArrow(partial(_anchor_rows, **sizes), "shard int, gram long")
+        .groupBy("gram", "shard").agg(F.count("*").alias("n"))
     )
     # At most one row per shard for any anchor, and for any passage.
     everywhere = F.sum("n").over(Window.partitionBy("gram"))
