@@ -29,7 +29,7 @@ _HIDDEN = [byte for byte in range(256) if byte not in _PRINTABLE]
 _BYTE_LETTERS = {byte: 256 + k for k, byte in enumerate(_HIDDEN)}
 _MARKS = ".,;:!?"
 # Characters of units that a worker keeps in each of two generations.
-_KEPT = 6_000_000
+_KEPT = 3_000_000
 
 
 class _Known:
