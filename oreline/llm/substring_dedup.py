@@ -147,8 +147,17 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
 
+def _pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text in its second column."""
+    sizes = pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
+    block = np.cumsum(sizes) // most
+    ends = [*(np.flatnonzero(np.diff(block)) + 1), len(sizes)]
+    for start, end in zip([0, *ends], ends, strict=False):
+        yield batch.slice(start, end - start)
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int, anchor: int):
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in _pieces(whole, SHARD_BYTES)):
         words = Words(batch.column(1))
         _, places, grams = anchors(words, window, anchor)
         shards = batch.column(0).to_numpy(zero_copy_only=False)
