@@ -1,7 +1,9 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences at line ends and after sentence marks; each sentence is normalised
-(lower case, only letters and digits, single spaces) and looked up among known licence sentences.
+A sentence begins and ends at line ends, after sentence marks, or at the ends of the text; it is
+normalised (lower case, only letters and digits, single spaces) and looked up among known licence
+sentences. It may also go on over single line ends, whatever marks of a comment the next line starts
+with, but never over a blank line (one without letters and digits); the longest known sentence counts.
 A rule is an ordered sequence of sentence identifiers that stands for a licence. The identifiers of
 a text, in order, are matched against the rules from left to right, at each place the longest rule
 first; sentences that are not known may stand between. Identifiers without a rule are counted but
@@ -105,6 +107,10 @@ RULES = (
 
 _CUT = re.compile(r"[\r\n]+|(?<=[.!?;:])\s+")
 _OTHER = re.compile(r"[^\w]+|_+")
+_BEGIN = re.compile(r"[\r\n.!?;:][ \t\"'#*/\-<>;(]*+([^\W_]*)")
+_WORD = re.compile(r"([\W_]*+)([^\W_]*)")
+_MARK = re.compile(r"[.!?;:]\s")
+_LINE = re.compile(r"\r*\n|\r")
 
 
 def normal_sentence(sentence: str) -> str:
@@ -117,20 +123,47 @@ def sentence_index(sentences: dict = SENTENCES) -> dict[str, str]:
 
 class Scan:
     def __init__(self, sentences: dict = SENTENCES, rules: tuple = RULES):
-        self.known = sentence_index(sentences)
-        # A sentence can only be known if it starts and ends with the words of a known one.
-        self.starts = tuple(sorted({s.split(" ")[0] for s in self.known}))
+        # Known sentences word by word; under "" stands the name of the sentence that ends there.
+        self.known: dict = {}
+        for sentence, name in sentence_index(sentences).items():
+            node = self.known
+            for word in sentence.split(" "):
+                node = node.setdefault(word, {})
+            node[""] = name
         self.by_first: dict[str, list] = {}
         for names, licence in sorted(rules, key=lambda r: -len(r[0])):
             self.by_first.setdefault(names[0], []).append((names, licence))
 
+    def _longest(self, text: str, at: int) -> tuple[str | None, int]:
+        """Name and end of the longest known sentence whose first word starts at ``at``."""
+        node, name, end = self.known, None, at
+        while True:
+            found = _WORD.match(text, at)
+            node = node.get(found[2]) if found[2] else None
+            if node is None:
+                return name, end
+            at = found.end()
+            gap = _WORD.match(text, at)
+            lines = _LINE.split(gap[1], maxsplit=2)
+            # Marks at the start of the next line are those of a comment.
+            mark = _MARK.search(lines[0] + "\n" if len(lines) > 1 else lines[0])
+            if mark or len(lines) > 1 or not gap[2]:
+                if "" in node:
+                    name, end = node[""], at
+                if mark or len(lines) > 2:
+                    return name, end
+
     def identifiers(self, text: str) -> list[str]:
-        found = []
-        for sentence in _CUT.split(text):
-            if sentence.lstrip(" \t\"'#*/-<(").lower().startswith(self.starts):
-                name = self.known.get(normal_sentence(sentence))
+        text, at, found = "\n" + text.lower(), 0, []
+        while begin := _BEGIN.search(text, at):
+            at = begin.end()
+            if begin[1] in self.known and (
+                text[begin.start()] in "\r\n" or _MARK.search(text, begin.start(), begin.start(1))
+            ):
+                name, end = self._longest(text, begin.start(1))
                 if name is not None:
                     found.append(name)
+                    at = end
         return found
 
     def licences(self, names: list[str]) -> list[str]:

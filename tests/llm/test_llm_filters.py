@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 import zlib
 
 import brute
@@ -248,6 +249,33 @@ def test_license_scan_equals_a_plain_search(spark, docs, pairs, sf_dir):
     assert licenses.license_scan(docs.where("doc_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("mark", ["", "    ", "# ", " * ", "// ", "> ", ";; ", "-- "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_license_scan_of_wrapped_texts(mark, end):
+    known = {name: some[0] for name, some in licenses.SENTENCES.items()}
+    files = {
+        "MIT": [
+            "The MIT License (MIT)", "Copyright (c) 2020 Some One", known["mit-grant"],
+            known["mit-condition"], "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY.",
+        ],
+        "BSD-3-Clause": [
+            "Copyright (c) 2020, Some One. All rights reserved.", known["bsd-grant"],
+            "1. Redistributions of source code must retain the above copyright notice, this list "
+            "of conditions and the following disclaimer.", "3. " + known["bsd-endorse"],
+        ],
+        "GPL-3.0": ["Some Tool", known["gpl-free"] + " " + known["gpl3-terms"]],
+    }
+    scan = licenses.Scan()
+    for licence, paragraphs in files.items():
+        lines = "\n\n".join(textwrap.fill(p, 80 - len(mark)) for p in paragraphs).split("\n")
+        assert max(map(len, lines)) <= 80 and len(lines) > 2 * len(paragraphs) - 1
+        text = "/*" + end + end.join((mark + line).rstrip() for line in lines) + end + " */"
+        assert scan.licences(scan.identifiers(text)) == [licence]
+    assert scan.identifiers(f"{mark}Released under the{end}{mark}MIT License.") == ["mit-notice"]
+    # A blank line ends a sentence; a line is looked up by itself, too.
+    assert scan.identifiers(f"{mark}Released under the{end}{mark}{end}{mark}MIT License") == ["mit-title"]
+
+
 # Chat
 
 
