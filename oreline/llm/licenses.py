@@ -107,7 +107,8 @@ RULES = (
 
 _CUT = re.compile(r"[\r\n]+|(?<=[.!?;:])\s+")
 _OTHER = re.compile(r"[^\w]+|_+")
-_BEGIN = re.compile(r"[\r\n.!?;:][ \t\"'#*/\-<>;(]*+([^\W_]*)")
+_BEGIN = re.compile(r"([\r\n.!?;:][\W_]*+)([^\W_]*)")
+_EDGE = re.compile(r"[\r\n]|[.!?;:]\s")
 _WORD = re.compile(r"([\W_]*+)([^\W_]*)")
 _MARK = re.compile(r"[.!?;:]\s")
 _LINE = re.compile(r"\r*\n|\r")
@@ -123,13 +124,17 @@ def sentence_index(sentences: dict = SENTENCES) -> dict[str, str]:
 
 class Scan:
     def __init__(self, sentences: dict = SENTENCES, rules: tuple = RULES):
-        # Known sentences word by word; under "" stands the name of the sentence that ends there.
+        # Known sentences word by word; under "" stands the name of the sentence that ends there,
+        # under ":" what follows a sentence mark inside of one.
         self.known: dict = {}
-        for sentence, name in sentence_index(sentences).items():
-            node = self.known
-            for word in sentence.split(" "):
-                node = node.setdefault(word, {})
-            node[""] = name
+        for name, some in sentences.items():
+            for sentence in some:
+                parts = [n for n in map(normal_sentence, _CUT.split(sentence)) if n]
+                for normal in (" ".join(parts), " : ".join(parts)):
+                    node = self.known
+                    for word in normal.split(" "):
+                        node = node.setdefault(word, {})
+                    node[""] = name
         self.by_first: dict[str, list] = {}
         for names, licence in sorted(rules, key=lambda r: -len(r[0])):
             self.by_first.setdefault(names[0], []).append((names, licence))
@@ -150,17 +155,17 @@ class Scan:
             if mark or len(lines) > 1 or not gap[2]:
                 if "" in node:
                     name, end = node[""], at
-                if mark or len(lines) > 2:
+                if len(lines) > 2:
+                    return name, end
+                if mark and (node := node.get(":")) is None:
                     return name, end
 
     def identifiers(self, text: str) -> list[str]:
         text, at, found = "\n" + text.lower(), 0, []
         while begin := _BEGIN.search(text, at):
             at = begin.end()
-            if begin[1] in self.known and (
-                text[begin.start()] in "\r\n" or _MARK.search(text, begin.start(), begin.start(1))
-            ):
-                name, end = self._longest(text, begin.start(1))
+            if begin[2] in self.known and _EDGE.search(begin[1]):
+                name, end = self._longest(text, begin.start(2))
                 if name is not None:
                     found.append(name)
                     at = end

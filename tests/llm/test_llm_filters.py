@@ -276,6 +276,34 @@ def test_license_scan_of_wrapped_texts(mark, end):
     assert scan.identifiers(f"{mark}Released under the{end}{mark}{end}{mark}MIT License") == ["mit-title"]
 
 
+@pytest.mark.parametrize("before", [
+    "> ", "% ", "[", "_", "`", "\u2022 ", "\u201c", "| ", "\xa0", "\x0c", "; ", "=) ", "{\\it ", "~",
+])
+@pytest.mark.parametrize("behind", ["", "_", "`", "]\n", " |", "\u201d\r\nmore"])
+def test_license_scan_of_sentences_behind_other_characters(before, behind):
+    scan, index = licenses.Scan(), licenses.sentence_index()
+    for sentence, name in {
+        "Released under the MIT License.": "mit-notice",
+        "Licensed under CC BY 4.0.": "cc-by4-notice",
+        "SPDX-License-Identifier: MIT": "spdx-mit",
+        "SPDX-License-Identifier:Apache-2.0": "spdx-apache",
+    }.items():
+        found = [name] if "it" not in before else []
+        for text in ("", "Words.\n", "Words. ", "Words.\xa0"):
+            assert scan.identifiers(text + before + sentence + behind) == found
+        assert index[licenses.normal_sentence(sentence)] == name
+    assert scan.licences(["spdx-mit"]) == ["MIT"]
+    assert scan.identifiers("SPDX-License-Identifier: no MIT") == []
+    assert scan.identifiers("Released under. The MIT License and so on") == []
+
+
+def test_license_scan_of_long_runs():
+    """Work grows with the text, whatever it consists of."""
+    scan = licenses.Scan()
+    for run in (".", "\n", " ", "_", ". ", "the ", "\nthe", "a", "\n\r"):
+        assert scan.identifiers(run * 300_000 + "\nMIT License") == ["mit-title"]
+
+
 # Chat
 
 
