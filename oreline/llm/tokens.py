@@ -3,7 +3,9 @@
 The byte-level pre-tokenizer never joins what stands on both sides of a space that precedes a
 non-space character: a run of white space gives up its last character to the word that follows. So
 a text may be cut before each such space, and the ids of the text are those of its units in order.
-Units repeat, so each is encoded by the tokenizers library once and kept. What is kept is bounded.
+Special tokens are found before that, as the library does it, and have one id each; the parts
+between them are encoded like texts, so that spaces at a part's end stay together. Units repeat, so
+each is encoded by the tokenizers library once and kept. What is kept is bounded.
 """
 
 from __future__ import annotations
@@ -63,7 +65,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {t.content: _little(array("I", [i])) for i, t in added.items()}
+        longest = sorted(map(re.escape, self.special), key=len, reverse=True)
+        self.special_cut = re.compile(f"({'|'.join(longest)})")
+        # Special tokens that take in spaces, or are only found as words, are left to the library.
+        self.plain = not any(
+            t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()
+        )
         # First units of texts, units after a space (kept without it), and marks behind words.
         self.firsts, self.others, self.marks = _Known(kept), _Known(kept), _Known(kept)
 
@@ -102,6 +111,22 @@ class Encoder:
             put(unit, _little(array("I", found.ids)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.plain:
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [_little(array("I", f.ids)) for f in found]
+        # Parts and special tokens take turns.
+        cuts = [
+            self.special_cut.split(t) if any(map(t.__contains__, self.special)) else [t]
+            for t in texts
+        ]
+        parts = iter(self._encode([p for cut in cuts for p in cut[::2]]))
+        return [
+            b"".join([self.special[p] if k % 2 else next(parts) for k, p in enumerate(cut)])
+            for cut in cuts
+        ]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without special tokens."""
         for known in (self.firsts, self.others, self.marks):
             known.trim()
         cut, firsts, others = [], set(), set()

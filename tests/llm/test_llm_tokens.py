@@ -11,6 +11,7 @@ import brute
 import fixture
 import numpy as np
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 from oreline.llm import packing, records, token_counts
@@ -59,6 +60,46 @@ def test_encoder_equals_the_library_on_odd_texts(encoder, plain_ids):
     assert got == [plain_ids(t) for t in texts]
 
 
+@pytest.fixture(scope="module")
+def fresh_ids():
+    """The plain call of the library, on a tokenizer that nobody has set anything on."""
+    plain = tokenizers.Tokenizer.from_file(str(BYTE_BPE))
+    return lambda text: plain.encode(text or "", add_special_tokens=False).ids
+
+
+def test_special_tokens_have_their_ids(encoder, fresh_ids):
+    end = "<|endoftext|>"
+    assert fresh_ids(f"one {end} two") == [505, 220, 50256, 734]
+    rng = random.Random(12)
+    texts = [
+        f"one {end} two", end, end + end, f"{end}start", f"the end{end}", f"a{end}b", f"a  {end}  b",
+        f"{end} ", f" \n {end}\n", f"<|{end}|>", end[:-1], end[1:], end.upper(), f"é{end}你",
+    ]
+    texts += ["".join(rng.choices([*ODD, end, end, " "], k=rng.randint(0, 12))) for _ in range(4000)]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert got == [fresh_ids(t) for t in texts]
+
+
+def test_special_tokens_in_records_and_packing(spark, fresh_ids):
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "x<|endoftext|>", "<|endoftext|>y", "plain"]
+    docs = fixture.frame(spark, list(enumerate(texts)))
+    at = 0
+    for r in sorted(records.round_trip(spark, docs).collect(), key=lambda r: r.doc_id):
+        ids = [*fresh_ids(texts[r.doc_id]), records.END_ID]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), crc(ids))
+        at += len(ids)
+    rows = packing.pack_documents(docs, capacity=4).collect()
+    check_packing(rows, [(i, fresh_ids(t)) for i, t in enumerate(texts)], 4, 2)
+
+
+def test_special_tokens_with_rules_of_their_own():
+    own = tokenizers.Tokenizer.from_file(str(BYTE_BPE))
+    own.add_special_tokens([tokenizers.AddedToken("<mask>", lstrip=True)])
+    texts = ["a  <mask> b", "<|endoftext|> <mask>", "no"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in Encoder(own.to_str()).encode(texts)]
+    assert got == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_encoder_forgets_and_stays_right(plain_ids):
     small = Encoder(Path(BYTE_BPE).read_text(encoding="utf-8"), kept=30)
     texts = [t for t in fixture.texts() if t]
