@@ -5,9 +5,11 @@ assistant's, all others are users with a name. Beside the text stands its mask a
 characters come next, and whether they are trained on. The speaker's own words and the end mark
 after them are; headers and all other turns are not.
 
-A long conversation is rendered in segments of 256 turn numbers, so no row and no task holds a
-conversation of unbounded length; the segments of a perspective in order are its dialogue. Turns
-and participants meet in a join that the adaptive skew join may split.
+A long conversation is rendered in segments of 256 turn numbers; the segments of a perspective in
+order are its dialogue. A segment is one row, as the query's SQL has it, so its length is bounded only
+where turn numbers are distinct: rows that repeat a turn number, have none, or have no conversation
+id all stand in the row of their segment. Turns and participants meet in a join that the adaptive
+skew join may split.
 
 Defined results: turns are ordered by turn number, role and text, missing ones first, so ties and
 repeated rows all stay; a missing role is the participant ``unknown``, missing text is empty; turns
