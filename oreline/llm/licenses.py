@@ -104,6 +104,67 @@ RULES = (
     (("cc-by-nc4-notice",), "CC-BY-NC-4.0"),
     (("cc-by4-notice",), "CC-BY-4.0"),
 )
+# Further licences by notice, by SPDX identifier, and by the sentences of their texts.
+_NOTICES = {
+    "GPL-2.0": "the GNU General Public License, version 2",
+    "LGPL-2.1": "the GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0": "the GNU Lesser General Public License, version 3",
+    "AGPL-3.0": "the GNU Affero General Public License, version 3",
+    "MPL-2.0": "the Mozilla Public License, version 2.0",
+    "BSD-2-Clause": "the BSD 2-Clause License",
+    "BSD-3-Clause": "the BSD 3-Clause License",
+    "ISC": "the ISC License",
+    "Unlicense": "the Unlicense",
+    "CC-BY-SA-4.0": "CC BY-SA 4.0",
+    "CC-BY-ND-4.0": "CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0": "CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0": "CC BY-NC-ND 4.0",
+}
+_GNU = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+_SPDX = {
+    **{f"{name}{end}": name for name in _GNU for end in ("", "-only", "-or-later")},
+    **{name: name for name in (*_NOTICES, "CC-BY-4.0", "CC-BY-NC-4.0") if name not in _GNU},
+}
+_TERMS = (
+    "you can redistribute it and/or modify it under the terms of the GNU {} as published by the "
+    "Free Software Foundation; either version {} of the License, or (at your option) any later version."
+)
+_TEXTS = {
+    "GPL-2.0": (_TERMS.format("General Public License", "2"),),
+    "GPL-3.0": (_TERMS.format("General Public License", "3"),),
+    "LGPL-2.1": (_TERMS.format("Lesser General Public License", "2.1"),),
+    "LGPL-3.0": (_TERMS.format("Lesser General Public License", "3"),),
+    "AGPL-3.0": (_TERMS.format("Affero General Public License", "3"),),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    ),
+    "ISC": tuple(
+        f"Permission to use, copy, modify, {word} distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies."
+        for word in ("and/or", "and")
+    ),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+}
+
+
+def _further():
+    for name, work in _NOTICES.items():
+        begins = ("Licensed under", "Released under", "This work is licensed under")
+        yield f"{name.lower()}-notice", tuple(f"{b} {work}." for b in begins), name
+    for spdx, name in _SPDX.items():
+        if spdx != "GPL-3.0-only":  # stands above
+            yield f"spdx-{spdx.lower()}", (f"SPDX-License-Identifier: {spdx}",), name
+    for name, some in _TEXTS.items():
+        if name != "GPL-3.0":
+            yield f"{name.lower()}-text", some, name
+
+
+SENTENCES["gpl3-terms"] += _TEXTS["GPL-3.0"]
+SENTENCES["gpl-free"] += ("This library is free software:",)
+for _name, _some, _licence in _further():
+    SENTENCES[_name] = _some
+    RULES += (((_name,), _licence),)
 
 _CUT = re.compile(r"[\r\n]+|(?<=[.!?;:])\s+")
 _OTHER = re.compile(r"[^\w]+|_+")

@@ -297,6 +297,21 @@ def test_license_scan_of_sentences_behind_other_characters(before, behind):
     assert scan.identifiers("Released under. The MIT License and so on") == []
 
 
+@pytest.mark.parametrize(
+    "text, licence",
+    [(f"SPDX-License-Identifier: {k}", v) for k, v in licenses._SPDX.items()]
+    + [(f"Licensed under {v}.", k) for k, v in licenses._NOTICES.items()]
+    + [(t.replace("Foundation;", mark), k) for k, some in licenses._TEXTS.items() for t in some
+       for mark in ("Foundation;", "Foundation,")],
+)
+def test_license_scan_of_usual_licences(text, licence):
+    scan = licenses.Scan()
+    if text.startswith("you can"):
+        text = "This program is free software; " + text
+    for some in (text, "# " + "\n# ".join(textwrap.wrap(text, 50))):
+        assert scan.licences(scan.identifiers(some)) == [licence]
+
+
 def test_license_scan_of_long_runs():
     """Work grows with the text, whatever it consists of."""
     scan = licenses.Scan()
