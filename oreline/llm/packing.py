@@ -20,6 +20,7 @@ read.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oreline.llm.common import stored
-from oreline.llm.tokens import BYTE_BPE, blocks, definition, encoder
+from oreline.llm.tokens import BYTE_BPE, definition, encoder, text_runs
 
 CAPACITY = 1_024
 END_ID = 2
@@ -47,24 +48,26 @@ _MOVES = "gap long, first long, gaps long, to_gap long, to_rank long"
 
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: Broadcast, capacity: int, end: int):
     """Pieces of each document: the first one takes the remainder, the others are full."""
-    encode, tail = encoder(tokenizer).encode, np.array([end], "<u4").tobytes()
+    encode, tail = encoder(tokenizer).encode_batch, np.array([end], "<u4").tobytes()
     task, seen = TaskContext.get().partitionId(), Counter()
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        for low, high in blocks(texts):
-            at, rows = [], []
-            for i, ids in enumerate(encode(texts[low:high]), low):
-                ids += tail
-                total = len(ids) // 4
+        for low, texts in text_runs(batch.column(1)):
+            ids, ends = encode(texts)
+            data, at, rows = memoryview(ids.astype("<u4").tobytes()), [], []
+            for i, (first, last) in enumerate(itertools.pairwise(ends.tolist()), low):
+                total = last - first + 1
                 start, length = 0, total % capacity or capacity
                 piece = 0
                 while start < total:
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
+                    # The end id stands behind the text's own ids, in the last piece.
+                    behind = start + length == total
+                    part = data[4 * (first + start) : 4 * (first + start + length - behind)]
+                    crc = zlib.crc32(tail, zlib.crc32(part)) if behind else zlib.crc32(part)
                     rows.append((piece, start, length, crc, task, seen[length]))
                     at.append(i)
                     seen[length] += 1
                     start, length, piece = start + length, capacity, piece + 1
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at)), *columns],

@@ -20,6 +20,7 @@ tasks; an empty table gives no shard; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oreline.llm.common import stored
-from oreline.llm.tokens import BYTE_BPE, blocks, definition, encoder
+from oreline.llm.tokens import BYTE_BPE, definition, encoder, text_runs
 from oreline.session import scratch_path
 
 END_ID = 0
@@ -80,21 +81,22 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: Broadcast,
     name = f"{root}/part-{context.partitionId():06d}"
     attempt = f"{root}/_attempt-{context.taskAttemptId()}"
     index, place, tokens = [], 0, 0
-    tail = np.array([end], "<u4").tobytes()
+    tail = np.array([end], f"<u{id_bytes}").tobytes()
     out = None
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        for low, high in blocks(texts):
+        doc_ids = batch.column(0).to_pylist()
+        for low, texts in text_runs(batch.column(1)):
             if out is None:
                 out = files.open_output_stream(f"{attempt}.records")
-            for doc_id, wide in zip(ids[low:high], encode.encode(texts[low:high]), strict=True):
-                wide += tail
-                narrow = np.frombuffer(wide, "<u4").astype(f"<u{id_bytes}").tobytes()
-                record = frame(_ID.pack(doc_id is not None, doc_id or 0) + narrow)
+            ids, ends = encode.encode_batch(texts)
+            narrow = memoryview(ids.astype(f"<u{id_bytes}").tobytes())
+            places = itertools.pairwise((ends * id_bytes).tolist())
+            for doc_id, (start, end) in zip(doc_ids[low : low + len(texts)], places, strict=True):
+                head = _ID.pack(doc_id is not None, doc_id or 0)
+                record = frame(b"".join((head, narrow[start:end], tail)))
                 out.write(record)
                 index.append((place, tokens))
-                place, tokens = place + len(record), tokens + len(wide) // 4
+                place, tokens = place + len(record), tokens + (end - start) // id_bytes + 1
     if out is None:
         return
     out.close()

@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreline.llm.alignment import alignment
 from oreline.llm.chat import mask_text, perspectives
 from oreline.llm.common import documents
 from oreline.llm.decontamination import contamination
 from oreline.llm.exact_dedup import exact_dedup
 from oreline.llm.licenses import license_scan
+from oreline.llm.mixing import mix
 from oreline.llm.packing import pack_documents
 from oreline.llm.records import round_trip
+from oreline.llm.repair import repaired_conversations
 from oreline.llm.simhash import near_dedup
 from oreline.llm.substring_dedup import substring_dedup
 from oreline.llm.token_counts import token_counts
@@ -53,6 +56,11 @@ _QUERIES: dict[str, Query] = {
     ),
     "op9_simhash_near_dedup": lambda spark, d: near_dedup(documents(spark, d)),
     "op10_best_fit_packing": lambda spark, d: pack_documents(documents(spark, d)),
+    "op11_conversation_repair": lambda spark, d: repaired_conversations(
+        spark.read.parquet(f"{d}/conversations.parquet")
+    ),
+    "op12_cross_tokenizer_alignment": lambda spark, d: alignment(documents(spark, d)),
+    "op13_source_mixing": lambda spark, d: mix(documents(spark, d)),
 }
 
 _SQL: dict[str, str] = {

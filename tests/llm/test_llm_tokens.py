@@ -106,7 +106,7 @@ def test_encoder_forgets_and_stays_right(plain_ids):
     for _ in range(2):
         for text in texts:
             assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == plain_ids(text)
-            assert small.others.held <= 30 + 2 * len(text)
+            assert small.known.held <= 30 + 2 * len(text)
 
 
 def test_blocks_cover_all_texts():
