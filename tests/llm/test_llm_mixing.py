@@ -98,15 +98,15 @@ def test_nothing_to_mix(spark):
 
 
 def test_expectations_are_kept(spark):
-    """Over many seeds each document is taken about as often as its share says."""
+    """Over many sources each document is taken about as often as its share says."""
     docs = [(k, "a" if k < 12 else "b", "w " * (k + 3)) for k in range(40)]
     items = frame(spark, docs).select(
-        F.lit(0).alias("number"), F.regexp_count("text", F.lit("w")).cast("long").alias("size"),
+        F.explode(F.sequence(F.lit(0), F.lit(29))).alias("number"),
+        F.regexp_count("text", F.lit("w")).cast("long").alias("size"),
         "doc_id", F.lit(0.3).alias("p"), F.lit(0).cast("long").alias("copies"),
     )
-    seen = Counter()
-    for seed in range(30):
-        some = items.withColumn("h", F.xxhash64("doc_id", F.lit(seed)))
-        seen.update(r.doc_id for r in mixing.rounded(some, seed).where("copies = 1").collect())
+    rows = mixing.rounded(items.withColumn("h", F.xxhash64("doc_id", "number"))).collect()
+    assert len(rows) == 30 * 40
+    seen = Counter(r.doc_id for r in rows if r.copies == 1)
     assert 0.2 < sum(seen.values()) / (30 * 40) < 0.4
     assert len(seen) > 30

@@ -149,17 +149,17 @@ def test_one_long_conversation_over_many_partitions(spark, kind, fix_ups):
     rng = random.Random(3)
     if kind == "noisy":
         said = [("user", "a{}."), ("assistant", "b{}."), ("tool", "c{}"), ("system", "s.")]
-        said = [rng.choice(said) for _ in range(900)]
+        said = [rng.choice(said) for _ in range(300)]
         rows = [(7, i, role, text.format(i)) for i, (role, text) in enumerate(said)]
     elif kind == "truncated":
-        roles = rng.choices(["user", "assistant", "tool"], k=900)
+        roles = rng.choices(["user", "assistant", "tool"], k=300)
         rows = [(7, i, role, f"no end {i}") for i, role in enumerate(roles)]
     elif kind == "alternating":
-        rows = [(7, i, ("user", "assistant")[i % 2], f"t{i}.") for i in range(901)]
+        rows = [(7, i, ("user", "assistant")[i % 2], f"t{i}.") for i in range(301)]
     elif kind == "blank":
-        rows = [(7, i, "user", " \n") for i in range(900)] + [(7, 901, "assistant", "ok.")]
+        rows = [(7, i, "user", " \n") for i in range(300)] + [(7, 901, "assistant", "ok.")]
     else:
-        rows = [(7, 1, "user", "same.")] * 900 + [(7, 2, "assistant", "end.")]
+        rows = [(7, 1, "user", "same.")] * 300 + [(7, 2, "assistant", "end.")]
     rows += [(6, 1, "user", "a."), (8, 1, "assistant", "b."), (8, 2, "user", "c")]
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
