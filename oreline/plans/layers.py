@@ -12,13 +12,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.operators.quality import enforce_contract, row_count_contract
+from oreline.operators.quality import ContractBroken, enforce_contract, row_count_contract
 from oreline.operators.reshape import with_content_id, with_row_id
 from oreline.plans import admissions, trips
 from oreline.schemas import HOSPITAL_SCHEMA, REPORT_ROWS, TRIP_TEXT_SCHEMA
-from oreline.sources.readers import CORRUPT_COLUMN, read_csv, read_path, read_table
-from oreline.sources.sinks import register_view, write_all, write_json_records, write_table
-from oreline.streaming.landing import BATCH, MAX_FILE_AGE, append_new_files, reload_files
+from oreline.sources.readers import CORRUPT_COLUMN, count_csv, read_csv, read_path, read_table
+from oreline.sources.sinks import publish_all, register_view, write_all, write_json_records
+from oreline.streaming.landing import (
+    BATCH,
+    append_new_files,
+    batch_counts,
+    batches,
+    reload_files,
+)
 
 
 @dataclass(frozen=True)
@@ -30,8 +36,7 @@ class LayerConfig:
     the price of a shuffle; by default it is a position. Either way the id is text. Source lines
     that do not fit the schema are kept as they came unless ``keep_corrupt`` is off: trips in a
     bronze column, admissions in ``bronze/corrupt``. ``max_files`` bounds the files that one
-    micro-batch takes from a landing folder, ``max_file_age`` the age of files that it takes, and
-    ``archive`` is where files go once taken in. ``catalog`` names a database whose tables
+    batch takes from a landing folder, and ``archive`` is where files go once taken in. ``catalog`` names a database whose tables
     ``<catalog>.<layer>_<name>`` are kept instead of paths under ``base``.
     ``band_after_round`` and ``brief_gold`` give admissions as the scheduled job does: bills banded
     once rounded, and the shorter gold tables.
@@ -43,7 +48,6 @@ class LayerConfig:
     stable_ids: bool = False
     keep_corrupt: bool = True
     max_files: int | None = None
-    max_file_age: str = MAX_FILE_AGE
     archive: str | None = None
     catalog: str | None = None
     band_after_round: bool = False
@@ -71,7 +75,7 @@ def _stored(spark: SparkSession, cfg: LayerConfig, table: str) -> DataFrame:
 def _write(cfg: LayerConfig, layer: str, frames: Mapping[str, DataFrame]) -> dict[str, int]:
     named = {f"{layer}/{name}": df for name, df in frames.items()}
     if cfg.catalog:
-        return {name: write_table(df, cfg.table(name), cfg.fmt) for name, df in named.items()}
+        return publish_all(named, cfg.table, cfg.fmt)
     return write_all(named, cfg.base, cfg.fmt)
 
 
@@ -142,14 +146,9 @@ def admissions_gold(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     return _write(cfg, "gold", gold)
 
 
-def source_rows(spark: SparkSession, cfg: LayerConfig, schema: str) -> DataFrame:
-    """The source as a frame to count: its lines, parsed as little as possible."""
-    return read_csv(spark, cfg.source, schema, keep_corrupt=False)
-
-
 def admissions_checks(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
     """All nine tables: bronze against the source, silver against bronze, gold against its keys."""
-    source = source_rows(spark, cfg, HOSPITAL_SCHEMA)
+    source = count_csv(spark, cfg.source, HOSPITAL_SCHEMA)
     stays = _stored(spark, cfg, "silver/admissions")
     rules: dict[str, int | DataFrame] = {
         "bronze/patients": source,
@@ -186,21 +185,28 @@ def _landing(cfg: LayerConfig) -> dict:
         "keep_corrupt": cfg.keep_corrupt,
         "fmt": cfg.fmt,
         "max_files": cfg.max_files,
-        "max_file_age": cfg.max_file_age,
         "archive": cfg.archive,
     }
 
 
+def _bronze_rows(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
+    """Rows of bronze, its footers read; none before the first file."""
+    if batches(spark, cfg.path("bronze/trips")).isEmpty():
+        return {"bronze/trips": 0}
+    return {"bronze/trips": _stored(spark, cfg, "bronze/trips").count()}
+
+
 def trips_reload(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
-    """Bronze written anew from all source files; later files are appended as before."""
+    """Bronze written anew from all source files, archived ones included; batches of other jobs and
+    those whose files are gone stay. Later files are appended as before."""
     reload_files(spark, cfg.source, TRIP_TEXT_SCHEMA, cfg.path("bronze/trips"), **_landing(cfg))
-    return {"bronze/trips": _stored(spark, cfg, "bronze/trips").count()}
+    return _bronze_rows(spark, cfg)
 
 
 def trips_bronze(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
     """Source files not seen before are appended to bronze; stored rows stay as they are."""
     append_new_files(spark, cfg.source, TRIP_TEXT_SCHEMA, cfg.path("bronze/trips"), **_landing(cfg))
-    return {"bronze/trips": _stored(spark, cfg, "bronze/trips").count()}
+    return _bronze_rows(spark, cfg)
 
 
 def trips_silver(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
@@ -214,20 +220,25 @@ def trips_gold(spark: SparkSession, cfg: LayerConfig) -> dict[str, int]:
 
 
 def trips_checks(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
-    """Bronze holds the landed rows, silver every bronze row, gold a row per key.
+    """Bronze holds every row of its ledger, silver every bronze row, gold a row per key.
 
-    Files that were archived are no longer in the landing folder; then bronze is not counted
-    against it.
+    The ledger knows the rows of each batch from the files it took, so nothing that has landed is
+    read again, archived or not. A batch that is short raises, whatever another one has too much.
     """
     silver = _stored(spark, cfg, "silver/trips")
+    counts = batch_counts(spark, cfg.path("bronze/trips"), cfg.fmt)
+    held = counts.agg(F.sum("expected").alias("all"), F.sum("stored").alias("stored")).first()
+    if held["all"] == held.stored:  # else the rule below says it
+        wrong = counts.where("NOT ok").orderBy(BATCH).limit(20).collect()
+        if wrong:
+            said = "; ".join(f"{r[BATCH]}: {r.stored} rows, not {r.expected}" for r in wrong)
+            raise ContractBroken(f"bronze/trips: {said}")
+    bronze = _stored(spark, cfg, "bronze/trips")
     rules: dict[str, int | DataFrame] = {
-        "silver/trips": _stored(spark, cfg, "bronze/trips"),
+        "silver/trips": bronze,
         **{f"gold/{name}": keys for name, keys in trips.gold_keys(silver).items()},
+        "bronze/trips": held["all"],
     }
-    if not cfg.archive:
-        landed = spark.read.options(header="true").csv(cfg.source)
-        appended = _stored(spark, cfg, "bronze/trips").where(~F.col(BATCH).startswith("landed-"))
-        rules["bronze/trips"] = landed.select(F.lit(1)).unionAll(appended.select(F.lit(1)))
     return _checked(spark, cfg, rules)
 
 

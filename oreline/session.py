@@ -50,19 +50,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+class NoSharedFolder(ValueError):
+    """There is no folder that driver and executors share."""
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Every executor must be able to read it. Without that setting it is a folder of the warehouse,
-    which is shared too.
+    Every executor must be able to read it. Without that setting it is a folder of the warehouse, if
+    that is shared: on a store, or on this machine when the executors run here too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        local = spark.sparkContext.master.startswith("local")
+        if not local and base.partition(":/")[0] in ("file", base):
+            raise NoSharedFolder(f"set spark.checkpoint.dir: executors cannot see {base}")
     return f"{base.rstrip('/')}/oreline/{purpose}-{uuid.uuid4().hex}"
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a file or folder on the file system that its URI names, if it is there."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.schemas import HOSPITAL_TO_ADMISSIONS, HOSPITAL_TO_PATIENTS, TRIP_COLUMNS
-from oreline.streaming.landing import MAX_FILE_AGE
+from oreline.streaming.events import MAX_FILE_AGE
 
 _TABLES = {
     "orders": (

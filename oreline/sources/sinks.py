@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from oreline.sources.versions import current, publish
+
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The frame, and an observation that holds its ``rows`` once it has been written."""
@@ -16,16 +20,24 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write_path(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> int:
-    """Write to a path and return the rows written. Never a path the frame itself reads."""
+def write_plain(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> int:
+    """Write files to a path itself and return the rows written."""
     watched, seen = counted(df)
     watched.write.format(fmt).mode(mode).save(path)
     return seen.get["rows"]
 
 
+def write_path(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """Replace the table at a path by a new version and return the rows written.
+
+    The version before stays readable until the new one is whole; ``read_path`` finds the latest.
+    """
+    return publish(df.sparkSession, path, lambda version: write_plain(df, version, fmt))
+
+
 def append_path(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Add rows; what is stored stays untouched."""
-    return write_path(df, path, fmt, mode="append")
+    return write_plain(df, current(df.sparkSession, path), fmt, mode="append")
 
 
 def write_table(
@@ -48,6 +60,31 @@ def write_table(
     return seen.get["rows"]
 
 
+def publish_table(df: DataFrame, name: str, fmt: str = "parquet") -> int:
+    """Replace a catalog table by a view change and return the rows written.
+
+    Rows go to a table of their own; ``name`` is a view of the latest one, so it is whole at any
+    time. The table before is kept for readers that have begun with it, older ones are dropped.
+    """
+    spark = df.sparkSession
+    database, _, table = name.rpartition(".")
+    within = f"{database}." if database else ""
+    known = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{table}*'")
+    known = sorted(r.tableName for r in known.where("NOT isTemporary").collect())
+    pattern = rf"{re.escape(table.lower())}__v(\d{{8}})_[0-9a-f]{{8}}"
+    versions = [t for t in known if re.fullmatch(pattern, t)]
+    number = int(re.fullmatch(pattern, versions[-1])[1]) + 1 if versions else 1
+    # The folder of a run that died may still be there, so no name comes twice.
+    version = f"{within}{table}__v{number:08d}_{uuid.uuid4().hex[:8]}"
+    rows = write_table(df, version, fmt)
+    if table.lower() in known and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # as it was kept before there were versions
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for old in versions[:-1]:
+        spark.sql(f"DROP TABLE IF EXISTS {within}{old}")
+    return rows
+
+
 def write_all(
     frames: Mapping[str, DataFrame], base: str, fmt: str = "parquet", at_once: int = 4
 ) -> dict[str, int]:
@@ -56,12 +93,26 @@ def write_all(
     A few writes run side by side, so that the last tasks of one do not leave the cluster idle.
     They keep the caller's job group, description and scheduler pool.
     """
+    return side_by_side(frames, lambda df, name: write_path(df, f"{base}/{name}", fmt), at_once)
+
+
+def publish_all(
+    frames: Mapping[str, DataFrame], name_of: Callable[[str], str], fmt: str = "parquet",
+    at_once: int = 4,
+) -> dict[str, int]:
+    """As :func:`write_all`, for catalog tables."""
+    return side_by_side(frames, lambda df, name: publish_table(df, name_of(name), fmt), at_once)
+
+
+def side_by_side(
+    frames: Mapping[str, DataFrame], put: Callable[[DataFrame, str], int], at_once: int
+) -> dict[str, int]:
     if not frames:
         return {}
     spark = next(iter(frames.values())).sparkSession
 
     def write(name: str) -> int:
-        return write_path(frames[name], f"{base}/{name}", fmt)
+        return put(frames[name], name)
 
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         # Wrapped once per name: the caller's settings are copied when wrapping.

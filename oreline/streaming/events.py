@@ -1,18 +1,22 @@
 """Trip events: JSON message bodies to a bronze table, bad ones to quarantine.
 
-One query with one checkpoint writes both, as partitions of one sink, so the source is read once
-and a restart neither loses nor repeats a message.
+One query with one checkpoint writes both, as partitions of one plain table, so the source is read
+once and a restart neither loses nor repeats a message.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.functions.parse import parse_iso_timestamp, parse_number
 from oreline.schemas import TRIP_EVENT_SCHEMA
-from oreline.streaming.landing import MAX_FILE_AGE
+from oreline.streaming.landing import BATCH, take_in
 
+# In practice without a limit: Spark's own default skips files a week older than the newest seen.
+MAX_FILE_AGE = "36500d"
 PARSED = "parsed"
 QUARANTINED = "quarantined"
 JSON_BLANKS = " \t\r\n"
@@ -27,11 +31,18 @@ def text_source(
     folder: str,
     max_files: int | None = None,
     max_file_age: str = MAX_FILE_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
-    """One message body per line of the files dropped in a folder, however old a file is."""
+    """One message body per line of the files dropped in a folder, as a stream, whatever their age.
+
+    The stream remembers each file for ``max_file_age``. Where that list may grow long, name an
+    ``archive`` folder to which files go once taken in, or use :func:`append_event_files`.
+    """
     reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(folder)
 
 
@@ -67,24 +78,41 @@ def parse_events(bodies: DataFrame) -> DataFrame:
     )
 
 
-def drain_events(bodies: DataFrame, table: str, checkpoint: str) -> dict:
+def drain_events(bodies: DataFrame, table: str, checkpoint: str, name: str = "stream") -> dict:
     """Write everything available now to ``table``, then stop; a later call takes up from there.
 
-    Returns the last progress report.
+    Each micro-batch is a partition ``batch=<name>-<number>`` of its own, with good and bad messages
+    below it, which a repeated batch replaces. Rows of other jobs, as other partitions, are seen like
+    any others. Returns the last progress report.
     """
+
+    def put(rows: DataFrame, number: int) -> None:
+        rows.write.partitionBy("state").mode("overwrite").parquet(f"{table}/{BATCH}={name}-{number}")
+
     query = (
         parse_events(bodies)
-        .writeStream.format("parquet")
-        .partitionBy("state")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        .writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(put)
         .trigger(availableNow=True)
-        .start(table)
+        .start()
     )
     query.awaitTermination()
     return query.lastProgress or {}
 
 
+def append_event_files(spark: SparkSession, folder: str, table: str, **options) -> dict[str, int]:
+    """Bodies of the files dropped in a folder, one per line, each file once.
+
+    Files are found and remembered as in :mod:`oreline.streaming.landing`: no list of them grows with
+    a stream's checkpoint.
+    """
+
+    def read(paths: Sequence[str]) -> tuple[DataFrame, int | None]:
+        return parse_events(spark.read.text(list(paths))), None
+
+    return take_in(spark, folder, table, read, **options)
+
+
 def read_events(spark: SparkSession, table: str, raw: bool = False) -> DataFrame:
     """The parsed events; ``raw`` adds their bodies as they came."""
     return (

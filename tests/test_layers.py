@@ -10,7 +10,7 @@ from oreline.operators.quality import ContractBroken
 from oreline.plans import layers
 from oreline.plans import trips as tr
 from oreline.schemas import HOSPITAL_SCHEMA, TRIP_COLUMNS
-from oreline.session import scratch_path, shuffle_tasks
+from oreline.session import NoSharedFolder, scratch_path, shuffle_tasks
 from oreline.sources import readers, samples, sinks
 
 
@@ -45,8 +45,8 @@ def test_columns_are_read_by_name(spark, tmp_path):
         readers.read_csv(spark, str(tmp_path / "x.csv"), "a int, c string")
     (tmp_path / "y.csv").write_text("a,b\n2,y\n")
     paths = [str(tmp_path / "x.csv"), str(tmp_path / "y.csv")]
-    both = readers.read_csv_files(spark, paths, "a int, b string", keep_corrupt=False)
-    assert sorted(rows(both)) == [(1, "x"), (2, "y")]
+    both, expected = readers.read_csv_files(spark, paths, "a int, b string", keep_corrupt=False)
+    assert sorted(rows(both)) == [(1, "x"), (2, "y")] and expected == 2
     with pytest.raises(Exception, match="(?i)header"):
         readers.read_csv(spark, paths, "a int, b string").collect()
 
@@ -253,3 +253,89 @@ def test_parallel_writes_keep_the_callers_job_group(spark, folder):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert sinks.write_all({}, folder) == {}
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_a_rebuild_that_dies_leaves_the_old_table(spark, folder, catalog):
+    good, bad = spark.range(5), spark.range(9).selectExpr("raise_error('lost') AS id")
+    write = sinks.publish_table if catalog else sinks.write_path
+    place = "kept_whole" if catalog else f"{folder}/t"
+    read = spark.table if catalog else (lambda path: readers.read_path(spark, path))
+    assert write(good, place) == 5
+    for n in (3, 4, 6):
+        before = read(place)
+        with pytest.raises(Exception, match="lost"):
+            write(bad.union(spark.range(1)), place)
+        assert read(place).count() == before.count()
+        # A table may be made from itself.
+        assert write(before.limit(1).select("id").union(spark.range(n - 1)), place) == n
+        assert read(place).count() == n
+    if catalog:
+        tables = [r.tableName for r in spark.sql("SHOW TABLES LIKE 'kept_whole*'").collect()]
+        assert len(tables) <= 4
+        spark.sql("DROP VIEW kept_whole")
+        for name in set(tables) - {"kept_whole"}:
+            spark.sql(f"DROP TABLE {name}")
+    else:
+        assert len(list(Path(place).glob("_v-*"))) <= 3
+
+
+def test_a_plain_table_becomes_a_versioned_one(spark, folder):
+    sinks.write_plain(spark.range(4), f"{folder}/t")
+    assert readers.read_path(spark, f"{folder}/t").count() == 4
+    assert sinks.write_path(spark.range(2), f"{folder}/t") == 2
+    assert sinks.append_path(spark.range(1), f"{folder}/t") == 1
+    assert readers.read_path(spark, f"{folder}/t").count() == 3
+    spark.sql("CREATE TABLE once_plain USING parquet AS SELECT * FROM range(3)")
+    assert sinks.publish_table(spark.range(2), "once_plain") == 2
+    assert spark.table("once_plain").count() == 2
+
+
+def test_line_breaks_in_quoted_fields(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('a,b\n1,"x\ny"\n2,"p ""q"",\n\n r"\n3,z\n')
+    (tmp_path / "in" / "b c.csv").write_text('a,b\n4,"plain, with ""quotes"""\nfive,y\n')
+    read = readers.read_csv(spark, str(tmp_path / "in"), "a int, b string")
+    assert sorted(rows(read.where("a is not null").select("a", "b"))) == [
+        (1, "x\ny"), (2, 'p "q",\n\n r'), (3, "z"), (4, 'plain, with "quotes"'),
+    ]
+    assert column(read.where("a is null"), "_corrupt_record") == ["five,y"]
+    assert readers.count_csv(spark, str(tmp_path / "in"), "a int, b string") == 5
+    assert readers.count_csv(spark, str(tmp_path / "in" / "b c.csv"), "a int, b string") == 2
+
+
+def test_archived_runs_are_checked(spark, sf_dir, folder):
+    cfg = layers.LayerConfig(f"{folder}/in", f"{folder}/lake", archive=f"{folder}/done")
+    batch = samples.bronze_trips(spark, sf_dir)
+    n = sinks.write_csv(batch.where("trip_id % 2 = 0"), cfg.source, mode="append")
+    assert layers.run_trips(spark, cfg)["bronze/trips"] == n
+    n += sinks.write_csv(batch.where("trip_id % 2 = 1"), cfg.source, mode="append")
+    assert layers.run_trips(spark, cfg)["bronze/trips"] == n
+    assert layers.trips_reload(spark, cfg) == {"bronze/trips": n}
+    checks = layers.trips_checks(spark, cfg)
+    assert checks.where("table_name = 'bronze/trips' and ok").count() == 1
+    one = next(Path(cfg.path("bronze/trips")).glob("batch=landed-*"))
+    for part in one.glob("*"):
+        part.unlink()
+    with pytest.raises(ContractBroken, match="bronze/trips"):
+        layers.trips_silver(spark, cfg)
+        layers.enforce_contract(layers.trips_checks(spark, cfg))
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    class Elsewhere:
+        """A session on a cluster, without a shared folder."""
+
+        def __init__(self, warehouse):
+            self.conf = {"spark.sql.warehouse.dir": warehouse}
+            self.sparkContext = self
+            self.master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    with pytest.raises(NoSharedFolder):
+        scratch_path(Elsewhere("file:/tmp/warehouse"), "x")
+    with pytest.raises(NoSharedFolder):
+        scratch_path(Elsewhere("/tmp/warehouse"), "x")
+    assert scratch_path(Elsewhere("hdfs://lake/warehouse"), "x").startswith("hdfs://lake/warehouse/")

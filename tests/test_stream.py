@@ -10,6 +10,7 @@ from helpers import column, rows
 
 from oreline.schemas import TRIP_TEXT_SCHEMA
 from oreline.streaming import events as ev
+from oreline.streaming import landing
 from oreline.streaming.landing import append_batch, append_new_files, reload_files
 
 
@@ -173,24 +174,125 @@ def test_reload_then_new_files(spark, tmp_path):
     assert sorted(column(spark.read.parquet(table), "trip_id")) == ["T1", "T2"]
 
 
-def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
-    """A run that died after writing its batch writes it again."""
-    landing, table = tmp_path / "landing", tmp_path / "bronze"
-    drop(landing, "one.csv", [HEADER, trip_line(1)])
-    append_new_files(spark, str(landing), TRIP_TEXT_SCHEMA, str(table))
-    commits = table / "_landed" / "commits"
-    for mark in [*commits.glob("*"), *commits.glob(".*.crc")]:
-        mark.unlink(missing_ok=True)
-    append_new_files(spark, str(landing), TRIP_TEXT_SCHEMA, str(table))
-    assert spark.read.parquet(str(table)).count() == 1
+@pytest.mark.parametrize("dies", ["before", "after"])
+def test_a_run_that_died_is_made_good(spark, tmp_path, monkeypatch, dies):
+    """Whether it died while writing its batch, or between that and the entry in the ledger."""
+    land, table = tmp_path / "landing", str(tmp_path / "bronze")
+    place = (spark, str(land), TRIP_TEXT_SCHEMA, table)
+    drop(land, "one.csv", [HEADER, trip_line(1)])
+    append_new_files(*place)
+    drop(land, "two.csv", [HEADER, trip_line(2)])
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(landing, "_enter" if dies == "after" else "_put", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            append_new_files(*place)
+    drop(land, "three.csv", [HEADER, trip_line(3)])
+    assert append_new_files(*place) == {"batches": 1, "files": 2, "rows": 2}
+    assert sorted(column(spark.read.parquet(table), "trip_id")) == ["T1", "T2", "T3"]
+    assert landing.batch_counts(spark, table).where("NOT ok").count() == 0
 
 
 def test_files_are_archived(spark, tmp_path):
-    landing, table = tmp_path / "landing", str(tmp_path / "bronze")
+    land, table = tmp_path / "landing", str(tmp_path / "bronze")
+    taken = tmp_path / "taken" / "x"
     for n in (1, 2, 3):
-        drop(landing, f"{n}.csv", [HEADER, trip_line(n)])
-        append_new_files(
-            spark, str(landing), TRIP_TEXT_SCHEMA, table, archive=str(tmp_path / "taken" / "x")
-        )
+        drop(land, f"{n}.csv", [HEADER, trip_line(n)])
+        append_new_files(spark, str(land), TRIP_TEXT_SCHEMA, table, archive=str(taken))
     assert spark.read.parquet(table).count() == 3
-    assert len(list(landing.glob("*.csv"))) < 3
+    assert len(list(land.glob("*.csv"))) < 3
+    assert len(list(taken.rglob("*.csv"))) == 3
+
+
+def test_an_archived_reload_keeps_all_rows(spark, tmp_path):
+    land, table = tmp_path / "landing", str(tmp_path / "bronze")
+    place, taken = (spark, str(land), TRIP_TEXT_SCHEMA, table), str(tmp_path / "taken")
+    for n in range(4):
+        lines = [trip_line(10 * n + k).replace("07:00:0", "07:00:") for k in range(10)]
+        drop(land, f"{n}.csv", [HEADER, *lines])
+        append_new_files(*place, archive=taken if n < 3 else None)
+    ours = spark.read.parquet(table).where("trip_id = 'T1'").drop("batch")
+    append_batch(ours, table, "other-job")
+    ours.write.parquet(f"{table}/batch=no-ledger")
+    assert len(list(land.glob("*.csv"))) == 1
+    drop(land, "late.csv", [HEADER, trip_line(99)])
+    for _ in range(2):
+        reload_files(*place, archive=taken)
+        stored = spark.read.parquet(table)
+        assert stored.count() == 40 + 1 + 2
+        assert stored.where("batch like 'landed-%'").select("trip_id").distinct().count() == 41
+    counts = landing.batch_counts(spark, table)
+    assert counts.count() == 7 and counts.where("NOT ok").count() == 0
+    # Files that are nowhere any more: their rows stay.
+    for gone in (tmp_path / "taken").rglob("1.csv"):
+        gone.unlink()
+    reload_files(*place, archive=taken)
+    assert spark.read.parquet(table).count() == 43
+
+
+def test_a_lost_batch_is_seen(spark, tmp_path):
+    land, table = tmp_path / "landing", tmp_path / "bronze"
+    for n in (1, 2):
+        drop(land, f"{n}.csv", [HEADER, trip_line(n)])
+        append_new_files(spark, str(land), TRIP_TEXT_SCHEMA, str(table), archive=f"{tmp_path}/x")
+    lost = next(table.glob("batch=landed-*"))
+    for part in lost.glob("*"):
+        part.unlink()
+    wrong = landing.batch_counts(spark, str(table)).where("NOT ok").collect()
+    assert [(r.expected, r.stored) for r in wrong] == [(1, 0)]
+
+
+def test_many_files_take_few_jobs(spark, tmp_path):
+    land, table = tmp_path / "landing", str(tmp_path / "bronze")
+    for n in range(300):
+        turned = n % 3 == 0
+        names, fields = HEADER.split(","), trip_line(n).replace("07:00:0", "07:00:").split(",")
+        step = -1 if turned else 1
+        drop(land, f"{n}.csv", [",".join(names[::step]), ",".join(fields[::step])])
+    group = "landing-jobs"
+    spark.sparkContext.setJobGroup(group, "many files")
+    try:
+        assert append_new_files(spark, str(land), TRIP_TEXT_SCHEMA, table)["files"] == 300
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 40
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.read.parquet(table).select("trip_id").distinct().count() == 300
+
+
+def test_line_breaks_in_quotes_land_whole(spark, tmp_path):
+    land, table = tmp_path / "landing", str(tmp_path / "bronze")
+    drop(land, "plain.csv", [HEADER, trip_line(1), trip_line(2)])
+    drop(land, "odd name %41.csv", [HEADER, trip_line(3).replace("Ann", '"An\nna"'), trip_line(4)])
+    drop(land, "empty.csv", [""])
+    append_new_files(spark, str(land), TRIP_TEXT_SCHEMA, table)
+    stored = spark.read.parquet(table)
+    assert sorted(column(stored, "trip_id")) == ["T1", "T2", "T3", "T4"]
+    assert stored.where("trip_id = 'T3'").first().driver_name == "An\nna"
+    assert landing.batch_counts(spark, table).where("NOT ok").count() == 0
+
+
+def test_event_files_without_a_checkpoint(spark, tmp_path):
+    source, table = tmp_path / "in", str(tmp_path / "out")
+    drop(source, "a.txt", [event(1), "oops", "", event(2)])
+    assert ev.append_event_files(spark, str(source), table)["files"] == 1
+    drop(source, "b.txt", [event(3)])
+    age(source / "b.txt", 400)
+    assert ev.append_event_files(spark, str(source), table)["files"] == 1
+    assert ev.append_event_files(spark, str(source), table)["files"] == 0
+    assert sorted(column(ev.read_events(spark, table), "trip_id")) == ["T1", "T2", "T3"]
+    assert column(ev.read_quarantine(spark, table), "raw_body") == ["oops"]
+
+
+def test_events_of_other_jobs_are_seen(spark, tmp_path):
+    source, table, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
+    drop(source, "a.txt", [event(1)])
+    ev.drain_events(ev.text_source(spark, str(source)), table, marks)
+    other = ev.parse_events(bodies_of(spark, [event(7), "bad"]))
+    other.write.partitionBy("state").parquet(f"{table}/batch=other")
+    drop(source, "b.txt", [event(2)])
+    ev.drain_events(ev.text_source(spark, str(source)), table, marks)
+    assert sorted(column(ev.read_events(spark, table), "trip_id")) == ["T1", "T2", "T7"]
+    assert column(ev.read_quarantine(spark, table), "raw_body") == ["bad"]
