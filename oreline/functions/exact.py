@@ -1,24 +1,36 @@
 """Sums, means and rates whose result does not depend on the order of addition.
 
-A double is split into a whole number of units of ``10**-places`` and a rest in units of 1e-10, and
-both are summed as 64-bit integers. That is exact, so the figures do not change with partitioning,
-retries or skew, and runs in a hash aggregate at about the speed of a double sum. Nothing is rounded
-to ``places``: those only say where most values end, so that their rest is zero. Rounding is done on
-the result.
-
-Values of 1e13 and more, infinite ones, and sums beyond 64 bits do not stop a job: such a group
-gets the plain double sum.
+A double is split into whole numbers, each of which counts units of one size: 2**30 (only for values
+beyond 2**33), ``10**-places``, 1e-10 and 1e-18. Each kind is summed as 64-bit integers, so figures
+do not change with partitioning, retries or skew, and a sum runs in a hash aggregate at about the
+speed of a double sum. ``places`` only says where most values end, so that the finer units are zero.
+What is left below 1e-18 is summed as a double; what lies below the fifteenth digit of a value, all
+that a double holds of a decimal, is not counted. Rounding is done on the result.
+
+Infinite values, those beyond 2**83, and sums of units beyond 64 bits stop no job: such a group gets
+the plain double sum.
+
+Measures are declared before an aggregate, so that a value is split once for its sum and its mean::
+
+    sums = Sums()
+    fare = sums.of(F.col("fare"), 2)
+    sums.over(df).groupBy("city").agg(fare.sum().alias("revenue"), fare.mean(2).alias("fare"))
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FINEST = 10
-_EXACT_BELOW = 1e13
+FINE, FINEST = 10, 18
+_HUGE_UNIT = float(2**30)
+_HUGE, _SPLIT_BELOW = float(2**33), float(2**83)
+_PRECISION = 2.0**-50
+_UNITS_BELOW = 1e13
 
 
 def known(value: Column) -> Column:
@@ -28,27 +40,143 @@ def known(value: Column) -> Column:
 
 def units(value: Column, places: int) -> Column:
     """Nearest whole number of ``10**-places`` units, as bigint; NULL for values too large."""
-    given = known(value)
-    small = F.abs(given) < _EXACT_BELOW
-    return F.when(small, F.rint(given * F.lit(float(10**places)))).cast("bigint")
-
-
-def _rest(value: Column, places: int) -> Column:
-    """What :func:`units` leaves out, in units of 1e-10."""
-    whole = units(value, places)
-    left = known(value) - whole.cast("double") / F.lit(float(10**places))
-    return F.rint(left * F.lit(float(10**FINEST))).cast("bigint")
-
-
-def exact_total(value: Column, places: int) -> Column:
-    """Sum as a decimal; NULL without values, or where only :func:`plain_total` can go on."""
-    whole = F.try_sum(units(value, places)).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))
-    rest = F.try_sum(_rest(value, places)).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-FINEST))
-    return F.when(F.max(F.abs(known(value))) < _EXACT_BELOW, whole + rest)
-
-
-def plain_total(value: Column) -> Column:
-    return F.sum(known(value).cast("double"))
+    return F.when(F.abs(value) < _UNITS_BELOW, F.rint(value * 10.0**places)).cast("bigint")
+
+
+def _split(value: Column, places: int, let: Callable[[str, Column], Column]) -> dict[str, Column]:
+    """Whole numbers of each unit in a value. ``let`` names what is used more than once."""
+    scale = F.lit(10.0**places)
+    v = let("v", known(value.cast("double")))
+    huge = F.when(
+        (F.abs(v) >= _HUGE) & (F.abs(v) < _SPLIT_BELOW), F.rint(v / _HUGE_UNIT)
+    ).otherwise(0.0)
+    h = let("h", F.when(v.isNotNull(), huge.cast("bigint")))
+    rest = let("w", F.when(F.abs(v) < _SPLIT_BELOW, v - h * _HUGE_UNIT))
+    u = let("u", F.rint(rest * scale).cast("bigint"))
+    left = let("l", rest - u / scale)
+    r = let("r", F.rint(left * 10.0**FINE).cast("bigint"))
+    tiny = let("t", left - r / 10.0**FINE)
+    # Less than the value's own precision is noise of its decimals.
+    real = F.abs(tiny) > F.abs(v) * _PRECISION
+    f = let("f", F.when(real, F.rint(tiny * 10.0**FINEST)).otherwise(0.0).cast("bigint"))
+    dust = tiny - f / 10.0**FINEST
+    d = F.when(F.abs(dust) > F.abs(v) * _PRECISION, dust).otherwise(0.0)
+    return {"v": v, "u": u, "r": r, "h": h, "f": f, "d": let("d", d)}
+
+
+@dataclass(frozen=True)
+class Totals:
+    """What has been summed of a measure: units of each kind, how many values, the plain sum."""
+
+    places: int
+    u: Column
+    r: Column
+    h: Column
+    f: Column
+    d: Column
+    values: Column
+    split: Column
+    plain: Column
+
+    def _sound(self) -> Column:
+        """All values were split, and no sum went beyond 64 bits."""
+        whole = self.u.isNotNull() & self.r.isNotNull() & self.h.isNotNull() & self.f.isNotNull()
+        return (self.values == self.split) & whole
+
+    def decimal(self) -> Column:
+        """The sum as a decimal with ten places; NULL where it holds more, or has no values."""
+        whole = self.u.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-self.places))
+        rest = self.r.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-FINE))
+        plain = (self.h == 0) & (self.f == 0) & (self.d == 0)
+        return F.when(self._sound() & plain, whole + rest)
+
+    def double(self) -> Column:
+        """The sum as a double; NULL when there are no values."""
+        # Beyond ten places the whole numbers are read as one, which rounds once.
+        units = self.u.cast("decimal(19,0)") * F.lit(Decimal(10 ** (FINEST - self.places)))
+        rest = self.r.cast("decimal(19,0)") * F.lit(Decimal(10 ** (FINEST - FINE)))
+        digits = (units + rest + self.f.cast("decimal(19,0)")).cast("string")
+        small = F.concat(digits, F.lit(f"E-{FINEST}")).cast("double") + self.d
+        total = F.coalesce(self.decimal().cast("double"), self.h * _HUGE_UNIT + small)
+        return F.when(self._sound(), total).otherwise(self.plain)
+
+    def mean(self, digits: int) -> Column:
+        """The mean rounded half up to ``digits``; NULL when there are no values."""
+        mean = F.round(per_count(self.decimal(), self.values), digits).cast("double")
+        return F.coalesce(mean, F.round(self.double() / F.nullif(self.values, F.lit(0)), digits))
+
+    def mean_unrounded(self) -> Column:
+        """The mean as a double; NULL when there are no values."""
+        n = F.nullif(self.values, F.lit(0))
+        total = self.decimal()
+        # Whole units divided once give the nearest double.
+        in_units = self.u.cast("double") / (n * 10**self.places).cast("double")
+        finest = (total * F.lit(Decimal(10**FINE))).cast("double")
+        in_finest = finest / (n * 10**FINE).cast("double")
+        exact = F.when(total.isNotNull(), F.when(self.r != 0, in_finest).otherwise(in_units))
+        return F.coalesce(exact, self.double() / n)
+
+
+class Exact:
+    """A measure, split into columns that an aggregate or a window can sum."""
+
+    def __init__(self, places: int, parts: dict[str, Column]):
+        self.places, self.parts = places, parts
+
+    def totals(self, over: Callable[[Column], Column] = lambda c: c) -> Totals:
+        """``over`` puts each sum over a window."""
+        p = self.parts
+        return self.of({k: over(c) for k, c in self.sums().items()})
+
+    def sums(self) -> dict[str, Column]:
+        """The aggregates that totals are made of, by name."""
+        p = self.parts
+        whole = {k: F.try_sum(p[k]) for k in ("u", "r", "h", "f")}
+        doubles = {"d": F.sum(p["d"]), "plain": F.sum(p["v"])}
+        return whole | doubles | {"values": F.count(p["v"]), "split": F.count(p["u"])}
+
+    def of(self, sums: dict[str, Column]) -> Totals:
+        return Totals(self.places, **sums)
+
+    def sum(self) -> Column:
+        return self.totals().double()
+
+    def mean(self, digits: int) -> Column:
+        return self.totals().mean(digits)
+
+    def mean_unrounded(self) -> Column:
+        return self.totals().mean_unrounded()
+
+
+class Sums:
+    """Measures of one aggregate. Each value is split once, in columns added by :meth:`over`."""
+
+    def __init__(self):
+        self._layers: list[dict[str, Column]] = []
+        self._measures = 0
+
+    def of(self, value: Column, places: int) -> Exact:
+        number, self._measures = self._measures, self._measures + 1
+        layer = iter(range(100))
+
+        def let(name: str, column: Column) -> Column:
+            at, named = next(layer), f"_x{number}_{name}"
+            if at == len(self._layers):
+                self._layers.append({})
+            self._layers[at][named] = column
+            return F.col(named)
+
+        return Exact(places, _split(value, places, let))
+
+    def over(self, df: DataFrame) -> DataFrame:
+        for layer in self._layers:
+            df = df.withColumns(layer)
+        return df
+
+
+def exact(value: Column, places: int) -> Exact:
+    """A measure by itself, where no columns can be added before the aggregate."""
+    return Exact(places, _split(value, places, lambda _, column: column))
 
 
 def per_count(total: Column, count: Column) -> Column:
@@ -58,27 +186,17 @@ def per_count(total: Column, count: Column) -> Column:
 
 def sum_exact(value: Column, places: int) -> Column:
     """Sum as a double; NULL when there are no values."""
-    return F.coalesce(exact_total(value, places).cast("double"), plain_total(value))
+    return exact(value, places).sum()
 
 
 def avg_exact(value: Column, places: int, digits: int) -> Column:
     """Mean rounded half up to ``digits``; NULL when there are no values."""
-    mean = per_count(exact_total(value, places), F.count(known(value)))
-    plain = F.round(F.avg(known(value).cast("double")), digits)
-    return F.coalesce(F.round(mean, digits).cast("double"), plain)
+    return exact(value, places).mean(digits)
 
 
 def mean_exact(value: Column, places: int) -> Column:
     """Unrounded mean as a double; NULL when there are no values."""
-    n = F.nullif(F.count(known(value)), F.lit(0))
-    total = exact_total(value, places)
-    # Whole units divided once give the nearest double.
-    in_units = F.try_sum(units(value, places)).cast("double") / (n * 10**places).cast("double")
-    finest = (total * F.lit(Decimal(10**FINEST))).cast("double")
-    in_finest = finest / (n * 10**FINEST).cast("double")
-    fine = F.when(F.try_sum(_rest(value, places)) != 0, in_finest)
-    exact = F.when(total.isNotNull(), F.coalesce(fine, in_units))
-    return F.coalesce(exact, F.avg(known(value).cast("double")))
+    return exact(value, places).mean_unrounded()
 
 
 def avg_whole(value: Column, digits: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreline.functions.exact import avg_exact, known, mean_exact
+from oreline.functions.exact import Sums, known
 
 
 def fill_constants(df: DataFrame, values: Mapping[str, str | float]) -> DataFrame:
@@ -29,7 +29,8 @@ def fill_mean(
     frame with the same known values that is cheaper to scan, such as the rows before a filter
     that only drops rows without the value.
     """
-    value = F.col(column)
-    mean = mean_exact(value, places) if digits is None else avg_exact(value, places, digits)
-    scanned = df if known_in is None else known_in
+    value, sums = F.col(column), Sums()
+    measure = sums.of(value, places)
+    mean = measure.mean_unrounded() if digits is None else measure.mean(digits)
+    scanned = sums.over((df if known_in is None else known_in).select(column))
     return df.withColumn(column, F.coalesce(known(value), scanned.agg(mean.alias("mean")).scalar()))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from oreline.functions.exact import exact_total, plain_total
+from oreline.functions.exact import Sums
+
+# Slots of a running total. Each is the work of one task.
+SLOTS = 256
 
 
 def top_k_per_group(
@@ -23,53 +27,69 @@ def top_k_per_group(
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-def running_total(df: DataFrame, at: str, amount: str, total: str, places: int) -> DataFrame:
+def running_total(
+    df: DataFrame, at: str, amount: str, total: str, places: int, slots: int = SLOTS
+) -> DataFrame:
     """``sum(amount) over (order by at)``: rows with equal ``at`` share a value, NULL ``at`` last.
 
-    One window over all rows would be one task. Instead amounts are summed per time (map-side
-    first, so a hot time is one row after it), then per second and per day. Each level is
-    accumulated within the one above it: no window sees more than one row per day, 86,400 seconds
-    of a day, or the million microseconds of a second, however the rows are spread over time. Rows
-    then look up their time; AQE splits the partition of a hot one.
+    One window over all rows would be one task. Here quantiles of the times (one narrow scan, at most
+    ``slots`` numbers) cut the rows into slots of about equal length. Slots are summed map-side, and
+    what lies before each is a window over one row per slot, broadcast back. Rows then need a window
+    within their slot only: one shuffle, no join of rows. A time that fills a slot alone is hot: its
+    rows all have the value at its end, so they are not shuffled at all.
     """
-    value = F.col(amount)
-    # Exact where it can be; groups that cannot are counted and get the plain sum.
-    exact, plain = exact_total(value, places), plain_total(value)
-    inexact = (exact.isNull() & plain.isNotNull()).cast("bigint")
-    # As numbers with the missing time last, so that joins need no null-safe key.
-    second = F.coalesce(F.unix_seconds("_at"), F.lit(2**62))
-    per_time = (
-        df.groupBy(F.col(at).alias("_at"))
-        .agg(exact.alias("_e"), plain.alias("_p"), inexact.alias("_n"))
-        .withColumn("_second", second)
-        .withColumn("_day", F.floor(F.col("_second") / 86_400))
-    )
-    sums = ["_e", "_p", "_n"]
+    micros = F.unix_micros(F.col(at))
+    shares = [k / slots for k in range(1, slots)]
+    found = df.agg(F.percentile_approx(micros, shares, 10 * slots).alias("b")).first().b or []
+    marks = sorted(set(found))
+    hot = {m for m, n in Counter(found).items() if n > 1}
+    sums = Sums()
+    measure = sums.of(F.col(amount), places)
+    slot, is_hot = _slot(micros, marks), micros.isNull() | (micros.isin(*hot) if hot else F.lit(False))
+    rows = sums.over(df.withColumn("_slot", slot).withColumn("_hot", is_hot))
+    sums_of = {f"_s_{name}": c for name, c in measure.sums().items()}
+    # A hot time is the last one of its slot. One row per slot and kind, twice ``slots`` at most.
+    each = rows.groupBy("_slot", "_hot").agg(*[c.alias(name) for name, c in sums_of.items()])
+    order = W.orderBy("_slot", "_hot")
+    keys = ["_slot", "_hot"]
 
-    def added(prefix: str) -> list[Column]:
-        return [F.try_sum(c).alias(f"{prefix}{c}") for c in sums]
+    def so_far(last: int) -> DataFrame:
+        frame = order.rowsBetween(W.unboundedPreceding, last)
+        return each.select(*keys, *[_sum_of(name)(name).over(frame).alias(name) for name in sums_of])
 
-    def so_far(prefix: str, window: WindowSpec) -> list[Column]:
-        return [F.try_sum(c).over(window).alias(f"{prefix}{c}") for c in sums]
+    def result(own: Callable[[str], Column]) -> Column:
+        totals = measure.of({name.removeprefix("_s_"): own(name) for name in sums_of})
+        return F.when(totals.values > 0, totals.double()).alias(total)
 
-    def both(first: str, second: str, alias: str) -> list[Column]:
-        """NULL until the first known amount, as a plain windowed sum gives."""
-        pairs = [(F.col(f"{first}{c}"), F.col(f"{second}{c}"), c) for c in sums]
-        return [F.coalesce(a + b, a, b).alias(f"{alias}{c}") for a, b, c in pairs]
+    mine = W.partitionBy("_slot").orderBy(at).rangeBetween(W.unboundedPreceding, W.currentRow)
+    within = [c.over(mine).alias(f"{name}_") for name, c in sums_of.items()]
+    cold = rows.where("NOT _hot").select(*df.columns, "_slot", *within)
+    cold = cold.join(F.broadcast(so_far(-1).where("NOT _hot").drop("_hot")), "_slot")
+    same = rows.where("_hot").select(*df.columns, "_slot")
+    same = same.join(F.broadcast(so_far(0).where("_hot").drop("_hot")), "_slot")
 
-    before = W.rowsBetween(W.unboundedPreceding, -1)
-    seconds = per_time.groupBy("_day", "_second").agg(*added("")).select("_day", "_second", *sums)
-    days = seconds.groupBy("_day").agg(*added("")).select("_day", *sums)
-    days = days.select("_day", *so_far("d", before.orderBy("_day")))
-    in_day = seconds.select(
-        "_day", "_second", *so_far("s", before.partitionBy("_day").orderBy("_second"))
-    )
-    earlier = in_day.join(days, "_day").select("_second", *both("d", "s", "b"))
-    within = W.partitionBy("_second").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
-    times = per_time.select("_at", "_second", *so_far("w", within)).join(earlier, "_second")
-    whole = times.select("_at", *both("b", "w", "t"))
-    sound = F.coalesce(F.col("t_n"), F.lit(0)) == 0
-    totals = whole.select(
-        "_at", F.when(sound, F.col("t_e").cast("double")).otherwise(F.col("t_p")).alias(total)
+    def both(name: str) -> Column:
+        """NULL sums are those of no values."""
+        return F.coalesce(name, F.lit(0)) + F.coalesce(f"{name}_", F.lit(0))
+
+    return cold.select(*df.columns, result(both)).unionByName(
+        same.select(*df.columns, result(lambda name: F.coalesce(name, F.lit(0))))
     )
-    return df.join(totals, F.col(at).eqNullSafe(F.col("_at"))).drop("_at")
+
+
+def _sum_of(name: str) -> Callable[[str], Column]:
+    """Whole numbers that leave 64 bits are NULL; doubles just go on."""
+    return F.sum if name in ("_s_d", "_s_plain") else F.try_sum
+
+
+def _slot(value: Column, marks: Sequence[int]) -> Column:
+    """How many of the sorted ``marks`` lie below a value, by halving; one more than all for NULL."""
+    if not marks:
+        return F.when(value.isNull(), 1).otherwise(0)
+    steps = [1 << k for k in reversed(range(len(marks).bit_length()))]
+    bounds = F.array(*[F.lit(m).cast("bigint") for m in marks])
+    found = F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda i, step: F.when(F.get(bounds, i + step - 1) < value, i + step).otherwise(i),
+    )
+    return F.when(value.isNull(), len(marks) + 1).otherwise(found)

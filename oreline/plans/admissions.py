@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions.bands import band
-from oreline.functions.exact import avg_exact, avg_whole, mean_exact, rate_pct, sum_exact
+from oreline.functions.exact import Exact, Sums, avg_whole, mean_exact, rate_pct
 from oreline.functions.parse import parse_date
 from oreline.functions.text import pseudonym, upper_trim
 from oreline.operators.aggregates import (
@@ -115,12 +115,8 @@ def _stay_mean() -> Column:
     return avg_whole(F.col("length_of_stay_days"), 1)
 
 
-def _billing_mean() -> Column:
-    return avg_exact(F.col("billing_amount"), MONEY_PLACES, 2)
-
-
-def _billing_sum() -> Column:
-    return sum_exact(F.col("billing_amount"), MONEY_PLACES)
+def _billing(sums: Sums) -> Exact:
+    return sums.of(F.col("billing_amount"), MONEY_PLACES)
 
 
 def _result_is(value: str) -> Column:
@@ -130,18 +126,19 @@ def _result_is(value: str) -> Column:
 def admission_summary(admissions: DataFrame, ordered: bool = True) -> DataFrame:
     """Per condition and kind of admission."""
     stay = F.col("length_of_stay_days")
-    abnormal = count_where(_result_is("ABNORMAL"))
+    abnormal, sums = count_where(_result_is("ABNORMAL")), Sums()
     measures = {
         "total_admissions": F.count("*"),
         "avg_length_of_stay_days": _stay_mean(),
         "min_stay_days": F.min(stay),
         "max_stay_days": F.max(stay),
-        "avg_billing_amount": _billing_mean(),
+        "avg_billing_amount": _billing(sums).mean(2),
         "abnormal_results_count": abnormal,
         "abnormal_rate_pct": rate_pct(abnormal, F.count("*")),
     }
     return (
-        admissions.groupBy("medical_condition", "admission_type")
+        sums.over(admissions)
+        .groupBy("medical_condition", "admission_type")
         .agg(*aliased(measures))
         .transform(in_order, ordered, F.desc("total_admissions"), "medical_condition", "admission_type")
     )
@@ -150,10 +147,12 @@ def admission_summary(admissions: DataFrame, ordered: bool = True) -> DataFrame:
 def hospital_revenue(admissions: DataFrame, rows: int = REPORT_ROWS) -> DataFrame:
     """The hospitals that billed most."""
     bands = {"high": "high_billing_cases", "mid": "mid_billing_cases", "low": "low_billing_cases"}
-    summed = admissions.groupBy("hospital").agg(
+    sums = Sums()
+    billed = _billing(sums)
+    summed = sums.over(admissions).groupBy("hospital").agg(
         F.count("*").alias("total_admissions"),
-        _billing_sum().alias("total_revenue"),
-        _billing_mean().alias("avg_billing_amount"),
+        billed.sum().alias("total_revenue"),
+        billed.mean(2).alias("avg_billing_amount"),
         *pivot_counts(F.col("billing_category"), bands),
         _stay_mean().alias("avg_length_of_stay"),
         F.count_distinct("medical_condition").alias("conditions_treated"),
@@ -168,11 +167,13 @@ def doctor_performance(admissions: DataFrame, rows: int = REPORT_ROWS) -> DataFr
         "ABNORMAL": "abnormal_results",
         "INCONCLUSIVE": "inconclusive_results",
     }
-    summed = admissions.groupBy("doctor").agg(
+    sums = Sums()
+    billed = _billing(sums)
+    summed = sums.over(admissions).groupBy("doctor").agg(
         F.count("*").alias("total_patients"),
         F.count_distinct("medical_condition").alias("conditions_treated"),
-        _billing_mean().alias("avg_billing_amount"),
-        _billing_sum().alias("total_revenue_generated"),
+        billed.mean(2).alias("avg_billing_amount"),
+        billed.sum().alias("total_revenue_generated"),
         _stay_mean().alias("avg_length_of_stay"),
         *pivot_counts(F.col("test_results"), results),
     )
@@ -181,17 +182,18 @@ def doctor_performance(admissions: DataFrame, rows: int = REPORT_ROWS) -> DataFr
 
 def disease_trends(joined: DataFrame, ordered: bool = True) -> DataFrame:
     """Per condition and age group, from stays with their patients."""
-    emergency = count_where(F.col("admission_type") == "EMERGENCY")
+    emergency, sums = count_where(F.col("admission_type") == "EMERGENCY"), Sums()
     measures = {
         "total_cases": F.count("*"),
         "avg_stay_days": _stay_mean(),
-        "avg_billing": _billing_mean(),
+        "avg_billing": _billing(sums).mean(2),
         "emergency_admissions": emergency,
         "emergency_rate_pct": rate_pct(emergency, F.count("*")),
         "abnormal_tests": count_where(_result_is("ABNORMAL")),
     }
     return (
-        joined.groupBy("medical_condition", "age_group")
+        sums.over(joined)
+        .groupBy("medical_condition", "age_group")
         .agg(*aliased(measures))
         .transform(in_order, ordered, "medical_condition", F.desc("total_cases"), "age_group")
     )
@@ -199,18 +201,20 @@ def disease_trends(joined: DataFrame, ordered: bool = True) -> DataFrame:
 
 def insurance_analysis(admissions: DataFrame, ordered: bool = True) -> DataFrame:
     """Per insurer."""
-    high = count_where(F.col("billing_category") == "high")
+    high, sums = count_where(F.col("billing_category") == "high"), Sums()
+    billed = _billing(sums)
     measures = {
         "total_claims": F.count("*"),
-        "total_billed": _billing_sum(),
-        "avg_claim_amount": _billing_mean(),
+        "total_billed": billed.sum(),
+        "avg_claim_amount": billed.mean(2),
         "high_cost_claims": high,
         "high_cost_rate_pct": rate_pct(high, F.count("*")),
         "conditions_covered": F.count_distinct("medical_condition"),
         "avg_covered_stay_days": _stay_mean(),
     }
     return (
-        admissions.groupBy("insurance_provider")
+        sums.over(admissions)
+        .groupBy("insurance_provider")
         .agg(*aliased(measures))
         .transform(in_order, ordered, F.desc("total_billed"), "insurance_provider")
     )

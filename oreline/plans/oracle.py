@@ -621,6 +621,28 @@ def oracle_sql() -> dict[str, str]:
               AS average_rating, COUNT(*) AS total_trips
             FROM fine WHERE r IS NOT NULL GROUP BY driver_id, driver_name
             HAVING SUM(r) > 430003 * COUNT(*)"""),
+        "fine_measure_totals": _with(_TRIPS, """
+            SELECT trip_status, CAST(SUM(4 * (1 + trip_id % 5)) AS DOUBLE) / 1e11 AS tiny_sum,
+              CAST(SUM(4 * (1 + trip_id % 5)) AS DOUBLE) / 1e11 / COUNT(*) AS tiny_mean,
+              CAST(SUM(CASE trip_id % 4 WHEN 1 THEN 120000000000000 WHEN 2 THEN 1 ELSE 0 END)
+                AS DOUBLE) / 4 AS spread_sum,
+              CAST(SUM(CASE trip_id % 4 WHEN 1 THEN 120000000000000 WHEN 2 THEN 1 ELSE 0 END)
+                AS DOUBLE) / 4 / COUNT(*) FILTER (trip_id % 4 < 3) AS spread_mean
+            FROM trips GROUP BY trip_status"""),
+        "landing_reload": _with(_TRIPS, """
+            SELECT 'landed' AS kind, 4 AS batches, COUNT(*) AS trips, SUM(cents) AS cents,
+              true AS ok FROM trips
+            UNION ALL SELECT 'other', 1, COUNT(*), SUM(cents), true FROM trips
+            WHERE trip_id % 7 = 0"""),
+        "line_breaks": _with(_TRIPS, """
+            SELECT CAST(trip_id AS VARCHAR) AS trip_id, pickup_city,
+              CASE WHEN trip_id % 10 = 0 THEN 'said "go",' || chr(10) || chr(10) || pickup_city
+                ELSE pickup_location END AS pickup_location, fare_amount
+            FROM trips"""),
+        "versioned_rebuild": _with(_TRIPS, """
+            SELECT 'before' AS state, COUNT(*) AS trips, SUM(cents) AS cents FROM trips
+            WHERE trip_status = 'completed'
+            UNION ALL SELECT 'after', COUNT(*), SUM(cents) FROM trips"""),
         "landing_late": _with(_TRIPS, """
             SELECT CAST(trip_id AS VARCHAR) AS trip_id, pickup_city, vehicle_type,
               CASE WHEN trip_id % 4 = 1 AND trip_id % 61 = 0 THEN NULL ELSE fare_amount END
@@ -643,6 +665,15 @@ def oracle_sql() -> dict[str, str]:
                 ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS "timestamp",
               CASE WHEN event_id % 31 = 0 THEN NULL ELSE ts END AS event_ts
             FROM bodies"""),
+        "event_files": _with(_EVENTS, """
+            SELECT 'EVT' || (1000 + event_id % 9000) AS event_id, event_type,
+              'T' || event_id AS trip_id, 'D' || user_id AS driver_id,
+              'R' || (user_id % 400) AS rider_id, 'City ' || (user_id % 5) AS city,
+              "value" AS fare_amount,
+              CASE WHEN event_id % 31 = 0 THEN 'soon'
+                ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS "timestamp",
+              CASE WHEN event_id % 31 = 0 THEN NULL ELSE ts END AS event_ts
+            FROM bodies"""),
         "stream_quarantine": """
             SELECT 'not json' || event_id AS raw_body FROM events WHERE event_id % 47 = 0""",
     }

@@ -25,7 +25,7 @@ from oreline.schemas import (
 )
 from oreline.session import scratch_path
 from oreline.sources import samples
-from oreline.sources.readers import CORRUPT_COLUMN, read_path
+from oreline.sources.readers import CORRUPT_COLUMN, read_csv, read_path
 from oreline.sources.sinks import write_all, write_csv, write_path
 from oreline.streaming import events, landing
 
@@ -189,6 +189,75 @@ def _landing_late(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _landing_reload(spark: SparkSession, d: str) -> DataFrame:
+    """Four drops, archived as they are taken in, beside another job's batch; then a reload."""
+    base = scratch_path(spark, "landing-reload")
+    place = (spark, f"{base}/landing/*", TRIP_TEXT_SCHEMA, f"{base}/bronze")
+    rows = samples.bronze_trips(spark, d)
+    for drop in range(4):
+        write_csv(rows.where(F.col("trip_id") % 4 == drop), f"{base}/landing/{drop}")
+        landing.append_new_files(*place, archive=f"{base}/taken" if drop < 3 else None)
+    bronze = read_path(spark, f"{base}/bronze")
+    landing.append_batch(bronze.where("trip_id % 7 = 0").drop(landing.BATCH), f"{base}/bronze", "other")
+    landing.reload_files(*place, archive=f"{base}/taken")
+    counts = landing.batch_counts(spark, f"{base}/bronze")
+    kind = F.when(F.col(landing.BATCH).startswith(landing.LANDED), "landed").otherwise("other")
+    checked = counts.groupBy(kind.alias("kind")).agg(
+        F.count("*").cast("int").alias("batches"), F.every("ok").alias("ok")
+    )
+    cents = F.rint(F.col("fare_amount") * 100).cast("bigint")
+    held = read_path(spark, f"{base}/bronze").groupBy(kind.alias("kind")).agg(
+        F.count("*").alias("trips"), F.sum(cents).alias("cents")
+    )
+    return checked.join(held, "kind")
+
+
+def _line_breaks(spark: SparkSession, d: str) -> DataFrame:
+    """Trips as delimited files, some of them with line breaks and quotes within fields."""
+    base = scratch_path(spark, "line-breaks")
+    rows = samples.bronze_trips(spark, d)
+    broken = F.col("trip_id") % 10 == 0
+    said = F.concat(F.lit('said "go",\n\n'), F.col("pickup_city"))
+    write_csv(rows.where(~broken), f"{base}/in/plain")
+    write_csv(rows.where(broken).withColumn("pickup_location", said), f"{base}/in/broken")
+    read = read_csv(spark, f"{base}/in/*", TRIP_TEXT_SCHEMA)
+    return read.select("trip_id", "pickup_city", "pickup_location", "fare_amount")
+
+
+def _versioned_rebuild(spark: SparkSession, d: str) -> DataFrame:
+    """Silver as readers see it: after a rebuild that died half-way, then after one that did not."""
+    path = f"{scratch_path(spark, 'versioned')}/trips"
+    rows = samples.bronze_trips(spark, d, "trip_id", "trip_status", "fare_amount")
+    write_path(rows.where("trip_status = 'completed'"), path)
+    lost = F.when(F.col("trip_id") % 1009 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("trip_id"))
+    try:
+        write_path(rows.withColumn("trip_id", lost.cast("bigint")), path)
+    except Exception as died:
+        if "lost" not in str(died):
+            raise
+    cents = F.sum(F.rint(F.col("fare_amount") * 100).cast("bigint")).alias("cents")
+    seen = []
+    for state in ("before", "after"):
+        if state == "after":
+            write_path(rows, path)
+        held = read_path(spark, path).agg(F.count("*").alias("trips"), cents)
+        seen.append(held.select(F.lit(state).alias("state"), "trips", "cents"))
+    return seen[0].unionAll(seen[1])
+
+
+def _event_files(spark: SparkSession, d: str) -> DataFrame:
+    """Message bodies dropped as text files in two goes, each file taken in once."""
+    base = scratch_path(spark, "event-files")
+    bodies = samples.event_bodies(samples.events(spark, d)).withColumn(
+        "drop", F.pmod(F.xxhash64("value"), F.lit(2))
+    )
+    for drop in range(2):
+        bodies.where(F.col("drop") == drop).select("value").write.text(f"{base}/in/{drop}")
+        for _ in range(2):
+            events.append_event_files(spark, f"{base}/in/*", f"{base}/bronze")
+    return events.read_events(spark, f"{base}/bronze")
+
+
 def _validate_row_counts(spark: SparkSession, d: str) -> DataFrame:
     """The admissions layers from delimited source rows to gold, and their row-count checks."""
     base = scratch_path(spark, "admissions")
@@ -201,10 +270,13 @@ def _validate_row_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _validate_trip_layers(spark: SparkSession, d: str) -> DataFrame:
-    """The trips layers end to end: a first run, a full reload, new files, a second run; checks."""
+    """The trips layers end to end: a first run, a full reload, new files, a second run; checks.
+
+    Files are archived as they are taken in, so the reload reads them from there.
+    """
     base = scratch_path(spark, "trips")
     rows = samples.bronze_trips(spark, d)
-    cfg = layers.LayerConfig(source=f"{base}/landing/*", base=base)
+    cfg = layers.LayerConfig(source=f"{base}/landing/*", base=base, archive=f"{base}/taken")
     early = F.col("trip_id") % 2 == 0
     write_csv(rows.where(early), f"{base}/landing/first")
     layers.run_trips(spark, cfg)
@@ -273,6 +345,9 @@ _QUERIES: dict[str, Query] = {
     "fine_status_revenue": lambda spark, d: q.status_revenue(
         samples.fine_trips(spark, d, "trip_status", "fare_amount")
     ),
+    "fine_measure_totals": lambda spark, d: q.measure_totals(
+        samples.fine_trips(spark, d, "trip_status", "tiny", "spread"), ["tiny", "spread"]
+    ),
     "fine_running_revenue": lambda spark, d: q.running_revenue(
         samples.fine_trips(spark, d, "trip_id", "request_time", "fare_amount")
     ),
@@ -333,6 +408,10 @@ _QUERIES: dict[str, Query] = {
     # Streams
     "landing_trips": _landing_trips,
     "landing_late": _landing_late,
+    "landing_reload": _landing_reload,
+    "line_breaks": _line_breaks,
+    "versioned_rebuild": _versioned_rebuild,
+    "event_files": _event_files,
     "stream_trip_events": lambda spark, d: events.read_events(spark, _stream(spark, d)),
     "stream_quarantine": lambda spark, d: events.read_quarantine(spark, _stream(spark, d)),
 }

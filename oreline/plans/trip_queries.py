@@ -6,12 +6,13 @@ not for storing it, so switch it off before a write.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreline.functions.exact import avg_exact, exact_total, mean_exact, sum_exact
+from oreline.functions.exact import Sums
 from oreline.functions.text import upper_trim
 from oreline.operators.aggregates import count_where, distinct_values
 from oreline.operators.windows import running_total, top_k_per_group
@@ -27,26 +28,42 @@ from oreline.schemas import (
 
 def status_revenue(trips: DataFrame) -> DataFrame:
     """Q1: trips, revenue and mean fare per status."""
-    fare = F.col("fare_amount")
+    sums = Sums()
+    fare = sums.of(F.col("fare_amount"), MONEY_PLACES)
     return (
-        trips.groupBy("trip_status")
+        sums.over(trips)
+        .groupBy("trip_status")
         .agg(
             F.count("*").alias("total_trips"),
-            sum_exact(fare, MONEY_PLACES).alias("total_revenue"),
-            avg_exact(fare, MONEY_PLACES, 2).alias("average_fare"),
+            fare.sum().alias("total_revenue"),
+            fare.mean(2).alias("average_fare"),
         )
         .orderBy(F.desc("total_trips"), F.asc_nulls_first("trip_status"))
     )
 
 
+def measure_totals(trips: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Sum and mean per status of measures of any size, equal in any order of addition."""
+    sums = Sums()
+    measures = {c: sums.of(F.col(c), MONEY_PLACES) for c in columns}
+    figures = [
+        figure
+        for c, m in measures.items()
+        for figure in (m.sum().alias(f"{c}_sum"), m.mean_unrounded().alias(f"{c}_mean"))
+    ]
+    return sums.over(trips).groupBy("trip_status").agg(*figures).orderBy("trip_status")
+
+
 def busy_drivers(trips: DataFrame, more_than: int = BUSY_DRIVER_TRIPS) -> DataFrame:
     """Q2: drivers with more than ``more_than`` completed trips."""
+    sums = Sums()
+    fare = sums.of(F.col("fare_amount"), MONEY_PLACES)
     return (
-        trips.where(F.col("trip_status") == "completed")
+        sums.over(trips.where(F.col("trip_status") == "completed"))
         .groupBy("driver_id", "driver_name")
         .agg(
             F.count("trip_id").alias("total_trips"),
-            sum_exact(F.col("fare_amount"), MONEY_PLACES).alias("total_revenue"),
+            fare.sum().alias("total_revenue"),
         )
         .where(F.col("total_trips") > more_than)
     )
@@ -101,17 +118,18 @@ def running_revenue(trips: DataFrame, ordered: bool = True) -> DataFrame:
 
 def high_rated(trips: DataFrame, above: str = HIGH_RATING) -> DataFrame:
     """Q9: drivers whose mean rating is above a mark, compared as decimals; equal means by driver."""
-    rating, mark = F.col("rating"), Decimal(above)
-    total = exact_total(rating, MEASURE_PLACES)
-    count = F.count(rating)
+    mark, sums = Decimal(above), Sums()
+    rating = sums.of(F.col("rating"), MEASURE_PLACES)
+    count = F.count("rating").cast("decimal(20,0)")
     stats = (
-        trips.where(rating.isNotNull())
+        sums.over(trips.where(F.col("rating").isNotNull()))
         .groupBy("driver_id", "driver_name")
         .agg(
             F.coalesce(
-                total > count.cast("decimal(20,0)") * F.lit(mark), F.avg(rating) > float(mark)
+                rating.totals().decimal() > count * F.lit(mark),
+                rating.mean_unrounded() > float(mark),
             ).alias("_above"),
-            mean_exact(rating, MEASURE_PLACES).alias("average_rating"),
+            rating.mean_unrounded().alias("average_rating"),
             F.count("*").alias("total_trips"),
         )
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions.bands import band
-from oreline.functions.exact import avg_exact, rate_pct, sum_exact
+from oreline.functions.exact import Sums, rate_pct
 from oreline.functions.parse import parse_number, parse_timestamp
 from oreline.functions.text import is_blank
 from oreline.operators.aggregates import (
@@ -49,18 +49,6 @@ def _cancelled() -> Column:
     return F.col("trip_status") == "cancelled"
 
 
-def _sum_money(value: Column) -> Column:
-    return sum_exact(value, MONEY_PLACES)
-
-
-def _avg_money(value: Column) -> Column:
-    return avg_exact(value, MONEY_PLACES, 2)
-
-
-def _avg_measure(value: Column) -> Column:
-    return avg_exact(value, MEASURE_PLACES, 2)
-
-
 def fare_band(fare: Column) -> Column:
     return band(fare, FARE_BANDS, FARE_TOP_BAND)
 
@@ -125,8 +113,10 @@ def silver_trips(
 
 def silver_summary(silver: DataFrame) -> DataFrame:
     """One row of totals over the cleaned trips."""
-    band_is = F.col("fare_category").eqNullSafe
-    return silver.agg(
+    band_is, sums = F.col("fare_category").eqNullSafe, Sums()
+    fare = sums.of(F.col("fare_amount"), MONEY_PLACES)
+    dollars = sums.of(F.col("fare_in_usd"), MONEY_PLACES)
+    return sums.over(silver).agg(
         F.count("*").alias("total_rows"),
         F.count_distinct("driver_id").alias("unique_drivers"),
         F.count_distinct("pickup_city").alias("cities"),
@@ -136,8 +126,8 @@ def silver_summary(silver: DataFrame) -> DataFrame:
         tally_where(band_is("budget")).alias("budget_trips"),
         tally_where(band_is("standard")).alias("standard_trips"),
         tally_where(band_is("premium")).alias("premium_trips"),
-        _avg_money(F.col("fare_amount")).alias("avg_fare_ngn"),
-        _avg_money(F.col("fare_in_usd")).alias("avg_fare_usd"),
+        fare.mean(2).alias("avg_fare_ngn"),
+        dollars.mean(2).alias("avg_fare_usd"),
     )
 
 
@@ -194,19 +184,21 @@ def _completed_fare() -> Column:
 
 def driver_performance(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Per driver and vehicle, complete records only; revenue over all statuses."""
-    cancelled = tally_where(_cancelled())
+    cancelled, sums = tally_where(_cancelled()), Sums()
+    fare = sums.of(F.col("fare_amount"), MONEY_PLACES)
+    dollars = sums.of(F.col("fare_in_usd"), MONEY_PLACES)
     measures = {
         "total_trips": F.count("trip_id"),
         "completed_trips": tally_where(_completed()),
         "cancelled_trips": cancelled,
         "cancellation_rate_pct": rate_pct(cancelled, F.count("*")),
-        "total_revenue_ngn": _sum_money(F.col("fare_amount")),
-        "total_revenue_usd": _sum_money(F.col("fare_in_usd")),
-        "avg_fare_ngn": _avg_money(F.col("fare_amount")),
-        "avg_rating": _avg_measure(_rated()),
+        "total_revenue_ngn": fare.sum(),
+        "total_revenue_usd": dollars.sum(),
+        "avg_fare_ngn": fare.mean(2),
+        "avg_rating": sums.of(_rated(), MEASURE_PLACES).mean(2),
     }
     return (
-        silver.where(F.col("data_quality") == "ok")
+        sums.over(silver.where(F.col("data_quality") == "ok"))
         .groupBy("driver_id", "driver_name", "vehicle_type")
         .agg(*aliased(measures))
         .transform(in_order, ordered, F.desc("total_revenue_ngn"), "driver_id", "driver_name", "vehicle_type")
@@ -215,16 +207,19 @@ def driver_performance(silver: DataFrame, ordered: bool = True) -> DataFrame:
 
 def city_summary(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Per pickup city; revenue of completed trips only."""
+    sums = Sums()
+    fare = sums.of(_completed_fare(), MONEY_PLACES)
     measures = {
         "total_trips": F.count("trip_id"),
         "completed_trips": tally_where(_completed()),
-        "total_revenue_ngn": _sum_money(_completed_fare()),
-        "avg_fare_ngn": _avg_money(_completed_fare()),
-        "avg_rating": _avg_measure(_rated()),
+        "total_revenue_ngn": fare.sum(),
+        "avg_fare_ngn": fare.mean(2),
+        "avg_rating": sums.of(_rated(), MEASURE_PLACES).mean(2),
         "active_drivers": F.count_distinct("driver_id"),
     }
     return (
-        silver.groupBy(F.col("pickup_city").alias("city"))
+        sums.over(silver)
+        .groupBy(F.col("pickup_city").alias("city"))
         .agg(*aliased(measures))
         .transform(in_order, ordered, F.desc("total_revenue_ngn"), "city")
     )
@@ -232,16 +227,19 @@ def city_summary(silver: DataFrame, ordered: bool = True) -> DataFrame:
 
 def daily_trends(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Per day of request; revenue of completed trips only."""
+    sums = Sums()
+    fare = sums.of(_completed_fare(), MONEY_PLACES)
     measures = {
         "total_trips": F.count("trip_id"),
         "completed_trips": tally_where(_completed()),
         "cancelled_trips": tally_where(_cancelled()),
-        "daily_revenue_ngn": _sum_money(_completed_fare()),
-        "avg_fare_ngn": _avg_money(_completed_fare()),
-        "avg_surge": _avg_measure(F.col("surge_multiplier")),
+        "daily_revenue_ngn": fare.sum(),
+        "avg_fare_ngn": fare.mean(2),
+        "avg_surge": sums.of(F.col("surge_multiplier"), MEASURE_PLACES).mean(2),
     }
     return (
-        silver.groupBy(F.to_date("request_time").alias("trip_date"))
+        sums.over(silver)
+        .groupBy(F.to_date("request_time").alias("trip_date"))
         .agg(*aliased(measures))
         .transform(in_order, ordered, "trip_date")
     )
@@ -250,14 +248,16 @@ def daily_trends(silver: DataFrame, ordered: bool = True) -> DataFrame:
 def payment_breakdown(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Completed trips per payment type, split by fare band."""
     bands = {"budget": "budget_trips", "standard": "standard_trips", "premium": "premium_trips"}
+    sums = Sums()
+    fare = sums.of(F.col("fare_amount"), MONEY_PLACES)
     return (
-        silver.where(_completed())
+        sums.over(silver.where(_completed()))
         .groupBy("payment_type")
         .agg(
             F.count("trip_id").alias("total_trips"),
             *pivot_counts(F.col("fare_category"), bands),
-            _sum_money(F.col("fare_amount")).alias("total_revenue_ngn"),
-            _avg_money(F.col("fare_amount")).alias("avg_fare_ngn"),
+            fare.sum().alias("total_revenue_ngn"),
+            fare.mean(2).alias("avg_fare_ngn"),
         )
         .transform(in_order, ordered, F.desc("total_revenue_ngn"), "payment_type")
     )
@@ -265,17 +265,20 @@ def payment_breakdown(silver: DataFrame, ordered: bool = True) -> DataFrame:
 
 def vehicle_performance(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """Per vehicle type, all statuses."""
+    sums = Sums()
+    fare = sums.of(F.col("fare_amount"), MONEY_PLACES)
     measures = {
         "total_trips": F.count("trip_id"),
         "completed_trips": tally_where(_completed()),
-        "avg_distance_km": _avg_measure(F.col("distance_km")),
-        "avg_fare_ngn": _avg_money(F.col("fare_amount")),
-        "total_revenue_ngn": _sum_money(F.col("fare_amount")),
-        "avg_rating": _avg_measure(_rated()),
-        "avg_surge": _avg_measure(F.col("surge_multiplier")),
+        "avg_distance_km": sums.of(F.col("distance_km"), MEASURE_PLACES).mean(2),
+        "avg_fare_ngn": fare.mean(2),
+        "total_revenue_ngn": fare.sum(),
+        "avg_rating": sums.of(_rated(), MEASURE_PLACES).mean(2),
+        "avg_surge": sums.of(F.col("surge_multiplier"), MEASURE_PLACES).mean(2),
     }
     return (
-        silver.groupBy("vehicle_type")
+        sums.over(silver)
+        .groupBy("vehicle_type")
         .agg(*aliased(measures))
         .transform(in_order, ordered, F.desc("total_revenue_ngn"), "vehicle_type")
     )

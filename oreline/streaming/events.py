@@ -119,7 +119,7 @@ def read_events(spark: SparkSession, table: str, raw: bool = False) -> DataFrame
         spark.read.schema(f"{TRIP_EVENT_SCHEMA}, event_ts timestamp, raw_body string, state string")
         .parquet(table)
         .where(F.col("state") == PARSED)
-        .drop(*([] if raw else ["raw_body"]), "state")
+        .drop(*([] if raw else ["raw_body"]), "state", BATCH)
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from oreline import schemas as S
 from oreline.functions.bands import band
 from oreline.functions.exact import (
+    Sums,
     avg_exact,
     avg_whole,
     mean_exact,
@@ -97,6 +98,42 @@ def test_huge_and_infinite_values_stop_no_job(spark):
         assert got == [(total, total / len(values), total / len(values))]
 
 
+def test_small_values_are_not_lost(spark):
+    x = F.col("x")
+    for value, n in ((4e-11, 1000), (3e-15, 500), (1.25e-17, 64)):
+        df = spark.range(n).select(F.lit(value).alias("x")).repartition(5)
+        total = float(Decimal(repr(value)) * n)
+        assert rows(df.agg(sum_exact(x, 2), mean_exact(x, 2))) == [(total, total / n)]
+
+
+def test_mixed_sizes_do_not_depend_on_order(spark):
+    rng = random.Random(7)
+    values = [rng.choice([1e15, 3.25, 0.1, 7e-12, -1e12, 12.34567, 8589934592.5]) for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    exact_sum = sum(Decimal(repr(v)) for v in values)
+    for parts in (1, 4, 9):
+        got = rows(df.repartition(parts).agg(sum_exact(F.col("x"), 2)))[0][0]
+        assert got == pytest.approx(float(exact_sum), rel=1e-15)
+        first = got if parts == 1 else first
+        assert got == first
+
+
+def test_measures_declared_before_the_aggregate(spark):
+    data = [("a", 1.5, 2.0), ("a", 2.25, None), ("b", None, 1e17), ("b", None, 4e-11), ("c", 0.1, 0.2)]
+    df = spark.createDataFrame(data, "k string, x double, y double")
+    sums = Sums()
+    x, y = sums.of(F.col("x"), 2), sums.of(F.col("x") + F.col("y"), 2)
+    z = sums.of(F.col("y"), 2)
+    got = rows(
+        sums.over(df).groupBy("k").agg(x.sum(), x.mean(2), y.sum(), z.sum(), z.mean_unrounded())
+    )
+    assert sorted(got) == [
+        ("a", 3.75, 1.88, 3.5, 2.0, 2.0),
+        ("b", None, None, None, 1e17, 5e16),
+        ("c", 0.1, 0.1, 0.3, 0.2, 0.2),
+    ]
+
+
 def test_sum_beyond_64_bits_goes_on(spark):
     df = spark.range(20_000).select(F.lit(9.9e12).alias("x"))
     assert rows(df.agg(sum_exact(F.col("x"), 2)))[0][0] == pytest.approx(1.98e17)

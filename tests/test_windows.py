@@ -4,11 +4,11 @@ import datetime as dt
 import random
 
 import pytest
-from helpers import plan, rows
+from helpers import column, plan, rows
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from oreline.operators.windows import running_total, top_k_per_group
+from oreline.operators.windows import _slot, running_total, top_k_per_group
 
 
 def at(day, minute):
@@ -71,7 +71,7 @@ def test_running_total_equals_one_global_window(spark):
 
 
 def test_running_total_of_microseconds_on_one_day(spark):
-    """All rows within ten seconds: a task gets one second's times, never the day's."""
+    """All rows within ten seconds: a task gets one slot of the times, never the day's."""
     df = spark.range(4000).select(
         "id",
         F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 7919 % 10_000_000).alias("t"),
@@ -82,8 +82,27 @@ def test_running_total_of_microseconds_on_one_day(spark):
     assert expected.exceptAll(got).count() == 0 == got.exceptAll(expected).count()
     said = plan(got)
     windows = [w.split("]")[0] for w in said.split("windowspecdefinition(")[1:]]
-    # One row per day without a key; seconds by day, times by second.
-    assert sum("_day" in w.split(",")[0] or "_second" in w.split(",")[0] for w in windows) == len(windows)
+    # Rows within their slot; one row per slot without a key.
+    assert windows and all("_slot" in w.split(",")[0] for w in windows)
+
+
+@pytest.mark.parametrize("slots", [2, 16])
+def test_running_total_of_hot_times(spark, slots):
+    """Hot times are read at the end of their slot; their rows are in no window."""
+    hot = [(i, at(3, 7), i % 7 / 4) for i in range(400)] + [(400 + i, None, 0.5) for i in range(300)]
+    rest = [(700 + i, at(i % 9, i), 1.25 if i % 5 else None) for i in range(300)]
+    df = spark.createDataFrame(hot + rest, "id int, t timestamp, fare double").repartition(4)
+    got = rows(running_total(df, "t", "fare", "total", 2, slots=slots))
+    assert sorted(got, key=lambda r: r[0]) == brute(sorted(hot + rest))
+
+
+def test_slots_are_even(spark):
+    df = spark.range(20_000).select(
+        F.timestamp_micros(F.col("id") * F.col("id")).alias("t"), F.lit(1.0).alias("fare")
+    )
+    marks = df.agg(F.percentile_approx(F.unix_micros("t"), [k / 16 for k in range(1, 16)])).first()[0]
+    sizes = column(df.groupBy(_slot(F.unix_micros("t"), marks).alias("s")).count(), "count")
+    assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
 
 
 def test_running_total_goes_on_after_a_huge_value(spark):
