@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 import oracle_check
 import pytest
 from helpers import plan
@@ -12,7 +14,7 @@ from oreline.plans import oracle, registry
 RUNS_JOBS = {
     "validate_row_counts", "validate_trip_layers", "landing_trips", "landing_late",
     "stream_trip_events", "stream_quarantine", "gold_row_counts", "catalog_insurance_analysis",
-    "clean_file_records",
+    "clean_file_records", "landing_reload", "line_breaks", "versioned_rebuild", "event_files",
 }
 
 
@@ -46,7 +48,19 @@ def test_running_total_takes_one_row_per_bucket_to_one_task(spark, sf_dir):
     said = plan(entry.queries()["sql_q08_running_revenue"](spark, sf_dir))
     single = said.split("Exchange SinglePartition")[1]
     # What goes to the one task is the per-bucket sum, not the rows.
-    assert single.index("HashAggregate(keys=[_day") < single.index("FileScan")
+    assert single.index("HashAggregate(keys=[_slot") < single.index("FileScan")
+
+
+@pytest.mark.parametrize("lost", ["ahocorasick", "oreline.llm.registry", "corpus_pipeline"])
+def test_queries_without_the_training_data_operators(monkeypatch, lost):
+    for name in [n for n in sys.modules if n.startswith("oreline.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, lost, None)
+    with pytest.warns(UserWarning, match="left out"):
+        known = entry.queries()
+    assert set(registry.queries()) <= set(known) and "pipeline" not in known
+    with pytest.warns(UserWarning, match="left out"):
+        assert set(entry.oracle_sql()) <= set(known)
 
 
 def test_entry(spark):
