@@ -14,7 +14,7 @@ A shard is written under the name of the attempt and moved into place when whole
 task replaces its shard. Files are written through the file system that the folder's URI names.
 
 Defined results: missing text is an empty document, which has its end id alone; documents without
-an id come first; repeated ids are ordered by a hash of the text, which also spreads a hot id over
+an id come first; repeated ids are ordered by a hash of the text, and equal rows are spread over
 tasks; an empty table gives no shard; other columns are not read.
 """
 
@@ -124,7 +124,9 @@ def write_records(
     files.create_dir(root, recursive=True)
     pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     tie = F.xxhash64("text")
-    ordered = pairs.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    # Equal rows are spread by their place: they are alike, whatever their order.
+    ordered = pairs.withColumn("row", F.monotonically_increasing_id())
+    ordered = ordered.repartitionByRange("doc_id", tie, "row").sortWithinPartitions("doc_id", tie)
     write = partial(
         _write, folder=folder, tokenizer=definition(docs.sparkSession, tokenizer), end=end_id
     )

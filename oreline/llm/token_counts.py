@@ -5,11 +5,15 @@ tokens of a pre-token are those of its best segmentation: the pieces whose score
 most, the fewest of them if several segmentations do. The best score of a prefix depends on the
 prefix alone, so distinct pre-tokens are inserted in a trie whose nodes keep their forward score and
 token count; a prefix that many pre-tokens share is computed once, and a pre-token's count is read
-off the node where it ends. Each task keeps a trie of its own over the texts it reads; a trie that
-has grown to ``nodes`` nodes is started anew, so memory is bounded and nothing is shuffled.
+off the node where it ends. Each task keeps a trie of its own over the texts it reads, a run of texts
+at a time, of which each different pre-token is looked up once. A trie that has grown to ``nodes``
+nodes is started anew, and a pre-token of over ``LONG_WORD`` characters gets no nodes: its prefixes
+are kept only as far back as the longest piece. So memory is bounded and nothing is shuffled.
 
-Pieces and scores come from a public vocabulary file. A character that no piece holds costs the
-lowest score minus ten and counts as one token per byte.
+Pieces come from a public vocabulary file. Its scores are merge ranks, not probabilities, so a piece's
+score is the logarithm of a probability that falls with its rank: ``1 / (rank + RANK_SHIFT)`` over the
+sum of these (Zipf's law in Mandelbrot's form). A character that no piece holds costs the lowest score
+minus ten and counts as one token per byte.
 
 Defined results: missing and empty texts have no tokens; repeated rows and ids are counted row by
 row; an empty table gives an empty result; other columns are not read.
@@ -17,31 +21,46 @@ row; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
+from collections import deque
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oreline.llm.tokens import text_runs
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MARK = "▁"
 NODES = 400_000
+LONG_WORD = 256
+# Flattens the probabilities of the very first pieces.
+RANK_SHIFT = 2.7
 _UNKNOWN_PENALTY = 10.0
 
 
 def vocabulary(path: str = PIECES) -> dict[str, float]:
-    """Scores of the ordinary pieces of a vocabulary file: as many as the file has, read once."""
+    """Log-probabilities of the ordinary pieces of a vocabulary file, as many as it has, read once."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return {
-        model.id_to_piece(i): model.get_score(i)
-        for i in range(model.get_piece_size())
-        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))
-    }
+    odd = (model.is_control, model.is_unknown, model.is_byte, model.is_unused)
+    ordinary = [i for i in range(model.get_piece_size()) if not any(is_odd(i) for is_odd in odd)]
+    ordinary.sort(key=lambda i: (-model.get_score(i), i))
+    return unigram_scores([model.id_to_piece(i) for i in ordinary])
+
+
+def unigram_scores(ranked: list[str], shift: float = RANK_SHIFT) -> dict[str, float]:
+    """Log-probabilities of pieces that are given in the order of their ranks."""
+    weights = [1.0 / (rank + shift) for rank in range(len(ranked))]
+    total = math.log(sum(weights)) if weights else 0.0
+    return {p: math.log(w) - total for p, w in zip(ranked, weights, strict=True)}
 
 
 class Trie:
@@ -87,25 +106,52 @@ class Trie:
                 found = max(found, (score + piece, tokens - 1))
         return found
 
-    def count(self, words: list[str]) -> int:
+    def slide(self, word: str) -> int:
+        """The token count of a long word, from the last few prefixes alone."""
+        near, longest = deque([(0.0, 0)], maxlen=max(self.longest, 1)), self.longest
+        get = self.scores.get
+        for end in range(1, len(word) + 1):
+            one = word[end - 1]
+            score, tokens = near[-1]
+            found = (score + self.unknown, tokens - len(one.encode("utf-8", "replace")))
+            for back in range(1, min(end, longest) + 1):
+                piece = get(word[end - back : end])
+                if piece is not None:
+                    score, tokens = near[-back]
+                    found = max(found, (score + piece, tokens - 1))
+            near.append(found)
+        return -near[-1][1]
+
+    def count(self, word: str) -> int:
+        found = self.ends.get(word)
+        if found is not None:
+            return found
+        if len(word) > LONG_WORD:
+            return self.slide(word)
         if len(self.best) > self.most:
             self.clear()
-        ends = self.ends
-        return sum([ends[w] if w in ends else self.insert(w) for w in words])
+        return self.insert(word)
 
 
 def _counts(batches: Iterator[pa.RecordBatch], scores: Broadcast, nodes: int):
     trie = Trie(scores.value, nodes)
     for batch in batches:
-        words = [[WORD_MARK + w for w in (t or "").split()] for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array([len(w) for w in words], pa.int64()),
-                pa.array([trie.count(w) for w in words], pa.int64()),
-            ],
-            ["doc_id", "n_words", "n_tokens"],
-        )
+        for low, texts in text_runs(batch.column(1)):
+            lists = pc.utf8_split_whitespace(texts)
+            flat = lists.flatten().dictionary_encode()
+            # Texts that begin or end with white space give empty words.
+            known = flat.dictionary.to_pylist()
+            each = [trie.count(WORD_MARK + w) if w else 0 for w in known]
+            words = np.array([w != "" for w in known], np.int64)
+            codes, ends = np.array(flat.indices), np.array(lists.offsets, np.int64)
+            columns = [
+                np.diff(np.concatenate([[0], np.cumsum(n[codes])])[ends - ends[0]])
+                for n in (words, np.array(each, np.int64))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(low, len(texts)), *map(pa.array, columns)],
+                ["doc_id", "n_words", "n_tokens"],
+            )
 
 
 def token_counts(

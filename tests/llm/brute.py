@@ -128,11 +128,11 @@ def tiles(item, text, shortest=5):
 
 def unigram_tokens(word, scores, unknown):
     """Tokens of the best segmentation of one pre-token."""
-    best = [(0.0, 0)]
+    best, longest = [(0.0, 0)], max(map(len, scores))
     for end in range(1, len(word) + 1):
         options = [
             (best[s][0] + scores[word[s:end]], best[s][1] - 1)
-            for s in range(end)
+            for s in range(max(0, end - longest), end)
             if word[s:end] in scores
         ]
         if word[end - 1] not in scores:

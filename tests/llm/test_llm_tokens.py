@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -14,7 +15,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from oreline.llm import packing, records, token_counts
+from oreline.llm import packing, records, registry, token_counts
 from oreline.llm.tokens import BYTE_BPE, Encoder, blocks
 from oreline.session import scratch_path
 
@@ -217,20 +218,69 @@ def test_damage_is_found():
     assert records.masked_checksum(b"") == 0xA282EAD8
 
 
+def plain_counts(rows, scores):
+    unknown, seen, out = min(scores.values()) - 10, {}, Counter()
+    for doc_id, text in rows:
+        found = ["▁" + w for w in (text or "").split()]
+        for word in set(found) - set(seen):
+            seen[word] = brute.unigram_tokens(word, scores, unknown)
+        out[doc_id, len(found), sum(seen[w] for w in found)] += 1
+    return out
+
+
 def test_token_counts_equal_plain_dynamic_programming(docs, pairs):
-    scores = token_counts.vocabulary()
-    unknown = min(scores.values()) - 10
     got = Counter(tuple(r) for r in token_counts.token_counts(docs, nodes=500).collect())
-    want, seen = Counter(), {}
-    for doc_id, text in pairs:
-        found = ["▁" + w for w in (text or "").split()]
-        for word in found:
-            if word not in seen:
-                cut = word if len(word) < 400 else None
-                seen[word] = brute.unigram_tokens(cut, scores, unknown) if cut else None
-        if all(seen[w] is not None for w in found):
-            want[doc_id, len(found), sum(seen[w] for w in found)] += 1
-    assert not want - got and sum(got.values()) == len(pairs)
+    assert got == plain_counts(pairs, token_counts.vocabulary())
+
+
+def test_op3_over_the_whole_table(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    got = Counter(map(tuple, registry.queries()["op3_token_counts"](spark, sf_dir).collect()))
+    assert got == plain_counts(map(tuple, table.collect()), token_counts.vocabulary())
+
+
+def test_op5_over_the_whole_table(spark, sf_dir, fresh_ids):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    at, want = 0, []
+    for doc_id, text in sorted(map(tuple, table.collect())):
+        ids = [*fresh_ids(text), 0]
+        want.append((doc_id, at, len(ids), crc(ids)))
+        at += len(ids)
+    got = registry.queries()["op5_token_records"](spark, sf_dir)
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_frequent_words_stay_whole():
+    trie = token_counts.Trie(token_counts.vocabulary())
+    for word in ("the", "information", "children", "people", "government", "history"):
+        assert trie.count("▁" + word) == 1
+
+
+def test_an_unbroken_text_takes_bounded_memory():
+    trie = token_counts.Trie(token_counts.vocabulary(), nodes=2000)
+    long = "".join(random.Random(1).choices("abcdefgh", k=60_000))
+    tracemalloc.start()
+    count = trie.count(long)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1_000_000 and len(trie.best) == 1 and not trie.ends
+    scores = token_counts.vocabulary()
+    assert count == brute.unigram_tokens(long, scores, min(scores.values()) - 10)
+    for k in range(200):
+        trie.count(long[100 * k : 100 * k + 200])
+        assert len(trie.best) <= 2000 + token_counts.LONG_WORD
+
+
+def test_equal_rows_are_spread_over_shards(spark):
+    docs = spark.range(40_000).selectExpr("cast(null AS long) AS doc_id", "'' AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = scratch_path(spark, "records-hot")
+        shards = records.write_records(docs.repartition(8), folder).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r.records for r in shards) == 40_000
+    assert len(shards) > 2 and max(r.records for r in shards) < 20_000
 
 
 def test_trie_shares_prefixes():
