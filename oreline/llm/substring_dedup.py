@@ -10,8 +10,9 @@ start earlier: in a document with a smaller id, or earlier in the same document.
    documents, and the first place of each that recurs is found. (Two different windows agree by
    chance once in 2**64 pairs.)
 3. Automata. Documents are dealt to shards of about ``shard_bytes`` of text. An Aho-Corasick
-   automaton is compiled for each shard from the passages that were confirmed among its documents,
-   and all documents of the shard are streamed through it, which locates every occurrence. Each
+   automaton is compiled for each shard from the passages that were confirmed among its documents
+   (but for those of which it has the first place alone), and all documents of the shard are
+   streamed through it, which locates every occurrence. Each
    document is read by one automaton, whatever the number of shards. A passage is a pattern of
    the hashes of its two ten-word halves; a document is read as ten streams of halves, one for
    each place at which a window may start. Occurrences are verified by the 64-bit hash.
@@ -50,6 +51,8 @@ SHARD_BYTES = 3_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _PASSAGE = "shard int, missing boolean, key long, start int, hash long, n long"
+# A passage's letters as one number.
+_PLACES = np.uint64(64) ** np.arange(LETTERS * HALVES, dtype=np.uint64)
 _KEPT = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
 
 
@@ -75,7 +78,8 @@ class Words:
         self.offsets = before[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         self.words = flat.filter(given)
         coded = self.words.dictionary_encode()
-        numbers = np.array([xxhash.xxh64_intdigest(w) for w in _slices(coded.dictionary)], np.uint64)
+        distinct = _slices(coded.dictionary)
+        numbers = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
         codes = coded.indices.to_numpy()
         self.numbers = numbers[codes] if len(codes) else np.empty(0, np.uint64)
         self.sizes = np.diff(self.offsets)
@@ -226,15 +230,31 @@ class _Automaton:
         found = run_hashes(numbers, self.half)[:, None] >> bits & np.uint64(63)
         return found.astype(np.uint8)
 
-    def add(self, letters: np.ndarray, starts: np.ndarray, passages: list[int]) -> None:
+    def add(self, letters: np.ndarray, starts: np.ndarray, passages: np.ndarray) -> None:
+        if not len(passages):
+            return
         both = np.concatenate([letters[starts + k * self.half] for k in range(HALVES)], axis=1)
-        text, size = both.tobytes().decode("ascii"), LETTERS * HALVES
-        for k, passage in enumerate(passages):
-            key = text[size * k : size * (k + 1)]
-            before = self.trie.get(key, -1)
-            if before >= 0:
-                self.alike[passage] = before
-            self.trie.add_word(key, passage)
+        size = LETTERS * HALVES
+        # Each text once, with the first passage that is written so; the others hang on it.
+        order = np.argsort(both.astype(np.uint64) @ _PLACES, kind="stable")
+        sorted_ = both[order]
+        same = np.concatenate([[False], (sorted_[1:] == sorted_[:-1]).all(axis=1)])
+        ranked = passages[order]
+        self.alike[ranked[:-1][same[1:]]] = ranked[1:][same[1:]]
+        first = order[~same]
+        text, add = both[first].tobytes().decode("ascii"), self.trie.add_word
+        get = self.trie.get if len(self.trie) else None
+        for at, passage in zip(range(0, len(text), size), passages[first].tolist(), strict=True):
+            key = text[at : at + size]
+            if get and (before := get(key, -1)) >= 0:
+                self.alike[self._last(passage)] = before
+            add(key, passage)
+
+    def _last(self, passage: int) -> int:
+        """The end of a chain."""
+        while self.alike[passage] >= 0:
+            passage = self.alike[passage]
+        return passage
 
     def find(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and passage of each occurrence; one stream for each place a window can start at."""
@@ -263,11 +283,11 @@ def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     letters = automaton.letters(words.numbers)
     home = np.full(len(hashes), -1)  # the document that keeps the passage, if it is in this shard
     todo = np.arange(len(hashes))
-    for turn in _rows_by_key(docs, passages):  # one, unless rows share an id
+    for turn in _rows_by_key(docs, passages, number):  # one, unless rows share an id
         places = words.offsets[turn[todo]] + starts[todo]
         here = (turn[todo] >= 0) & (places < len(windows))
         here[here] = fits[places[here]] & (windows[places[here]] == hashes[todo[here]])
-        automaton.add(letters, places[here], todo[here].tolist())
+        automaton.add(letters, places[here], todo[here])
         home[todo[here]] = np.where(is_first[todo[here]], number[turn[todo[here]]], -1)
         todo = todo[~here]
     gone = np.zeros(len(words.numbers) + 1, np.int64)
@@ -303,16 +323,26 @@ def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     )
 
 
-def _rows_by_key(docs: pa.Table, passages: pa.Table) -> Iterator[np.ndarray]:
+def _rows_by_key(docs: pa.Table, passages: pa.Table, number: np.ndarray) -> Iterator[np.ndarray]:
     """For each passage the first row with its id, then the second, and so on; -1 if there is none."""
-    keys = list(zip(docs.column("missing").to_pylist(), docs.column("key").to_pylist(), strict=True))
-    rows: dict[tuple, list[int]] = {}
-    for i, key in enumerate(keys):
-        rows.setdefault(key, []).append(i)
-    wanted = zip(passages.column("missing").to_pylist(), passages.column("key").to_pylist(), strict=True)
-    of_passage = [rows[key] for key in wanted]
-    for turn in range(max(map(len, rows.values()), default=0)):
-        yield np.array([r[turn] if turn < len(r) else -1 for r in of_passage], np.int64)
+    by_number = np.argsort(number, kind="stable")
+    sizes = np.bincount(number)
+    starts = np.cumsum(sizes) - sizes
+    firsts = by_number[starts]  # a row of each document, documents in order
+    missing = docs.column("missing").to_numpy().astype(bool)[firsts]
+    keys = docs.column("key").to_numpy()[firsts]
+    known = int((~missing).sum())
+    wanted, lost = (passages.column(c).to_numpy() for c in ("key", "missing"))
+    document = np.where(
+        lost.astype(bool),
+        known + np.searchsorted(keys[known:], wanted),
+        np.searchsorted(keys[:known], wanted),
+    )
+    for turn in range(int(sizes.max(initial=0))):
+        there = turn < sizes[document]
+        rows = np.full(len(document), -1)
+        rows[there] = by_number[starts[document[there]] + turn]
+        yield rows
 
 
 def substring_dedup(
@@ -351,13 +381,15 @@ def substring_dedup(
     )
     released(recurring)
     same, place = Window.partitionBy("hash"), F.struct("missing", "key")
+    # A passage of which a shard has the first place and no other occurrence takes nothing there.
     confirmed = stored(
         candidates.withColumn("first", F.min(place).over(same))
-        .withColumn("n", F.sum("n").over(same))
-        .where("n >= 2")
-        .select("shard", "missing", "key", "start", "hash", (place == F.col("first")).alias("is_first")),
+        .withColumn("all", F.sum("n").over(same))
+        .withColumn("is_first", place == F.col("first"))
+        .where("all >= 2 AND NOT (is_first AND n = 1)")
+        .select("shard", "missing", "key", "start", "hash", "is_first"),
         "confirmed",
-    )
+    )
     released(candidates)
 
     def strip(left: pa.Table, right: pa.Table) -> pa.Table:
