@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -31,13 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.llm.common import stored
-from oreline.llm.tokens import BYTE_BPE, Encoder, Known, encode_units, text_runs
+from oreline.llm.tokens import BYTE_BPE, Encoder, Known, encode_units, little, text_runs
 
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 # Different id pairs up to which their counts are broadcast: 24 bytes each.
 BROADCAST_PAIRS = 2_000_000
 # Characters that are aligned in one go.
-RUN_CHARS = 2_000_000
+RUN_CHARS = 3_000_000
 
 _SPACE_PIECE = "▁"
 
@@ -80,7 +81,7 @@ class Pair:
     def _learn(self, units: list[str]) -> list[bytes]:
         """B puts a space before what it is given, so the unit's own one is left out."""
         found = self.b.encode([u[1:] for u in units], num_threads=1)
-        return [np.array(ids, "<u4").tobytes() for ids in found]
+        return [little(array("I", ids)) for ids in found]
 
     def ids_b(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.cuts:
@@ -147,7 +148,7 @@ class Aligned:
             found = _common(*(self._of(reach[side], side, k) for side in (0, 1))) if sound else ()
             counts.append(len(found[0]) if found else 0)
             if found:
-                cuts.append([np.array(found[side]) + self.ends[side][k] for side in (0, 1)])
+                cuts.append([found[side] + self.ends[side][k] for side in (0, 1)])
         none = np.zeros(0, np.int64)
         self.cuts = [np.concatenate([none, *(c[side] for c in cuts)]) for side in (0, 1)]
         self.groups = np.concatenate([[0], np.cumsum(counts)])
@@ -192,12 +193,13 @@ class Aligned:
         return [bytes(text[a : b - 1]) for a, b in itertools.pairwise(ends)]
 
 
-def _common(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+def _common(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Indices of A's and of B's tokens that end together, in order."""
     index_a = dict(zip(ends_a, range(len(ends_a)), strict=True))
     index_b = dict(zip(ends_b, range(len(ends_b)), strict=True))
     common = sorted(index_a.keys() & index_b.keys())
-    return list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
+    a, b = (map(index.__getitem__, common) for index in (index_a, index_b))
+    return np.fromiter(a, np.int64, len(common)), np.fromiter(b, np.int64, len(common))
 
 
 @lru_cache(maxsize=1)

@@ -53,17 +53,15 @@ class Known:
 
     def all_of(self, units: list[str], learn: Callable[[list[str]], list[bytes]]) -> list[bytes]:
         """Ids of different units; those not known are learnt."""
-        found = list(map(self.new.get, units))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        for k in missing:
-            found[k] = self.old.get(units[k])
-        unknown = [k for k in missing if found[k] is None]
-        for k, ids in zip(unknown, learn([units[k] for k in unknown]), strict=True):
-            found[k] = ids
-        for k in missing:
-            self.new[units[k]] = found[k]
-            self.held += len(units[k])
-        return found
+        new, old = self.new, self.old
+        missing = [u for u in units if u not in new]
+        self.held += sum(map(len, missing))
+        if old:
+            again = [u for u in missing if u in old]
+            new.update(zip(again, map(old.__getitem__, again), strict=True))
+            missing = [u for u in missing if u not in old]
+        new.update(zip(missing, learn(missing), strict=True))
+        return list(map(new.__getitem__, units))
 
 
 class Encoder:
@@ -84,7 +82,7 @@ class Encoder:
         if not special:
             self.tokenizer.encode_special_tokens = True
         added = self.tokenizer.get_added_tokens_decoder() if special else {}
-        self.special = {t.content: _little(array("I", [i])) for i, t in added.items()}
+        self.special = {t.content: little(array("I", [i])) for i, t in added.items()}
         longest = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.special_cut = re.compile(f"({'|'.join(longest)})")
         # Special tokens that take in spaces, or are only found as words, are left to the library.
@@ -99,14 +97,14 @@ class Encoder:
             unit = unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
         elif unit[0] == " ":
             unit = _SPACE_LETTER + unit[1:]
-        return _little(array("I", [t.id for t in self.tokenizer.model.tokenize(unit)]))
+        return little(array("I", [t.id for t in self.tokenizer.model.tokenize(unit)]))
 
     def _learn(self, units: list[str]) -> list[bytes]:
         words = [u.removeprefix(" ").isalpha() for u in units]
         rest = [u for u, word in zip(units, words, strict=True) if not word]
         found = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
         return [
-            self._word(u) if word else _little(array("I", next(found).ids))
+            self._word(u) if word else little(array("I", next(found).ids))
             for u, word in zip(units, words, strict=True)
         ]
 
@@ -253,7 +251,7 @@ def _merged(mine: np.ndarray, yes: tuple, no: tuple) -> tuple[np.ndarray, np.nda
     return _laid(parts)
 
 
-def _little(ids: array) -> bytes:
+def little(ids: array) -> bytes:
     if sys.byteorder == "big":
         ids.byteswap()
     return ids.tobytes()
