@@ -1,14 +1,14 @@
 """Sums, means and rates whose result does not depend on the order of addition.
 
-A double is split into whole numbers, each of which counts units of one size: 2**30 (only for values
-beyond 2**33), ``10**-places``, 1e-10 and 1e-18. Each kind is summed as 64-bit integers, so figures
-do not change with partitioning, retries or skew, and a sum runs in a hash aggregate at about the
-speed of a double sum. ``places`` only says where most values end, so that the finer units are zero.
-What is left below 1e-18 is summed as a double; what lies below the fifteenth digit of a value, all
-that a double holds of a decimal, is not counted. Rounding is done on the result.
+A double is split into whole numbers of two units, ``10**-places`` and 1e-10, which are summed as
+64-bit integers, and what is finer, which is summed as a decimal with 28 places; it is NULL for most
+values and costs them nothing. So figures do not change with partitioning, retries or skew, and a sum
+runs in a hash aggregate at about the speed of a double sum. ``places`` only says where most values
+end, so that the finer units are zero. What lies below the fifteenth digit of a value, all that a
+double holds of a decimal, is not counted. Rounding is done on the result.
 
-Infinite values, those beyond 2**83, and sums of units beyond 64 bits stop no job: such a group gets
-the plain double sum.
+Infinite values, those whose units leave 62 bits, and sums of units beyond 64 bits stop no job: such a
+group gets the plain double sum.
 
 Measures are declared before an aggregate, so that a value is split once for its sum and its mean::
 
@@ -26,11 +26,18 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FINE, FINEST = 10, 18
-_HUGE_UNIT = float(2**30)
-_HUGE, _SPLIT_BELOW = float(2**33), float(2**83)
+FINE = 10
+_FINEST = "decimal(38,28)"
+_MOST_UNITS = float(2**62)
 _PRECISION = 2.0**-50
 _UNITS_BELOW = 1e13
+# Added to the finer rest for a value that has no units: far more than all rests together.
+_NO_UNITS = Decimal(10**9)
+
+
+def not_split() -> Column:
+    """The finer rest of what has no units."""
+    return F.lit(_NO_UNITS).cast(_FINEST)
 
 
 def known(value: Column) -> Column:
@@ -43,62 +50,52 @@ def units(value: Column, places: int) -> Column:
     return F.when(F.abs(value) < _UNITS_BELOW, F.rint(value * 10.0**places)).cast("bigint")
 
 
-def _split(value: Column, places: int, let: Callable[[str, Column], Column]) -> dict[str, Column]:
-    """Whole numbers of each unit in a value. ``let`` names what is used more than once."""
-    scale = F.lit(10.0**places)
-    v = let("v", known(value.cast("double")))
-    huge = F.when(
-        (F.abs(v) >= _HUGE) & (F.abs(v) < _SPLIT_BELOW), F.rint(v / _HUGE_UNIT)
-    ).otherwise(0.0)
-    h = let("h", F.when(v.isNotNull(), huge.cast("bigint")))
-    rest = let("w", F.when(F.abs(v) < _SPLIT_BELOW, v - h * _HUGE_UNIT))
-    u = let("u", F.rint(rest * scale).cast("bigint"))
-    left = let("l", rest - u / scale)
-    r = let("r", F.rint(left * 10.0**FINE).cast("bigint"))
-    tiny = let("t", left - r / 10.0**FINE)
+def _split(
+    value: Column, places: int, let: Callable[[int, str, Column], Column]
+) -> dict[str, Column]:
+    """Parts of a value. ``let`` names what is used more than once, layer by layer."""
+    value, scale = value.cast("double"), F.lit(10.0**places)
+    v = let(0, "v", known(value))
+    u = let(0, "u", F.when(F.abs(value) * scale < _MOST_UNITS, F.rint(value * scale)).cast("bigint"))
+    left = let(1, "l", v - u / scale)
+    fine = F.rint(left * 10.0**FINE)
+    tiny = left - fine / 10.0**FINE
     # Less than the value's own precision is noise of its decimals.
-    real = F.abs(tiny) > F.abs(v) * _PRECISION
-    f = let("f", F.when(real, F.rint(tiny * 10.0**FINEST)).otherwise(0.0).cast("bigint"))
-    dust = tiny - f / 10.0**FINEST
-    d = F.when(F.abs(dust) > F.abs(v) * _PRECISION, dust).otherwise(0.0)
-    return {"v": v, "u": u, "r": r, "h": h, "f": f, "d": let("d", d)}
+    rest = F.when(F.abs(tiny) > F.abs(v) * _PRECISION, tiny.cast(_FINEST))
+    rest = rest.when(v.isNotNull() & u.isNull(), not_split())
+    return {"v": v, "u": u, "r": let(2, "r", fine.cast("bigint")), "t": let(2, "t", rest)}
 
 
 @dataclass(frozen=True)
 class Totals:
-    """What has been summed of a measure: units of each kind, how many values, the plain sum."""
+    """What has been summed of a measure: both units, the finer rest, values, the plain sum."""
 
     places: int
     u: Column
     r: Column
-    h: Column
-    f: Column
-    d: Column
+    t: Column
     values: Column
-    split: Column
     plain: Column
 
-    def _sound(self) -> Column:
-        """All values were split, and no sum went beyond 64 bits."""
-        whole = self.u.isNotNull() & self.r.isNotNull() & self.h.isNotNull() & self.f.isNotNull()
-        return (self.values == self.split) & whole
+    def _main(self) -> Column:
+        """The sum of both units; NULL if it left 64 bits."""
+        whole = self.u.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-self.places))
+        return whole + self.r.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-FINE))
 
     def decimal(self) -> Column:
         """The sum as a decimal with ten places; NULL where it holds more, or has no values."""
-        whole = self.u.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-self.places))
-        rest = self.r.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-FINE))
-        plain = (self.h == 0) & (self.f == 0) & (self.d == 0)
-        return F.when(self._sound() & plain, whole + rest)
+        return F.when(self.t.isNull(), self._main())
 
     def double(self) -> Column:
         """The sum as a double; NULL when there are no values."""
-        # Beyond ten places the whole numbers are read as one, which rounds once.
-        units = self.u.cast("decimal(19,0)") * F.lit(Decimal(10 ** (FINEST - self.places)))
-        rest = self.r.cast("decimal(19,0)") * F.lit(Decimal(10 ** (FINEST - FINE)))
-        digits = (units + rest + self.f.cast("decimal(19,0)")).cast("string")
-        small = F.concat(digits, F.lit(f"E-{FINEST}")).cast("double") + self.d
-        total = F.coalesce(self.decimal().cast("double"), self.h * _HUGE_UNIT + small)
-        return F.when(self._sound(), total).otherwise(self.plain)
+        main = self._main()
+        finer = F.coalesce(
+            (main.try_cast(_FINEST) + self.t).cast("double"),
+            main.cast("double") + self.t.cast("double"),
+        )
+        finer = F.when(F.abs(self.t) < _NO_UNITS / 10, finer)
+        total = F.when(self.t.isNull(), main.cast("double")).otherwise(finer)
+        return F.coalesce(total, self.plain)
 
     def mean(self, digits: int) -> Column:
         """The mean rounded half up to ``digits``; NULL when there are no values."""
@@ -123,17 +120,16 @@ class Exact:
     def __init__(self, places: int, parts: dict[str, Column]):
         self.places, self.parts = places, parts
 
-    def totals(self, over: Callable[[Column], Column] = lambda c: c) -> Totals:
-        """``over`` puts each sum over a window."""
-        p = self.parts
-        return self.of({k: over(c) for k, c in self.sums().items()})
+    def totals(self) -> Totals:
+        return self.of(self.sums())
 
     def sums(self) -> dict[str, Column]:
         """The aggregates that totals are made of, by name."""
         p = self.parts
-        whole = {k: F.try_sum(p[k]) for k in ("u", "r", "h", "f")}
-        doubles = {"d": F.sum(p["d"]), "plain": F.sum(p["v"])}
-        return whole | doubles | {"values": F.count(p["v"]), "split": F.count(p["u"])}
+        return {
+            "u": F.try_sum(p["u"]), "r": F.try_sum(p["r"]), "t": F.sum(p["t"]),
+            "values": F.count(p["v"]), "plain": F.sum(p["v"]),
+        }
 
     def of(self, sums: dict[str, Column]) -> Totals:
         return Totals(self.places, **sums)
@@ -152,18 +148,15 @@ class Sums:
     """Measures of one aggregate. Each value is split once, in columns added by :meth:`over`."""
 
     def __init__(self):
-        self._layers: list[dict[str, Column]] = []
+        self._layers: list[dict[str, Column]] = [{}, {}, {}]
         self._measures = 0
 
     def of(self, value: Column, places: int) -> Exact:
         number, self._measures = self._measures, self._measures + 1
-        layer = iter(range(100))
 
-        def let(name: str, column: Column) -> Column:
-            at, named = next(layer), f"_x{number}_{name}"
-            if at == len(self._layers):
-                self._layers.append({})
-            self._layers[at][named] = column
+        def let(layer: int, name: str, column: Column) -> Column:
+            named = f"_x{number}_{name}"
+            self._layers[layer][named] = column
             return F.col(named)
 
         return Exact(places, _split(value, places, let))
@@ -176,7 +169,7 @@ class Sums:
 
 def exact(value: Column, places: int) -> Exact:
     """A measure by itself, where no columns can be added before the aggregate."""
-    return Exact(places, _split(value, places, lambda _, column: column))
+    return Exact(places, _split(value, places, lambda _, __, column: column))
 
 
 def per_count(total: Column, count: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from oreline.functions.exact import Sums
+from oreline.functions.exact import Sums, not_split
 
 # Slots of a running total. Each is the work of one task.
 SLOTS = 256
@@ -50,6 +50,8 @@ def running_total(
     sums_of = {f"_s_{name}": c for name, c in measure.sums().items()}
     # A hot time is the last one of its slot. One row per slot and kind, twice ``slots`` at most.
     each = rows.groupBy("_slot", "_hot").agg(*[c.alias(name) for name, c in sums_of.items()])
+    lost = (F.col("_s_values") > 0) & (F.col("_s_u").isNull() | F.col("_s_r").isNull())
+    each = each.withColumn("_s_t", F.when(lost, not_split()).otherwise(F.col("_s_t")))
     order = W.orderBy("_slot", "_hot")
     keys = ["_slot", "_hot"]
 
@@ -69,17 +71,19 @@ def running_total(
     same = same.join(F.broadcast(so_far(0).where("_hot").drop("_hot")), "_slot")
 
     def both(name: str) -> Column:
-        """NULL sums are those of no values."""
-        return F.coalesce(name, F.lit(0)) + F.coalesce(f"{name}_", F.lit(0))
+        """NULL sums are those of no values, but for whole numbers that left 64 bits."""
+        before, own = F.col(name), F.col(f"{name}_")
+        if name in ("_s_u", "_s_r"):
+            before = F.when(F.coalesce("_s_values", F.lit(0)) > 0, before).otherwise(0)
+            return F.try_add(before, F.when(F.col("_s_values_") > 0, own).otherwise(0))
+        return F.coalesce(before + own, before, own)
 
-    return cold.select(*df.columns, result(both)).unionByName(
-        same.select(*df.columns, result(lambda name: F.coalesce(name, F.lit(0))))
-    )
+    return cold.select(*df.columns, result(both)).unionByName(same.select(*df.columns, result(F.col)))
 
 
 def _sum_of(name: str) -> Callable[[str], Column]:
-    """Whole numbers that leave 64 bits are NULL; doubles just go on."""
-    return F.sum if name in ("_s_d", "_s_plain") else F.try_sum
+    """Whole numbers that leave 64 bits are NULL; the others just go on."""
+    return F.sum if name in ("_s_t", "_s_plain") else F.try_sum
 
 
 def _slot(value: Column, marks: Sequence[int]) -> Column:

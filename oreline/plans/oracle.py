@@ -624,9 +624,9 @@ def oracle_sql() -> dict[str, str]:
         "fine_measure_totals": _with(_TRIPS, """
             SELECT trip_status, CAST(SUM(4 * (1 + trip_id % 5)) AS DOUBLE) / 1e11 AS tiny_sum,
               CAST(SUM(4 * (1 + trip_id % 5)) AS DOUBLE) / 1e11 / COUNT(*) AS tiny_mean,
-              CAST(SUM(CASE trip_id % 4 WHEN 1 THEN 120000000000000 WHEN 2 THEN 1 ELSE 0 END)
+              CAST(SUM(CASE trip_id % 4 WHEN 1 THEN 1200000000000 WHEN 2 THEN 1 ELSE 0 END)
                 AS DOUBLE) / 4 AS spread_sum,
-              CAST(SUM(CASE trip_id % 4 WHEN 1 THEN 120000000000000 WHEN 2 THEN 1 ELSE 0 END)
+              CAST(SUM(CASE trip_id % 4 WHEN 1 THEN 1200000000000 WHEN 2 THEN 1 ELSE 0 END)
                 AS DOUBLE) / 4 / COUNT(*) FILTER (trip_id % 4 < 3) AS spread_mean
             FROM trips GROUP BY trip_status"""),
         "landing_reload": _with(_TRIPS, """

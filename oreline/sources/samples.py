@@ -76,7 +76,7 @@ _FINE = {
     ),
     # Far below the cent, and of all sizes.
     "tiny": "4e-11D * (1 + o_orderkey % 5)",
-    "spread": "CASE o_orderkey % 4 WHEN 0 THEN 4e-11D WHEN 1 THEN 3e13D WHEN 2 THEN 0.25D END",
+    "spread": "CASE o_orderkey % 4 WHEN 0 THEN 4e-11D WHEN 1 THEN 3e11D WHEN 2 THEN 0.25D END",
     "rating": f"{_RATING} + cast(o_orderkey % 7 AS double) / 100000",
 }
 # As it arrives: times are text, some of it bad or empty.
