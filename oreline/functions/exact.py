@@ -30,6 +30,7 @@ FINE = 10
 _FINEST = "decimal(38,28)"
 _MOST_UNITS = float(2**62)
 _PRECISION = 2.0**-50
+_SMALL = 1e-6
 _UNITS_BELOW = 1e13
 # Added to the finer rest for a value that has no units: far more than all rests together.
 _NO_UNITS = Decimal(10**9)
@@ -58,7 +59,8 @@ def _split(
     v = let(0, "v", known(value))
     u = let(0, "u", F.when(F.abs(value) * scale < _MOST_UNITS, F.rint(value * scale)).cast("bigint"))
     left = let(1, "l", v - u / scale)
-    fine = F.rint(left * 10.0**FINE)
+    # A small value is kept whole: as a decimal it is exact, the rest of a division is not.
+    fine = F.when(F.abs(v) < _SMALL, 0.0).otherwise(F.rint(left * 10.0**FINE))
     tiny = left - fine / 10.0**FINE
     # Less than the value's own precision is noise of its decimals.
     rest = F.when(F.abs(tiny) > F.abs(v) * _PRECISION, tiny.cast(_FINEST))

@@ -75,7 +75,10 @@ _FINE = {
         "+ CASE WHEN o_orderkey % 3 = 0 THEN 0.004 ELSE 0.0 END"
     ),
     # Far below the cent, and of all sizes.
-    "tiny": "4e-11D * (1 + o_orderkey % 5)",
+    "tiny": (
+        "CASE o_orderkey % 5 WHEN 0 THEN 4e-11D WHEN 1 THEN 8e-11D WHEN 2 THEN 1.2e-10D "
+        "WHEN 3 THEN 1.6e-10D ELSE 2e-10D END"
+    ),
     "spread": "CASE o_orderkey % 4 WHEN 0 THEN 4e-11D WHEN 1 THEN 3e11D WHEN 2 THEN 0.25D END",
     "rating": f"{_RATING} + cast(o_orderkey % 7 AS double) / 100000",
 }
