@@ -3,38 +3,101 @@
 A conversation is rendered once for every participant (role): that speaker's turns are the
 assistant's, all others are users with a name. Beside the text stands its mask as runs: how many
 characters come next, and whether they are trained on. The speaker's own words and the end mark
-after them are; headers and all other turns are not.
+after them are; headers and all other turns are not. Roles that do not speak (``silent``, by default
+``system``) have a header of their own, are never trained on and get no perspective.
 
-A long conversation is rendered in segments of 256 turn numbers; the segments of a perspective in
-order are its dialogue. A segment is one row, as the query's SQL has it, so its length is bounded only
-where turn numbers are distinct: rows that repeat a turn number, have none, or have no conversation
-id all stand in the row of their segment. Turns and participants meet in a join that the adaptive
-skew join may split.
+A conversation is rendered in segments of ``segment_turns`` rows (256; None leaves it whole); the
+segments of a perspective in order are its dialogue. Rows are cut by their number, so no row of the
+result holds more, whatever ids and turn numbers say. They are numbered without gathering a
+conversation: equal rows are folded to a count, the counts are sorted by range, each range is summed
+per conversation, and a row's number is its place in its range behind the ranges before it. Turns
+and participants meet in a join that the adaptive skew join may split.
+
+Marks cannot be forged: a backslash is put into every ``<|`` of a text or role, and every ``|>`` of a
+role (one more into those that have some, so it can be undone).
 
 Defined results: turns are ordered by turn number, role and text, missing ones first, so ties and
-repeated rows all stay; a missing role is the participant ``unknown``, missing text is empty; turns
-without a number form the first segment, -1; rows without a conversation id form one conversation;
-an empty table gives an empty result; other columns are not read.
+repeated rows all stay; a missing role is the participant ``unknown``, missing text is empty; rows
+without a conversation id form one conversation; a conversation in which only silent roles speak, and
+an empty table, give no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from oreline.llm.common import stored
+
 SEGMENT_TURNS = 256
 UNKNOWN = "unknown"
+SILENT = ("system",)
 END = "<|end|>\n"
 
+_ROW = ("turn", "role", "text")
+
+
+def _escaped(text: Column) -> Column:
+    return F.regexp_replace(text, r"<(\\*\|)", r"<\\$1")
+
+
+def _name(role: Column) -> Column:
+    return F.regexp_replace(_escaped(role), r"(\|\\*)>", r"$1\\>")
+
 
-def _header(role: Column, speaker: Column) -> Column:
-    user = F.concat(F.lit("<|user name="), role, F.lit("|>\n"))
-    return F.when(role == speaker, F.lit("<|assistant|>\n")).otherwise(user)
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Distinct rows with how often they occur (``n``) and the number of the first (``at``, from 0)."""
+    counted = rows.groupBy("conv_id", *_ROW).agg(F.count("*").alias("n"))
+    # Written, so that a lost executor cannot deal the ranges anew.
+    ranges = stored(
+        counted.repartitionByRange("conv_id", *_ROW).withColumn("part", F.spark_partition_id()),
+        "turn-ranges",
+    )
+    parts = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        ranges.groupBy("conv_id", "part").agg(F.sum("n").alias("rows"))
+        .select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"),
+                F.coalesce(F.sum("rows").over(parts), F.lit(0)).alias("base"))
+    )
+    inside = (
+        Window.partitionBy("conv_id", "part").orderBy(*_ROW)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    here = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part"))
+    placed = ranges.withColumn("at", F.sum("n").over(inside) - F.col("n")).join(before, here)
+    return placed.select("conv_id", *_ROW, "n", (F.col("at") + F.col("base")).alias("at"))
+
+
+def _segments(rows: DataFrame, segment_turns: int | None) -> DataFrame:
+    """conv_id, segment, turns: the rows of each segment in order."""
+    placed = _numbered(rows)
+    if segment_turns is None:
+        cut = placed.withColumn("segment", F.lit(0).cast("long")).withColumn("times", F.col("n"))
+    else:
+        size, last = F.lit(segment_turns), F.col("at") + F.col("n") - 1
+        cut = placed.withColumn(
+            "segment",
+            F.explode(F.sequence(F.floor(F.col("at") / size), F.floor(last / size))),
+        ).withColumn(
+            "times",
+            F.least(F.col("at") + F.col("n"), (F.col("segment") + 1) * size)
+            - F.greatest(F.col("at"), F.col("segment") * size),
+        )
+    listed = F.sort_array(F.collect_list(F.struct("at", "role", "text", "times")))
+    repeated = F.transform(
+        listed, lambda t: F.array_repeat(
+            F.struct(t.role.alias("role"), t.text.alias("text")), t.times.cast("int")
+        )
+    )
+    return cut.groupBy("conv_id", "segment").agg(F.flatten(repeated).alias("turns"))
 
 
 def perspectives(
     turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-    text_col: str = "text", segment_turns: int = SEGMENT_TURNS,
+    text_col: str = "text", segment_turns: int | None = SEGMENT_TURNS,
+    silent: Sequence[str] = SILENT,
 ) -> DataFrame:
     """conv_id, speaker, segment, n_turns, text, mask (runs of trained, chars)."""
     rows = turns.select(
@@ -42,26 +105,33 @@ def perspectives(
         F.col(turn_col).cast("long").alias("turn"),
         F.coalesce(F.col(role_col), F.lit(UNKNOWN)).alias("role"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    ).withColumn("segment", F.coalesce(F.floor(F.col("turn") / segment_turns), F.lit(-1)))
-    segments = rows.groupBy("conv_id", "segment").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
     )
-    speakers = rows.select(F.col("conv_id").alias("_conv"), F.col("role").alias("speaker")).distinct()
-    both = segments.join(speakers, F.col("conv_id").eqNullSafe(F.col("_conv")))
+    speakers = rows.where(~F.col("role").isin(*silent)) if silent else rows
+    speakers = speakers.select(F.col("conv_id").alias("_conv"), F.col("role").alias("speaker"))
+    both = _segments(rows, segment_turns).join(
+        speakers.distinct(), F.col("conv_id").eqNullSafe(F.col("_conv"))
+    )
     speaker = F.col("speaker")
 
+    def header(role: Column) -> Column:
+        user = F.concat(F.lit("<|user name="), _name(role), F.lit("|>\n"))
+        own = F.when(role == speaker, F.lit("<|assistant|>\n"))
+        if silent:
+            own = own.when(role.isin(*silent), F.concat(F.lit("<|"), _name(role), F.lit("|>\n")))
+        return own.otherwise(user)
+
     def rendered(t: Column) -> Column:
-        return F.concat(_header(t.role, speaker), t.text, F.lit(END))
+        return F.concat(header(t.role), _escaped(t.text), F.lit(END))
 
     def mask(t: Column) -> Column:
         return F.array(
             F.struct(
                 F.lit(False).alias("trained"),
-                F.char_length(_header(t.role, speaker)).alias("chars"),
+                F.char_length(header(t.role)).alias("chars"),
             ),
             F.struct(
                 (t.role == speaker).alias("trained"),
-                (F.char_length(t.text) + len(END)).alias("chars"),
+                (F.char_length(_escaped(t.text)) + len(END)).alias("chars"),
             ),
         )
 

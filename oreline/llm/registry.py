@@ -76,25 +76,32 @@ SELECT doc_id,
        doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept,
        text_sha256
 FROM t""",
-    "op2_chat_perspectives": """
-WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-         coalesce(CAST(floor(turn / 256) AS BIGINT), -1) AS segment
+    "op2_chat_perspectives": r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
   FROM conversations
 ),
-speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t),
+t AS (
+  SELECT conv_id, role,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place,
+         regexp_replace(
+           regexp_replace(role, '<(\\*\|)', '<\\\1', 'g'), '(\|\\*)>', '\1\\>', 'g') AS name,
+         regexp_replace(text, '<(\\*\|)', '<\\\1', 'g') AS text
+  FROM given
+),
+speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
 r AS (
-  SELECT t.*, speaker,
+  SELECT t.conv_id, speaker, place, place // 256 AS segment,
          CASE WHEN role = speaker THEN '<|assistant|>' || chr(10)
-              ELSE '<|user name=' || role || '|>' || chr(10) END AS header,
+              WHEN role = 'system' THEN '<|system|>' || chr(10)
+              ELSE '<|user name=' || name || '|>' || chr(10) END AS header,
          text || '<|end|>' || chr(10) AS body,
          CASE WHEN role = speaker THEN '1:' ELSE '0:' END AS own
   FROM t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 )
 SELECT conv_id, speaker, segment, CAST(count(*) AS INTEGER) AS n_turns,
-       string_agg(header || body, '' ORDER BY turn NULLS FIRST, role, text) AS text,
-       string_agg('0:' || length(header) || ',' || own || length(body), ','
-                  ORDER BY turn NULLS FIRST, role, text) AS mask
+       string_agg(header || body, '' ORDER BY place) AS text,
+       string_agg('0:' || length(header) || ',' || own || length(body), ',' ORDER BY place) AS mask
 FROM r GROUP BY conv_id, speaker, segment""",
 }
 
