@@ -6,15 +6,21 @@ sent to every task, and each document looks its own five-word runs up as it is r
 shuffled. Blocks hold at most ``block_words`` words; a benchmark of several blocks takes one pass
 over the documents for each.
 
+Seeds that many items share do not set off a tiling each: how much of an item its shared seeds could
+cover is counted for all items of the block at once, and only items that can reach the threshold are
+tiled, best first, until no other can be better.
+
 Tiling: the longest matches of unmarked words that do not overlap are marked first, then shorter
 ones, down to five words. Matches of a length are found by comparing rolling Karp-Rabin hashes of
 both sides, verified word by word and extended. Tiles may stand in any order, so passages that have
 been rearranged are found too. A document is contaminated if the tiles cover at least 0.8 of an
-item's words.
+item's words. With ``longest`` one tile of that many words is enough too, whatever its share of a long
+item.
 
-Defined results: missing or empty texts match nothing; items of fewer than five words have no seed
-and match nothing; of equally covered items the one that comes first by id is named; repeated rows
-and ids are judged row by row; other columns are not read.
+Defined results: missing or empty texts match nothing, nor do items without words; items of fewer than
+five words have no seed and are found in documents that consist of just their words; of equally
+covered items the one that comes first by id is named; repeated rows and ids are judged row by row; an
+empty table of documents gives no rows, an empty benchmark finds nothing; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreline.llm.common import fresh_name, stored
+from oreline.llm.common import fresh_name, released, stored
 
 SEED_WORDS = 5
 COVERAGE = 0.8
@@ -40,7 +46,7 @@ BLOCK_WORDS = 500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BARE = re.compile(r"\w+(?:\W+\w+)*")
 _KNOWN_WORDS = 300_000
-_FOUND = "item_id long, coverage double, matched_words int, tiles int"
+_FOUND = "item_id long, coverage double, matched_words int, tiles int, longest int"
 
 
 class _Numbers:
@@ -133,47 +139,98 @@ class Items:
     ids: list
     words: list[np.ndarray]
     seeds: np.ndarray  # sorted
-    owners: np.ndarray  # item of each seed
-    places: np.ndarray  # its place in the item
+    places: np.ndarray  # the place of each seed among the words of all items
+    owners: np.ndarray  # item of each of these words
+    sizes: np.ndarray  # words of each item
+    short: dict[bytes, int]  # items without seeds: their words to the first of them
 
     @classmethod
     def of(cls, rows: list[tuple], shortest: int = SEED_WORDS) -> Items:
         numbers = _Numbers()
-        words = [numbers(text or "") for _, text in rows]
+        return cls.numbered([i for i, _ in rows], [numbers(text or "") for _, text in rows], shortest)
+
+    @classmethod
+    def numbered(cls, ids: list, words: list[np.ndarray], shortest: int = SEED_WORDS) -> Items:
         seeds = [rolling(w, shortest) for w in words]
         flat = np.concatenate([*seeds, np.empty(0, np.uint64)])
-        owners = np.repeat(np.arange(len(rows)), [len(s) for s in seeds])
-        places = np.concatenate([*(np.arange(len(s)) for s in seeds), np.empty(0, np.int64)])
+        sizes = np.array([len(w) for w in words], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        places = np.concatenate(
+            [*(at + np.arange(len(s)) for at, s in zip(starts, seeds, strict=True)), np.empty(0)]
+        ).astype(np.int64)
         order = np.argsort(flat, kind="stable")
-        return cls([i for i, _ in rows], words, flat[order], owners[order], places[order].astype(int))
-
-    def candidates(self, text: np.ndarray, shortest: int = SEED_WORDS) -> dict[int, tuple]:
-        """Per item that shares seeds with the text: places in the item, places in the text."""
+        short: dict[bytes, int] = {}
+        for k in np.flatnonzero((sizes > 0) & (sizes < shortest)).tolist():
+            short.setdefault(words[k].tobytes(), k)
+        return cls(
+            ids, words, flat[order], places[order],
+            np.repeat(np.arange(len(words)), sizes), sizes, short,
+        )
+
+    def candidates(
+        self, text: np.ndarray, least: float, longest: int | None = None, shortest: int = SEED_WORDS
+    ) -> list[tuple[float, int, np.ndarray]]:
+        """(bound of the coverage, item, places in the text of its seeds), most first.
+
+        Tiles consist of shared seeds, so what the seeds of an item cover is a bound for its tiles.
+        """
         hashes = rolling(text, shortest)
-        first = np.searchsorted(self.seeds, hashes, "left")
-        hit = first < len(self.seeds)
-        hit[hit] = self.seeds[first[hit]] == hashes[hit]
-        found = defaultdict(lambda: (set(), []))
-        last = np.searchsorted(self.seeds, hashes[hit], "right")
-        for t, low, high in zip(np.flatnonzero(hit), first[hit], last, strict=True):
-            for k in range(low, high):
-                own, there = found[int(self.owners[k])]
-                own.add(int(self.places[k]))
-                there.append(int(t))
-        return found
-
-    def best(self, text: np.ndarray, least: float, shortest: int = SEED_WORDS) -> tuple | None:
-        """(item, coverage, matched words, tiles) of the best covered item, if at least ``least``."""
+        low = np.searchsorted(self.seeds, hashes)
+        common = low < len(self.seeds)
+        common[common] = self.seeds[low[common]] == hashes[common]
+        if not common.any():
+            return []
+        shared, which = np.unique(hashes[common], return_inverse=True)
+        low = np.searchsorted(self.seeds, shared, "left")
+        times = np.searchsorted(self.seeds, shared, "right") - low
+        # Every place of a shared seed in any item, once, in order of items and places.
+        at = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        places = np.sort(self.places[at])
+        owners = self.owners[places]
+        same = owners[1:] == owners[:-1]
+        step = np.where(same, places[1:] - places[:-1], shortest)
+        covered = np.append(np.minimum(step, shortest), shortest)
+        firsts = np.flatnonzero(np.append(True, ~same))
+        reach = np.add.reduceat(covered, firsts)
+        sizes = self.sizes[owners[firsts]]
+        able = reach >= least * sizes
+        if longest is not None:
+            stretch = np.cumsum(np.append(True, ~same | (step > 1)))  # seeds one word apart
+            runs = np.bincount(stretch)[stretch] + shortest - 1
+            able |= np.maximum.reduceat(runs, firsts) >= longest
+        found, at_text = [], np.flatnonzero(common)
+        if able.any():
+            owner_of, seed = self.owners[self.places[at]], np.repeat(np.arange(len(shared)), times)
+            order = np.argsort(owner_of, kind="stable")
+            owner_of, seed = owner_of[order], seed[order]
+            for k in np.flatnonzero(able):
+                one = owners[firsts[k]]
+                mine = seed[slice(*np.searchsorted(owner_of, [one, one + 1]))]
+                own = np.zeros(len(shared), bool)
+                own[mine] = True
+                found.append((reach[k] / sizes[k], int(one), at_text[own[which]]))
+        return sorted(found, key=lambda c: (-c[0], c[1]))
+
+    def best(
+        self, text: np.ndarray, least: float, longest: int | None = None, shortest: int = SEED_WORDS
+    ) -> tuple | None:
+        """(item, coverage, matched words, tiles, longest tile) of the best covered item found."""
+        if len(text) < shortest:
+            same = self.short.get(text.tobytes()) if len(text) else None
+            return None if same is None else (same, 1.0, len(text), 1, len(text))
         best = None
-        for one, (own, there) in sorted(self.candidates(text, shortest).items()):
-            item = self.words[one]
-            reach = len({p + k for p in own for k in range(shortest)})
-            if reach < least * len(item):  # tiles consist of shared seeds
+        for bound, one, there in self.candidates(text, least, longest, shortest):
+            if best and bound < best[1]:
+                break
+            if best and bound == best[1] and one > best[0]:
                 continue
+            item = self.words[one]
             tiles = tile(item, _spans(text, there, shortest), shortest)
-            matched = sum(n for n, _, _ in tiles)
-            if matched >= least * len(item) and (best is None or matched / len(item) > best[1]):
-                best = (one, matched / len(item), matched, len(tiles))
+            matched, most = sum(n for n, _, _ in tiles), max((n for n, _, _ in tiles), default=0)
+            if matched >= least * len(item) or (longest is not None and most >= longest):
+                found = (one, matched / len(item), matched, len(tiles), most)
+                if best is None or (-found[1], one) < (-best[1], best[0]):
+                    best = found
         return best
 
 
@@ -210,30 +267,33 @@ def item_blocks(
     yield Items.of(rows)
 
 
-def _best_column(sent: Broadcast, text: Column, least: float) -> Column:
+def _best_column(sent: Broadcast, text: Column, least: float, longest: int | None) -> Column:
     @F.pandas_udf(_FOUND)
     def best(texts: pd.Series) -> pd.DataFrame:
         items, numbers, rows = sent.value, _Numbers(), []
         for text in texts:
-            found = items.best(numbers(text or ""), least)
-            rows.append((items.ids[found[0]], *found[1:]) if found else (None, 0.0, 0, 0))
-        out = pd.DataFrame(rows, columns=["item_id", "coverage", "matched_words", "tiles"])
-        return out.astype({"item_id": "Int64"})
+            found = items.best(numbers(text or ""), least, longest)
+            rows.append((items.ids[found[0]], *found[1:]) if found else (None, 0.0, 0, 0, 0))
+        names = ["item_id", "coverage", "matched_words", "tiles", "longest"]
+        return pd.DataFrame(rows, columns=names).astype({"item_id": "Int64"})
 
     return best(text)
 
 
 def with_matches(
     docs: DataFrame, benchmark: DataFrame, column: str, text_col: str = "text",
-    least: float = COVERAGE, block_words: int = BLOCK_WORDS,
+    least: float = COVERAGE, block_words: int = BLOCK_WORDS, longest: int | None = None,
 ) -> DataFrame:
-    """``docs`` with a struct ``column`` of the best item covered by at least ``least``."""
+    """``docs`` with a struct ``column`` of the best item that was found, or of zeros."""
     context = docs.sparkSession.sparkContext
-    names, last = docs.columns, None
+    names, last, before = docs.columns, None, None
     for items in item_blocks(benchmark, block_words):
         if last is not None:
             docs = stored(docs, "decontamination")
-        found = _best_column(context.broadcast(items), F.col(text_col), least)
+            if before is not None:
+                released(before)
+            before = docs
+        found = _best_column(context.broadcast(items), F.col(text_col), least, longest)
         if last is None:
             docs = docs.withColumn(column, found)
         else:
@@ -251,21 +311,22 @@ def with_matches(
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    least: float = COVERAGE, block_words: int = BLOCK_WORDS,
+    least: float = COVERAGE, block_words: int = BLOCK_WORDS, longest: int | None = None,
 ) -> DataFrame:
     """Per document: doc_id, contaminated, item_id, coverage, matched_words, tiles."""
     pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = with_matches(pairs, benchmark, "found", "text", least, block_words)
+    found = with_matches(pairs, benchmark, "found", "text", least, block_words, longest)
     return found.select(
-        "doc_id", (F.col("found.coverage") >= least).alias("contaminated"), "found.item_id",
+        "doc_id", (F.col("found.matched_words") > 0).alias("contaminated"), "found.item_id",
         "found.coverage", "found.matched_words", "found.tiles",
     )
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", least: float = COVERAGE
-) -> DataFrame:
-    """``docs`` without the rows that cover a benchmark item."""
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", least: float = COVERAGE,
+    longest: int | None = None,
+) -> DataFrame:
+    """``docs`` without the rows in which a benchmark item was found."""
     column = fresh_name(docs, "_found")
-    found = with_matches(docs, benchmark, column, text_col, least)
-    return found.where(F.col(column).coverage < least).drop(column)
+    found = with_matches(docs, benchmark, column, text_col, least, longest=longest)
+    return found.where(F.col(column).matched_words == 0).drop(column)

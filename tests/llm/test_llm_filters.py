@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import defaultdict
 
@@ -203,6 +204,66 @@ def test_decontamination(spark, benchmark, pairs, block_words):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, bad) in enumerate(cases) if not bad}
 
 
+@pytest.mark.parametrize("longest", [None, 7])
+def test_best_item_equals_tiling_every_item(longest):
+    """Items that share much or little: nothing is lost by looking at shared seeds first."""
+    rng = random.Random(12)
+    for _ in range(60):
+        some = range(1, 2 * rng.choice([4, 12, 40]), 2)
+        items = [np.array(rng.choices(some, k=rng.randint(0, 25)), np.uint64) for _ in range(12)]
+        items += [items[0], items[1][:12], items[2][:4]]
+        text = np.concatenate([
+            *(items[k][rng.randint(0, 3) :] for k in rng.sample(range(15), rng.randint(0, 3))),
+            np.array(rng.choices(some, k=rng.randint(0, 9)), np.uint64),
+        ])
+        block = decontamination.Items.numbered(list(range(15)), items)
+        got, want = block.best(text, 0.8, longest), None
+        for k, item in enumerate(items):
+            runs = {tuple(item[i : i + 5]) for i in range(len(item) - 4)}
+            there = [t for t in range(len(text) - 4) if tuple(text[t : t + 5]) in runs]
+            spans = decontamination._spans(text, there, 5) if there else text[:0]
+            tiles = [n for n, _, _ in decontamination.tile(item, spans)]
+            least = len(item) >= 5 and sum(tiles) >= 0.8 * len(item)
+            if least or (longest and max(tiles, default=0) >= longest):
+                if want is None or sum(tiles) / len(item) > want[1]:
+                    want = (k, sum(tiles) / len(item), sum(tiles), len(tiles), max(tiles))
+            if 0 < len(item) < 5 and len(text) < 5 and item.tolist() == text.tolist():
+                want = want or (k, 1.0, len(item), 1, len(item))
+        assert got == want
+
+
+def test_short_items_and_long_tiles(spark):
+    rng, some = random.Random(3), fixture.vocabulary()
+    long = rng.choices(some, k=400)
+    frame = spark.createDataFrame([(1, "Too few, words!"), (2, "..."), (3, " ".join(long))],
+                                  "item_id long, text string")
+    docs = fixture.frame(spark, [
+        (1, "too few words"), (2, "too few words more"), (3, "..."), (4, None),
+        (5, "few words"), (6, "so " + " ".join(long[50:350])), (7, " ".join(long[:100])),
+    ])
+    for longest, want in ((None, {1: 1}), (300, {1: 1, 6: 3}), (100, {1: 1, 6: 3, 7: 3})):
+        found = decontamination.contamination(docs, frame, longest=longest).collect()
+        assert {r.doc_id: r.item_id for r in found if r.contaminated} == want
+        kept = decontamination.drop_contaminated(docs, frame, longest=longest)
+        assert {r.doc_id for r in kept.collect()} == set(range(1, 8)) - set(want)
+
+
+def test_common_stems_cost_little():
+    """12,000 items that begin alike: a text full of that stem is not compared with each."""
+    rng = random.Random(8)
+    number = lambda: rng.randrange(1, 2**60, 2)
+    stem = [number() for _ in range(12)]
+    items = [np.array(stem + [number() for _ in range(12)], np.uint64) for _ in range(12_000)]
+    block = decontamination.Items.numbered(list(range(12_000)), items)
+    text = [number() for _ in range(700)]
+    for at in range(0, 700, 28):
+        text[at:at] = stem
+    text += items[77].tolist()
+    began = time.perf_counter()
+    assert block.best(np.array(text, np.uint64), 0.8)[0] == 77
+    assert time.perf_counter() - began < 0.2  # 2.1 s when each item was walked
+
+
 def test_decontamination_of_empty_tables(spark, docs, benchmark):
     _, frame = benchmark
     assert decontamination.contamination(docs.where("doc_id < 0"), frame).count() == 0
