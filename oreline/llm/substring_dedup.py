@@ -6,19 +6,21 @@ start earlier: in a document with a smaller id, or earlier in the same document.
 1. Anchors. The smallest hash among the ``ANCHOR``-word runs of a window is its anchor. Equal
    windows have equal anchors, so a window can only recur if its anchor stands in two places.
    Anchors are counted over all documents; about one in seven words is one.
-2. Passages are confirmed: windows with a recurring anchor are compared by a 64-bit hash over all
-   documents, and the first place of each that recurs is found. (Two different windows agree by
-   chance once in 2**64 pairs.)
+2. Passages are confirmed: windows with a recurring anchor are compared by two 64-bit hashes over
+   all documents, and the first place of each that recurs is found. (Two different windows agree by
+   chance once in 2**128 pairs.)
 3. Automata. Documents are dealt to shards of about ``shard_bytes`` of text. An Aho-Corasick
    automaton is compiled for each shard from the passages that were confirmed among its documents
    (but for those of which it has the first place alone), and all documents of the shard are
    streamed through it, which locates every occurrence. Each
    document is read by one automaton, whatever the number of shards. A passage is a pattern of
    the hashes of its two ten-word halves; a document is read as ten streams of halves, one for
-   each place at which a window may start. Occurrences are verified by the 64-bit hash.
+   each place at which a window may start. Occurrences are verified by both hashes.
 
 A passage crosses the network once per shard that has it, so no passage, however common, gathers
-its occurrences in one task.
+its occurrences in one task. Rows of one id are dealt by their texts as well, and rows that are equal
+in id and text, if there are any, are worked out once and repeated at the end: no id and no text,
+however common, is one shard's work.
 
 Defined results: missing text has no words; rows of one id are one document, and of windows that
 start at the same word of it none is earlier; rows without an id come after all others, in order of
@@ -50,10 +52,14 @@ SHARD_BYTES = 3_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-_PASSAGE = "shard int, missing boolean, key long, start int, hash long, n long"
+_SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
+_PASSAGE = "shard int, missing boolean, key long, start int, hash long, more long, n long"
 # A passage's letters as one number.
 _PLACES = np.uint64(64) ** np.arange(LETTERS * HALVES, dtype=np.uint64)
-_KEPT = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+_RESULT = ("doc_id", "n_words", "n_removed", "kept_text", "kept_sha256")
+_KEPT = (
+    "doc_id long, copies long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+)
 
 
 def _slices(strings: pa.StringArray) -> list[bytes]:
@@ -121,6 +127,13 @@ def run_hashes(numbers: np.ndarray, width: int) -> np.ndarray:
         return mixed ^ mixed >> np.uint64(29)
 
 
+def window_hashes(numbers: np.ndarray, width: int) -> np.ndarray:
+    """Both hashes of each window, a row each; the second from words that are mixed anew."""
+    with np.errstate(over="ignore"):
+        again = (numbers ^ numbers >> np.uint64(31)) * _SECOND
+    return np.stack([run_hashes(numbers, width), run_hashes(again ^ again >> np.uint64(30), width)])
+
+
 def _sliding(values: np.ndarray, width: int, choose) -> np.ndarray:
     """``choose`` (minimum or maximum) over each run of ``width`` values."""
     size = 1
@@ -183,6 +196,18 @@ def _words_of(docs: pa.Table) -> Words:
     return Words(pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string()))
 
 
+def _distinct(hashes: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each pair of hashes stands first, and how often it stands there."""
+    order = np.argsort(hashes, kind="stable")
+    one, two = hashes[order], more[order]
+    if ((one[1:] == one[:-1]) & (two[1:] != two[:-1])).any():
+        order = np.lexsort((more, hashes))  # stable as well
+        one, two = hashes[order], more[order]
+    new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))[: len(order)]
+    starts = np.flatnonzero(new)
+    return order[starts], np.diff(np.append(starts, len(order)))
+
+
 def _candidates(key, docs: pa.Table, grams: pa.Table, window: int, anchor: int) -> pa.Table:
     """Of a shard: each window with a recurring anchor, its first place here, and how often."""
     recurring = np.sort(grams.column("gram").to_numpy().view(np.uint64))
@@ -197,16 +222,17 @@ def _candidates(key, docs: pa.Table, grams: pa.Table, window: int, anchor: int)
     starts = places - words.offsets[rows]
     order = np.lexsort((starts, _numbered(docs)[rows]))
     rows, starts = rows[order], starts[order]
-    hashes = run_hashes(words.numbers, window)[places[order]]
-    values, first, times = np.unique(hashes, return_index=True, return_counts=True)
+    hashes, more = window_hashes(words.numbers, window)[:, places[order]]
+    first, times = _distinct(hashes, more)
     at = pa.array(rows[first])
     return pa.table(
         {
-            "shard": pa.array(np.full(len(values), key[0].as_py() or 0, np.int32)),
+            "shard": pa.array(np.full(len(first), key[0].as_py() or 0, np.int32)),
             "missing": docs.column("missing").combine_chunks().take(at),
             "key": docs.column("key").combine_chunks().take(at),
             "start": pa.array(starts[first].astype(np.int32)),
-            "hash": _signed(values),
+            "hash": _signed(hashes[first]),
+            "more": _signed(more[first]),
             "n": pa.array(times.astype(np.int64)),
         }
     )
@@ -275,29 +301,31 @@ def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     """The documents of a shard without the words that its automaton finds to have come earlier."""
     words, number = _words_of(docs), _numbered(docs)
     fits = words.room(window)
-    windows = run_hashes(words.numbers, window)
-    hashes = passages.column("hash").to_numpy().view(np.uint64)
+    windows = window_hashes(words.numbers, window)
+    hashes = np.stack([passages.column(c).to_numpy().view(np.uint64) for c in ("hash", "more")])
+    passage_count = hashes.shape[1]
     starts = passages.column("start").to_numpy().astype(np.int64)
     is_first = passages.column("is_first").to_numpy().astype(bool)
-    automaton = _Automaton(window, len(hashes))
+    automaton = _Automaton(window, passage_count)
     letters = automaton.letters(words.numbers)
-    home = np.full(len(hashes), -1)  # the document that keeps the passage, if it is in this shard
-    todo = np.arange(len(hashes))
+    home = np.full(passage_count, -1)  # the document that keeps the passage, if it is in this shard
+    todo = np.arange(passage_count)
     for turn in _rows_by_key(docs, passages, number):  # one, unless rows share an id
         places = words.offsets[turn[todo]] + starts[todo]
-        here = (turn[todo] >= 0) & (places < len(windows))
-        here[here] = fits[places[here]] & (windows[places[here]] == hashes[todo[here]])
+        here = (turn[todo] >= 0) & (places < windows.shape[1])
+        same = (windows[:, places[here]] == hashes[:, todo[here]]).all(axis=0)
+        here[here] = fits[places[here]] & same
         automaton.add(letters, places[here], todo[here])
         home[todo[here]] = np.where(is_first[todo[here]], number[turn[todo[here]]], -1)
         todo = todo[~here]
     gone = np.zeros(len(words.numbers) + 1, np.int64)
-    if len(hashes):
+    if passage_count:
         automaton.trie.make_automaton()
         places, some = automaton.find(letters)
         inside = fits[places]
         places, some = places[inside], some[inside]
         while True:
-            sure = hashes[some] == windows[places]
+            sure = (hashes[:, some] == windows[:, places]).all(axis=0)
             other = ~sure & (automaton.alike[some] >= 0)
             if not other.any():
                 break
@@ -315,6 +343,7 @@ def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
+            "copies": docs.column("copies"),
             "n_words": pa.array(words.sizes.astype(np.int64)),
             "n_removed": pa.array(np.diff(removed).astype(np.int64)),
             "kept_text": kept,
@@ -353,12 +382,22 @@ def substring_dedup(
     if window % HALVES or window < ANCHOR:
         raise ValueError(f"a window takes a multiple of {HALVES} words, {ANCHOR} at least")
     pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    size = pairs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    shards = max(1, -(-size // shard_bytes))
-    missing, key = F.col("doc_id").isNull(), F.coalesce("doc_id", F.xxhash64("text"))
+    missing, text = F.col("doc_id").isNull(), F.xxhash64("text")
+    key = F.coalesce("doc_id", text)
+    told = pairs.groupBy("doc_id", text.alias("of")).agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")
+    )
+    all_rows = told.agg(F.sum("bytes").alias("bytes"), F.max("n").alias("most")).first()
+    shards = max(1, -(-(all_rows.bytes or 0) // shard_bytes))
+    if (all_rows.most or 0) > 1:
+        # None of these takes words from another: their windows start at the same words of one document.
+        once = pairs.groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
+        pairs = stored(once, "distinct-documents")
+    else:
+        pairs = pairs.withColumn("copies", F.lit(1).cast("long"))
     dealt = pairs.select(
-        "doc_id", "text", missing.alias("missing"), key.alias("key"),
-        F.pmod(F.xxhash64(missing, key), F.lit(shards)).cast("int").alias("shard"),
+        "doc_id", "copies", "text", missing.alias("missing"), key.alias("key"),
+        F.pmod(F.xxhash64(missing, key, text), F.lit(shards)).cast("int").alias("shard"),
     )
     sizes = {"window": window, "anchor": ANCHOR}
     counted = (
@@ -380,14 +419,15 @@ def substring_dedup(
         by_shard.cogroup(recurring.groupBy("shard")).applyInArrow(candidates_of, _PASSAGE), "passages"
     )
     released(recurring)
-    same, place = Window.partitionBy("hash"), F.struct("missing", "key")
+    # Rows of one document may lie in several shards: their places differ by where they start.
+    same, place = Window.partitionBy("hash", "more"), F.struct("missing", "key", "start")
     # A passage of which a shard has the first place and no other occurrence takes nothing there.
     confirmed = stored(
         candidates.withColumn("first", F.min(place).over(same))
         .withColumn("all", F.sum("n").over(same))
         .withColumn("is_first", place == F.col("first"))
         .where("all >= 2 AND NOT (is_first AND n = 1)")
-        .select("shard", "missing", "key", "start", "hash", "is_first"),
+        .select("shard", "missing", "key", "start", "hash", "more", "is_first"),
         "confirmed",
     )
     released(candidates)
@@ -395,4 +435,7 @@ def substring_dedup(
     def strip(left: pa.Table, right: pa.Table) -> pa.Table:
         return _strip(left, right, window)
 
-    return by_shard.cogroup(confirmed.groupBy("shard")).applyInArrow(strip, _KEPT)
+    kept = by_shard.cogroup(confirmed.groupBy("shard")).applyInArrow(strip, _KEPT)
+    if all_rows.most is None or all_rows.most <= 1:
+        return kept.select(*_RESULT)
+    return kept.select(*_RESULT, F.explode(F.sequence(F.lit(1), "copies"))).select(*_RESULT)

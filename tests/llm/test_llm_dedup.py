@@ -157,6 +157,31 @@ def test_substring_dedup_of_one_common_passage(spark):
     ]
 
 
+def test_substring_dedup_spreads_one_id_and_one_text(spark):
+    """One id with many texts, one text with many rows: several shards, results as in one."""
+    rng, some = random.Random(4), fixture.vocabulary()
+    common = " ".join(rng.choices(some, k=26))
+    pairs = [
+        (7, " ".join(rng.choices(some, k=rng.randint(0, 9))) + " " + common + " " + rng.choice(some))
+        for _ in range(80)
+    ]
+    pairs += [(None, "z " + common)] * 5_000 + [(9, common)] * 3 + [(None, None)] * 4
+    got = Counter(
+        (r.doc_id, r.n_words, r.n_removed, r.kept_sha256)
+        for r in sub.substring_dedup(fixture.frame(spark, pairs), shard_bytes=1_000).collect()
+    )
+    want = zip(pairs, brute.stripped(pairs), strict=True)
+    assert got == Counter((i, *rest) for (i, _), rest in want)
+
+
+def test_equal_first_hashes_are_told_apart():
+    hashes, more = (np.array(v, np.uint64) for v in ([5, 3, 5, 5, 3, 9], [1, 2, 7, 1, 2, 1]))
+    first, times = sub._distinct(hashes, more)
+    found = dict(zip(zip(hashes[first].tolist(), more[first].tolist()), zip(first.tolist(), times)))
+    assert found == {(5, 1): (0, 2), (3, 2): (1, 2), (5, 7): (2, 1), (9, 1): (5, 1)}
+    assert all(len(v) == 0 for v in sub._distinct(hashes[:0], more[:0]))
+
+
 def test_run_hashes_tell_runs_apart():
     numbers = np.array([5, 6, 7, 5, 6, 7, 8], np.uint64)
     for width in (1, 2, 3, 5):
