@@ -302,8 +302,10 @@ def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     words, number = _words_of(docs), _numbered(docs)
     fits = words.room(window)
     windows = window_hashes(words.numbers, window)
-    hashes = np.stack([passages.column(c).to_numpy().view(np.uint64) for c in ("hash", "more")])
-    passage_count = hashes.shape[1]
+    hash_ = passages.column("hash").to_numpy().view(np.uint64)
+    passage_count = len(hash_)
+    # The second hash is read off the passage's own words, which are in this shard.
+    hashes = np.stack([hash_, np.zeros(passage_count, np.uint64)])
     starts = passages.column("start").to_numpy().astype(np.int64)
     is_first = passages.column("is_first").to_numpy().astype(bool)
     automaton = _Automaton(window, passage_count)
@@ -313,8 +315,8 @@ def _strip(docs: pa.Table, passages: pa.Table, window: int) -> pa.Table:
     for turn in _rows_by_key(docs, passages, number):  # one, unless rows share an id
         places = words.offsets[turn[todo]] + starts[todo]
         here = (turn[todo] >= 0) & (places < windows.shape[1])
-        same = (windows[:, places[here]] == hashes[:, todo[here]]).all(axis=0)
-        here[here] = fits[places[here]] & same
+        here[here] = fits[places[here]] & (windows[0, places[here]] == hash_[todo[here]])
+        hashes[1, todo[here]] = windows[1, places[here]]
         automaton.add(letters, places[here], todo[here])
         home[todo[here]] = np.where(is_first[todo[here]], number[turn[todo[here]]], -1)
         todo = todo[~here]
@@ -427,7 +429,7 @@ def substring_dedup(
         .withColumn("all", F.sum("n").over(same))
         .withColumn("is_first", place == F.col("first"))
         .where("all >= 2 AND NOT (is_first AND n = 1)")
-        .select("shard", "missing", "key", "start", "hash", "more", "is_first"),
+        .select("shard", "missing", "key", "start", "hash", "is_first"),
         "confirmed",
     )
     released(candidates)
